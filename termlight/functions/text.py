@@ -66,7 +66,8 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
 def _fold_to_ascii(text: Column) -> Column:
     one, several = _folds()
     rare = _ranges(list(several))
-    table = F.create_map(*[F.lit(part) for pair in several.items() for part in pair])
+    entries = ",".join(f"{char}:{spelled}" for char, spelled in several.items())
+    table = F.str_to_map(F.lit(entries), F.lit(","), F.lit(":"))
 
     def spell_out(text: Column) -> Column:
         chars = F.transform(F.split(text, ""), lambda c: F.coalesce(F.element_at(table, c), c))
@@ -108,9 +109,17 @@ def tokenize(normalized: Column) -> Column:
     return F.filter(F.split(normalized, " "), lambda t: t != "")
 
 
+def without(tokens: Column, words: list[str]) -> Column:
+    """The tokens that are not among ``words``, whatever their case."""
+    if not words:
+        return tokens
+    # One parsed expression: several hundred literals would each cost a call to the JVM.
+    listed = ", ".join('"' + w.replace("\\", "\\\\").replace('"', '\\"') + '"' for w in words)
+    return F.call_function("filter", tokens, F.expr(f"t -> lower(t) NOT IN ({listed})"))
+
+
 def remove_stopwords(tokens: Column, stop_words: list[str] | None = None) -> Column:
-    words = STOP_WORDS if stop_words is None else stop_words
-    return F.filter(tokens, lambda t: ~F.lower(t).isin(words)) if words else tokens
+    return without(tokens, STOP_WORDS if stop_words is None else stop_words)
 
 
 def remove_punctuation_tokens(tokens: Column) -> Column:
@@ -133,8 +142,8 @@ def content_words(text: Column, stop_words: list[str] | None = None) -> Column:
     words = F.regexp_extract_all(text, F.lit(ALPHABETIC_WORD), F.lit(0))
 
     def choose(words: Column) -> Column:
-        strict = F.filter(words, lambda t: ~t.isin([*stop, *NUMBER_WORDS]))
-        relaxed = F.filter(words, lambda t: ~t.isin(NUMBER_WORDS))
+        strict = without(words, [*stop, *NUMBER_WORDS])
+        relaxed = without(words, NUMBER_WORDS)
         return bind(strict, lambda kept: F.when(F.size(kept) > 0, kept).otherwise(relaxed))
 
     return bind(words, choose)
@@ -143,7 +152,7 @@ def content_words(text: Column, stop_words: list[str] | None = None) -> Column:
 def feedback_words(text: Column) -> Column:
     """Letter runs of the lower-cased text that may serve as feedback terms."""
     words = F.regexp_extract_all(F.lower(text), F.lit("[a-zA-Z]+"), F.lit(0))
-    return F.filter(words, lambda t: (F.length(t) > 2) & ~t.isin(FEEDBACK_STOP_WORDS))
+    return without(F.filter(words, lambda t: F.length(t) > 2), FEEDBACK_STOP_WORDS)
 
 
 def join_tokens(tokens: Column) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 from termlight.operators.analyze import analyze, plain_tokens, stem_table
-from termlight.operators.joins import lookup_join
+from termlight.operators.joins import fits_broadcast, lookup_join
 from termlight.session import new_folder
 
 DEFAULT_DATASET = "default"
@@ -221,6 +221,7 @@ class SearchIndex:
     stats: DataFrame
     norms: DataFrame
     path: str | None = None
+    few_collections: bool | None = None  # whether ``stats`` was found small enough to broadcast
 
     @staticmethod
     def of(postings: DataFrame) -> SearchIndex:
@@ -260,13 +261,14 @@ def save_index(postings: DataFrame, buckets: int, path: str | None = None) -> Se
     corpus_stats(lengths, vocab).write.parquet(f"{path}/stats")
     stats = spark.read.schema(STATS).parquet(f"{path}/stats")
     norms = _save(tfidf_norms(postings, vocab, stats), path, "norms", buckets, "doc_id")
-    return SearchIndex(postings, lengths, vocab, stats, norms, path)
+    return SearchIndex(postings, lengths, vocab, stats, norms, path, fits_broadcast(stats))
 
 
 def open_index(spark: SparkSession, path: str) -> SearchIndex:
     """Read a saved index from its folder, in this or a later session."""
     tables = {n: spark.read.parquet(f"{path}/{n}") for n in ("postings", "lengths", "vocab", "norms")}
-    return SearchIndex(**tables, stats=spark.read.schema(STATS).parquet(f"{path}/stats"), path=path)
+    stats = spark.read.schema(STATS).parquet(f"{path}/stats")
+    return SearchIndex(**tables, stats=stats, path=path, few_collections=fits_broadcast(stats))
 
 
 def build_index(

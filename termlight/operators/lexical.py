@@ -36,31 +36,33 @@ def query_tf(queries: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return terms.groupBy(*keys, "dataset", *extra, "term").agg(F.count("*").alias("qtf"))
 
 
-def weigh_queries(terms: DataFrame, index: SearchIndex, idf: Column) -> DataFrame:
+def with_stats(rows: DataFrame, index: SearchIndex) -> DataFrame:
+    if index.few_collections:
+        return rows.join(F.broadcast(index.stats), "dataset")
+    return lookup_join(rows, index.stats, ["dataset"])
+
+
+def weigh_queries(terms: DataFrame, index: SearchIndex, idf: Column, few: bool) -> DataFrame:
     """Query terms that occur in their collection, with ``df``, ``idf`` and the corpus statistics."""
-    if fits_broadcast(terms):
+    if few:
         known = index.vocab.join(F.broadcast(terms), TERM)
     else:
         known = lookup_join(terms, index.vocab, TERM)
-    return lookup_join(known, index.stats, ["dataset"]).withColumn("idf", idf)
+    return with_stats(known, index).withColumn("idf", idf)
 
 
 def score(
-    index: SearchIndex,
-    weighted: DataFrame,
-    part: Column,
-    keys: list[str],
-    max_rows: int | None = None,
+    index: SearchIndex, weighted: DataFrame, part: Column, keys: list[str], few: bool
 ) -> DataFrame:
     """``keys, dataset, doc_id, score``: the sum of ``part`` over the terms a document shares.
 
     Postings are partitioned by document, so a document's score is complete within one task and a
-    frequent term has no partition of its own. Query terms of a checked size are broadcast. A
-    larger table is copied to as many shards of documents as there are shuffle partitions and met
-    there by a join that can spill; the scores are again complete within a shard.
+    frequent term has no partition of its own. ``few`` query terms (their size was checked) are
+    broadcast. A larger table is copied to as many shards of documents as there are shuffle
+    partitions and met there by a join that can spill; the scores are again complete within a
+    shard.
     """
-    limit = {} if max_rows is None else {"max_rows": max_rows}
-    if fits_broadcast(weighted, **limit):
+    if few:
         matched = index.postings.join(F.broadcast(weighted), TERM)
         return matched.groupBy(*keys, *DOC).agg(F.sum(part).alias("score"))
     shards = int(weighted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -72,6 +74,11 @@ def score(
     return matched.groupBy("shard", *keys, *DOC).agg(F.sum(part).alias("score")).drop("shard")
 
 
+def _few(terms: DataFrame, max_rows: int | None) -> bool:
+    """Whether the query terms, and their weights, which are no more rows, may be broadcast."""
+    return fits_broadcast(terms) if max_rows is None else fits_broadcast(terms, max_rows)
+
+
 def _ranked(scores: DataFrame, keys: list[str], k: int) -> DataFrame:
     return top_k(scores, keys, k).select(*keys, "dataset", "doc_id", "score", "rank")
 
@@ -99,25 +106,26 @@ def bm25(
         if name not in queries.columns:
             queries = queries.withColumn(name, F.lit(float(value)))
     idf = okapi_idf() if variant == "okapi" else positive_idf()
-    weighted = weigh_queries(query_tf(queries, keys), index, idf)
+    terms = query_tf(queries, keys)
+    few = _few(terms, max_rows)
+    weighted = weigh_queries(terms, index, idf, few)
     tf, c1, cb = F.col("tf"), F.col("k1"), F.col("b")
     length = 1 - cb + cb * F.col("dl") / F.col("avg_dl")
     part = F.col("idf") * tf * (c1 + 1) / (tf + c1 * length)
     if variant == "okapi":
         part = F.col("qtf") * part
-    weighted = weighted.select(
-        *{c: None for c in [*keys, *TERM, "qtf", "idf", "avg_dl", "k1", "b"]}
-    )
-    scores = score(index, weighted, part, keys, max_rows)
+    columns = dict.fromkeys([*keys, *TERM, "qtf", "idf", "avg_dl", "k1", "b"])
+    scores = score(index, weighted.select(*columns), part, keys, few)
     if variant == "okapi":
         scores = scores.where(F.col("score") > 0)
     return _ranked(scores, keys, k)
 
 
-def tfidf_query(index: SearchIndex, queries: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Unit-length TF-IDF query vectors over the indexed terms: ``keys, dataset, term, wq``."""
-    keys = keys or ["query_id"]
-    weighted = weigh_queries(query_tf(queries, keys), index, smooth_idf())
+def tfidf_query(
+    index: SearchIndex, terms: DataFrame, keys: list[str], few: bool
+) -> DataFrame:
+    """Unit-length TF-IDF query vectors over the indexed terms: ``keys, dataset, term, idf, wq``."""
+    weighted = weigh_queries(terms, index, smooth_idf(), few)
     weight = F.col("qtf") * F.col("idf")
     norm = F.sqrt(F.sum(weight * weight).over(Window.partitionBy(*keys)))
     return weighted.withColumn("wq", weight / norm).select(*keys, *TERM, "idf", "wq")
@@ -135,13 +143,14 @@ def tfidf(
     if variant not in ("cosine", "log_log"):
         raise ValueError(f"unknown TF-IDF variant {variant!r}; use 'cosine' or 'log_log'")
     keys = keys or ["query_id"]
+    terms = query_tf(queries, keys)
+    few = _few(terms, max_rows)
     if variant == "log_log":
         idf = F.log(F.col("doc_count") / (1 + F.col("df")))
-        weighted = weigh_queries(query_tf(queries, keys), index, idf)
-        weighted = weighted.select(*keys, *TERM, "qtf", "idf")
+        weighted = weigh_queries(terms, index, idf, few).select(*keys, *TERM, "qtf", "idf")
         part = (1 + F.log("qtf")) * F.col("idf") * (1 + F.log("tf")) * F.col("idf")
-        return _ranked(score(index, weighted, part, keys, max_rows), keys, k)
+        return _ranked(score(index, weighted, part, keys, few), keys, k)
     part = F.col("wq") * F.col("tf") * F.col("idf")
-    dots = score(index, tfidf_query(index, queries, keys), part, keys, max_rows)
+    dots = score(index, tfidf_query(index, terms, keys, few), part, keys, few)
     cosines = dots.join(index.norms, DOC).withColumn("score", F.col("score") / F.col("norm"))
     return _ranked(cosines.where(F.col("score") > 0), keys, k)

@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from termlight.functions import text as T
 from termlight.operators.analyze import analyze
 from termlight.operators.index import SearchIndex, with_dataset
-from termlight.operators.joins import fits_broadcast, lookup_join
+from termlight.operators.joins import (
+    MAX_BROADCAST_BYTES,
+    MAX_BROADCAST_ROWS,
+    fits_broadcast,
+    lookup_join,
+)
 from termlight.operators.lexical import B, K1, bm25
 from termlight.session import cut_lineage
 
@@ -16,7 +21,8 @@ MAX_SYNONYMS = 2
 SUGGESTIONS = 5
 FEEDBACK_DOCS = 5
 FEEDBACK_TERMS = 5
-SHORT_WORD = 8
+SHORT_WORD = 12
+MAX_KEYS = 125
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?$|^[+-]?(inf|infinity|nan)$"
 SPACE = r"(?U)[\s\x1c-\x1f]+"
 
@@ -98,44 +104,47 @@ def _pieces(words: DataFrame, distance: int) -> DataFrame:
 def _possible_pieces(words: DataFrame, distance: int) -> DataFrame:
     """The keys that a dictionary word within ``distance`` edits of each word can have kept."""
     word, own, parts = F.col("word"), F.char_length("word"), 2 * distance + 1
-    keys = []
-    for change in range(-distance, distance + 1):
-        size = own + change
-        for i in range(parts):
-            start, end = F.floor(size * i / parts), F.floor(size * (i + 1) / parts)
-            for shift in range(-distance, distance + 1):
-                at = (start + 1 + shift).cast("int")
-                piece = F.substring(word, at, (end - start).cast("int"))
-                inside = (at >= 1) & (at + (end - start) <= own + 1)
-                keys.append(F.when(inside, F.concat_ws("|", size, F.lit(i), piece)))
-    found = F.array_distinct(F.array_compact(F.array(*keys)))
-    return words.withColumn("key", F.explode(found))
-
-
-def _meet(left: DataFrame, right: DataFrame) -> DataFrame:
-    if fits_broadcast(left):
-        pairs = right.join(F.broadcast(left), "key")
-    else:
-        pairs = lookup_join(left, right, ["key"])
+    change = F.sequence(F.lit(-distance), F.lit(distance))
+
+    def piece(size: Column, i: Column, shift: Column) -> Column:
+        start, end = F.floor(size * i / parts), F.floor(size * (i + 1) / parts)
+        at = (start + 1 + shift).cast("int")
+        kept = F.substring(word, at, (end - start).cast("int"))
+        inside = (at >= 1) & (at + (end - start) <= own + 1)
+        return F.when(inside, F.concat_ws("|", size, i, kept))
+
+    keys = F.flatten(F.transform(change, lambda c: F.flatten(F.transform(
+        F.sequence(F.lit(0), F.lit(parts - 1)),
+        lambda i: F.transform(change, lambda shift: piece(own + c, i, shift)),
+    ))))
+    return words.withColumn("key", F.explode(F.array_distinct(F.array_compact(keys))))
+
+
+def _meet(left: DataFrame, right: DataFrame, few: bool) -> DataFrame:
+    pairs = right.join(F.broadcast(left), "key") if few else lookup_join(left, right, ["key"])
     return pairs.select("word", "term", "cf")
 
 
-def _candidates(unknown: DataFrame, dictionary: DataFrame, distance: int) -> DataFrame:
+def _candidates(
+    unknown: DataFrame, dictionary: DataFrame, distance: int, few: bool
+) -> DataFrame:
     """Every pair within ``distance`` edits; short words meet by deletions, long ones by pieces."""
     unknown, dictionary = unknown.select("word"), dictionary.select("term", "cf")
     own, size = F.char_length("word"), F.char_length("term")
     short = _meet(
         _deletions(unknown.where(own <= SHORT_WORD), "word", distance),
         _deletions(dictionary.where(size <= SHORT_WORD + distance), "term", distance),
+        few,
     )
     long = _meet(
         _possible_pieces(unknown.where(own > SHORT_WORD), distance),
         _pieces(dictionary.where(size > SHORT_WORD - distance), distance),
+        few,
     )
-    pairs = short.unionByName(long).distinct()
-    return pairs.withColumn("edits", _edits(F.col("word"), F.col("term"))).where(
-        F.col("edits") <= distance
-    )
+    # A swap is two plain edits, so the plain distance bounds the other cheaply.
+    pairs = short.unionByName(long).where(F.levenshtein("word", "term", 2 * distance) > 0)
+    pairs = pairs.distinct().withColumn("edits", _edits(F.col("word"), F.col("term")))
+    return pairs.where(F.col("edits") <= distance)
 
 
 def corrections(words: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -158,11 +167,15 @@ def corrections(words: DataFrame, dictionary: DataFrame) -> DataFrame:
         present = known
     unknown = checked.join(present, "word", "left_anti")
     unknown = cut_lineage(unknown, "unknown-words")
-    close = cut_lineage(_candidates(unknown, dictionary, 1), "one-edit")
+    # A word has at most MAX_KEYS keys of about its own size.
+    few = fits_broadcast(
+        unknown, MAX_BROADCAST_ROWS // MAX_KEYS, MAX_BROADCAST_BYTES // MAX_KEYS
+    )
+    close = cut_lineage(_candidates(unknown, dictionary, 1, few), "one-edit")
     rest = unknown.join(close.select("word").distinct(), "word", "left_anti")
-    found = close.unionByName(_candidates(rest, dictionary, 2))
+    found = close.unionByName(_candidates(rest, dictionary, 2, few))
     best = F.min_by("term", F.struct("edits", (-F.col("cf")).alias("less"), "term"))
-    return found.groupBy("word").agg(best.alias("correction"))
+    return cut_lineage(found.groupBy("word").agg(best.alias("correction")), "corrections")
 
 
 def correct_spelling(queries: DataFrame, dictionary: DataFrame, key: str = "query_id") -> DataFrame:

@@ -202,7 +202,7 @@ per_query AS (SELECT model, query_id, coalesce(hits, 0) / 10 AS precision,
 LEMMAS = """lemmas AS (SELECT a.term AS form, b.term AS lemma
   FROM vocab a JOIN vocab b ON a.term = b.term || 's')"""
 
-SENTENCES = r"""sentences AS (SELECT doc_id, generate_subscripts(parts, 1) - 1 AS at,
+SENTENCES = r"""sentences AS (SELECT doc_id, generate_subscripts(parts, 1) - 1 AS sentence,
     unnest(parts) AS text FROM (SELECT doc_id, regexp_split_to_array(text, '[.!?\n]+') AS parts
   FROM documents))"""
 
@@ -314,9 +314,9 @@ def oracle_sql() -> dict[str, str]:
             count(*)::BIGINT AS malformed FROM (SELECT unnest(regexp_split_to_array(html, '\r\n|\r|\n'))
             AS line FROM pages) WHERE trim(line) <> ''""",
         "empty_docs": _sql(
-            "SELECT doc_id, at FROM st WHERE len(tokens) = 0",
+            "SELECT doc_id, sentence FROM st WHERE len(tokens) = 0",
             SENTENCES,
-            tokens("st", "sentences", "doc_id, at", "text"),
+            tokens("st", "sentences", "doc_id, sentence", "text"),
         ),
         "processed_docs": _sql("SELECT doc_id, array_to_string(tokens, ' ') AS tokens FROM d", DOCS),
         "processed_queries": _sql(
@@ -356,9 +356,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT doc_id, array_to_string(tokens, ' ') AS tokens FROM d", DOCS
         ),
         "text_fallback": _sql(
-            "SELECT doc_id, at, array_to_string(tokens, ' ') AS tokens FROM st",
+            "SELECT doc_id, sentence, array_to_string(tokens, ' ') AS tokens FROM st",
             SENTENCES,
-            tokens("st", "sentences", "doc_id, at", "text"),
+            tokens("st", "sentences", "doc_id, sentence", "text"),
         ),
         "feedback_words": _sql(
             "SELECT doc_id, array_to_string(ws, ' ') AS words FROM fb_w", FEEDBACK
@@ -392,12 +392,12 @@ def oracle_sql() -> dict[str, str]:
             LEXICON,
             rf"""all_words AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z][a-z''-]*') AS w
               FROM documents),
-            toks AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS at FROM all_words),
-            valued AS (SELECT doc_id, at, valence,
+            toks AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM all_words),
+            valued AS (SELECT doc_id, p, valence,
               CASE WHEN valence IS NULL AND word IN ({_quoted(NEGATORS)}) THEN 1 ELSE 0 END AS negator
               FROM toks LEFT JOIN lex USING (word)),
             turned AS (SELECT doc_id, coalesce(valence, 0) * (-0.74::DOUBLE) ** coalesce(sum(negator) OVER (
-              PARTITION BY doc_id ORDER BY at ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 0) AS v
+              PARTITION BY doc_id ORDER BY p ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 0) AS v
               FROM valued),
             sums AS (SELECT doc_id, count(*) AS n, sum(v) AS s,
               sum(CASE WHEN v > 0 THEN v + 1 ELSE 0 END) AS p,
@@ -411,7 +411,7 @@ def oracle_sql() -> dict[str, str]:
             ELSE 'kept' END AS reason, count(*) AS docs
             FROM st LEFT JOIN labels USING (doc_id) GROUP BY 1""",
             SENTENCES,
-            tokens("st", "sentences", "doc_id, at", "text"),
+            tokens("st", "sentences", "doc_id, sentence", "text"),
         ),
         "index_skip_list": _sql(
             """SELECT doc_id, term, tf FROM posts
@@ -611,7 +611,7 @@ def oracle_sql() -> dict[str, str]:
               round(avg(coalesce(recall, 0)), 6) AS "Recall@10",
               round(avg(coalesce(precision, 0)), 6) AS "P@10",
               round(avg(coalesce(ndcg, 0)), 6) AS "nDCG@10"
-            FROM (SELECT DISTINCT model FROM runs), nrel
+            FROM (SELECT model, query_id FROM (SELECT DISTINCT model FROM runs), nrel)
             LEFT JOIN per_query USING (model, query_id) GROUP BY 1""",
             ALL_RUNS,
             POOLED,

@@ -30,8 +30,18 @@ KEYS = ["query_id"]
 _indexes: dict[tuple[str, str], index.SearchIndex] = {}
 
 
+TABLES = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "benchmark": "item_id bigint, text string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,8 +93,8 @@ def sentences(spark: SparkSession, folder: str) -> DataFrame:
     """Each sentence of each document as a text of its own; many hold stop words only."""
     parts = F.split("text", r"[.!?\n]+")
     docs = spread(documents(spark, folder), "doc_id")
-    return docs.select("doc_id", F.posexplode(parts).alias("at", "text")).withColumn(
-        "at", F.col("at").cast("long")
+    return docs.select("doc_id", F.posexplode(parts).alias("sentence", "text")).withColumn(
+        "sentence", F.col("sentence").cast("long")
     )
 
 
@@ -154,7 +164,7 @@ def scan_queries(spark, folder):
 
 def empty_docs(spark, folder):
     texts = plain_tokens(sentences(spark, folder))
-    return texts.where(F.size("tokens") == 0).select("doc_id", "at")
+    return texts.where(F.size("tokens") == 0).select("doc_id", "sentence")
 
 
 def processed_docs(spark, folder):
@@ -222,7 +232,7 @@ def text_stopwords(spark, folder):
 
 
 def text_fallback(spark, folder):
-    return joined(plain_tokens(sentences(spark, folder)), "doc_id", "at")
+    return joined(plain_tokens(sentences(spark, folder)), "doc_id", "sentence")
 
 
 def feedback_words(spark, folder):
@@ -270,7 +280,8 @@ def phrase_table(spark, folder) -> DataFrame:
     phrases = None
     for n, label in names.items():
         groups = annotate.word_groups(F.col("w"), n)
-        rows = texts.select(F.explode(groups)["entity"].alias("phrase")).distinct()
+        rows = texts.select(F.explode(groups).alias("g")).select(F.col("g.entity").alias("phrase"))
+        rows = rows.distinct()
         if n == 1:
             rows = rows.where(F.length("phrase") >= 8)
         rows = rows.withColumn("label", F.lit(label))
