@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 # Forms that the rules would get wrong.
 IRREGULAR = {
@@ -136,6 +137,6 @@ def porter_stem(word: str) -> str:
     return _tidy(_residual(_swap(_derived(word), STEP_3)))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def stem_word(words: pd.Series) -> pd.Series:
     return words.map(porter_stem, na_action="ignore")

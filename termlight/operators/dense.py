@@ -30,28 +30,43 @@ def vector_stats(table: DataFrame, vector: str = "embedding") -> DataFrame:
     )
 
 
-def _best_of_block(queries: pd.DataFrame, docs: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k best documents of this block for each query, by rounded score and then id."""
-    docs = docs.sort_values("doc_id", kind="stable")
-    matrix = np.stack(docs["embedding"].to_numpy()).astype(np.float64)
+def _keep_best(found: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k best rows of each query, by score and then by the smaller document id."""
+    ordered = found.sort_values(["query", "score", "doc_id"], ascending=[True, False, True])
+    return ordered.groupby("query", sort=False).head(k)
+
+
+def _best_of_block(queries: np.ndarray, docs: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k best documents of a block for each query vector; ``query`` is its row number."""
+    matrix = np.stack(docs["embedding"].to_numpy()).astype(np.float64).T
     names = docs["doc_id"].to_numpy()
     step = max(1, PRODUCT_CELLS // len(docs))
     found = []
     for start in range(0, len(queries), step):
-        part = queries.iloc[start : start + step]
-        vectors = np.stack(part["embedding"].to_numpy()).astype(np.float64)
-        scores = np.round(vectors @ matrix.T, SCORE_DIGITS)
-        for query_id, row in zip(part["query_id"], scores):
-            kept = np.arange(len(row))
-            if len(row) > k:
-                least = np.partition(row, len(row) - k)[len(row) - k]
-                kept = np.flatnonzero(row >= least)
-            # The documents are in id order, so a stable sort by score leaves ties in id order.
-            kept = kept[np.argsort(-row[kept], kind="stable")][:k]
-            found.append(pd.DataFrame({"query_id": query_id, "doc_id": names[kept], "score": row[kept]}))
+        scores = np.round(queries[start : start + step] @ matrix, SCORE_DIGITS)
+        least = scores.min(axis=1) if len(docs) <= k else np.partition(scores, -k, axis=1)[:, -k]
+        query, doc = np.nonzero(scores >= least[:, None])
+        part = {"query": query + start, "doc_id": names[doc], "score": scores[query, doc]}
+        found.append(_keep_best(pd.DataFrame(part), k))
     return pd.concat(found, ignore_index=True)
 
 
+def _search(
+    queries: pd.DataFrame, blocks: Iterator[pd.DataFrame], k: int
+) -> Iterator[pd.DataFrame]:
+    """Run all blocks past the queries and yield the k best of them together, once."""
+    if len(queries):
+        matrix = np.stack(queries["embedding"].to_numpy()).astype(np.float64)
+        best = None
+        for block in blocks:
+            if len(block):
+                found = _best_of_block(matrix, block, k)
+                best = found if best is None else _keep_best(pd.concat([best, found]), k)
+        if best is not None:
+            ids = queries["query_id"].to_numpy()[best["query"].to_numpy()]
+            yield best.assign(query_id=ids)[["query_id", "doc_id", "score"]]
+
+
 def _vectors(table: DataFrame, key: str, vector: str, alias: str) -> DataFrame:
     picked = table.select(F.col(key).alias(alias), F.col(vector).alias("embedding"))
     return picked.where(F.col(alias).isNotNull() & F.col("embedding").isNotNull())
@@ -82,9 +97,9 @@ def _search_blocks(docs: DataFrame, queries: DataFrame, k: int, query_block: int
     schema = _out_schema(queries, docs)
 
     def search(doc_part: pd.DataFrame, query_part: pd.DataFrame) -> pd.DataFrame:
-        if doc_part.empty or query_part.empty:
-            return pd.DataFrame({f.name: [] for f in schema.fields})
-        return _best_of_block(query_part, doc_part, k)
+        for best in _search(query_part, iter([doc_part]), k):
+            return best
+        return pd.DataFrame({f.name: [] for f in schema.fields})
 
     return left.groupBy("d", "q").cogroup(right.groupBy("d", "q")).applyInPandas(search, schema)
 
@@ -112,10 +127,7 @@ def nearest(
     shared = spark.sparkContext.broadcast(queries.toPandas())
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if len(shared.value):
-            for batch in batches:
-                if len(batch):
-                    yield _best_of_block(shared.value, batch, k)
+        yield from _search(shared.value, batches, k)
 
     found = docs.mapInPandas(search, _out_schema(queries, docs))
     return top_k(found, ["query_id"], k)

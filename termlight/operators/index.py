@@ -108,9 +108,9 @@ def build_postings(
     becomes; analysis and counting follow in the same stage. Stems and lemmas are looked up after
     counting, once per document and form.
     """
-    docs = drop_skipped(with_dataset(docs).select(*DOC, "text"), skip_ids)
+    docs = with_dataset(docs).select(*DOC, "text")
     docs = docs.repartition(partitions, "doc_id") if partitions else docs.repartition("doc_id")
-    postings = postings_from_tokens(plain_tokens(docs, mode=mode))
+    postings = postings_from_tokens(plain_tokens(drop_skipped(docs, skip_ids), mode=mode))
     if mode == "stem":
         return merge_terms(postings, stem_table(postings))
     return merge_terms(postings, lemmas) if lemmas is not None else postings

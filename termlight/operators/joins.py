@@ -11,6 +11,7 @@ from pyspark.sql.types import ArrayType, NumericType, StringType
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 1000
+MAX_NAMED_KEYS = 500
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -28,14 +29,43 @@ def _row_bytes(df: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, [F.coalesce(s, F.lit(0)) + 8 for s in sizes])
 
 
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Rows and approximate bytes, by one distributed aggregate."""
+    return tuple(df.agg(F.count("*"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first())
+
+
 def fits_broadcast(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> bool:
-    """Measure ``df`` (one distributed aggregate) and say whether it may be broadcast."""
-    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    """Measure ``df`` and say whether it may be broadcast."""
+    rows, size = measure(df)
     return rows <= max_rows and size <= max_bytes
 
 
+def restrict(table: DataFrame, column: str, wanted: DataFrame, rows: int) -> DataFrame:
+    """Name the wanted keys in the scan of ``table`` where they are few (``rows``, as measured).
+
+    The list reaches the Parquet reader, which skips the row groups that hold none of them. With
+    more keys the table is left as it is; the join that follows decides alone.
+    """
+    if rows > MAX_NAMED_KEYS:
+        return table
+    keys = [r[0] for r in wanted.select(column).distinct().collect()]
+    return table.where(F.col(column).isin([k for k in keys if k is not None]))
+
+
+def wanted_rows(table: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """The rows of a large ``table`` whose key is in ``wanted``, which holds each key once.
+
+    ``on`` ends with the key that is worth naming in the scan.
+    """
+    rows, size = measure(wanted)
+    if rows > MAX_BROADCAST_ROWS or size > MAX_BROADCAST_BYTES:
+        return table.join(wanted, on, "left_semi")
+    table = restrict(table, on[-1], wanted, rows)
+    return table.join(F.broadcast(wanted), on, "left_semi")
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,

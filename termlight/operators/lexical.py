@@ -6,6 +6,8 @@ named in ``keys`` identify the result lists, for instance in a parameter sweep.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,14 @@ from termlight.operators.index import (
     weigh_vocabulary,
     with_dataset,
 )
-from termlight.operators.joins import fits_broadcast, lookup_join
+from termlight.operators.joins import (
+    MAX_BROADCAST_BYTES,
+    MAX_BROADCAST_ROWS,
+    MAX_NAMED_KEYS,
+    lookup_join,
+    measure,
+    restrict,
+)
 from termlight.operators.ranking import top_k
 
 K1 = 1.5
@@ -74,9 +83,20 @@ def score(
     return matched.groupBy("shard", *keys, *DOC).agg(F.sum(part).alias("score")).drop("shard")
 
 
-def _few(terms: DataFrame, max_rows: int | None) -> bool:
-    """Whether the query terms, and their weights, which are no more rows, may be broadcast."""
-    return fits_broadcast(terms) if max_rows is None else fits_broadcast(terms, max_rows)
+def _prepare(
+    index: SearchIndex, terms: DataFrame, max_rows: int
+) -> tuple[SearchIndex, bool]:
+    """Whether the query terms may be broadcast; their weights are no more rows than they.
+
+    For a handful of queries the index is narrowed to their terms in the scan itself: postings and
+    vocabulary are sorted by term, so most row groups are never read.
+    """
+    rows, size = measure(terms)
+    few = rows <= max_rows and size <= MAX_BROADCAST_BYTES
+    if few and rows <= MAX_NAMED_KEYS:
+        named = restrict(index.postings, "term", terms, rows)
+        index = replace(index, postings=named, vocab=restrict(index.vocab, "term", terms, rows))
+    return index, few
 
 
 def _ranked(scores: DataFrame, keys: list[str], k: int) -> DataFrame:
@@ -91,7 +111,7 @@ def bm25(
     b: float = B,
     variant: str = "okapi",
     keys: list[str] | None = None,
-    max_rows: int | None = None,
+    max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """BM25 runs.
 
@@ -107,7 +127,7 @@ def bm25(
             queries = queries.withColumn(name, F.lit(float(value)))
     idf = okapi_idf() if variant == "okapi" else positive_idf()
     terms = query_tf(queries, keys)
-    few = _few(terms, max_rows)
+    index, few = _prepare(index, terms, max_rows)
     weighted = weigh_queries(terms, index, idf, few)
     tf, c1, cb = F.col("tf"), F.col("k1"), F.col("b")
     length = 1 - cb + cb * F.col("dl") / F.col("avg_dl")
@@ -137,14 +157,14 @@ def tfidf(
     k: int = 10,
     variant: str = "cosine",
     keys: list[str] | None = None,
-    max_rows: int | None = None,
+    max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """TF-IDF runs: ``cosine`` of unit vectors, positive scores only, or the ``log_log`` product."""
     if variant not in ("cosine", "log_log"):
         raise ValueError(f"unknown TF-IDF variant {variant!r}; use 'cosine' or 'log_log'")
     keys = keys or ["query_id"]
     terms = query_tf(queries, keys)
-    few = _few(terms, max_rows)
+    index, few = _prepare(index, terms, max_rows)
     if variant == "log_log":
         idf = F.log(F.col("doc_count") / (1 + F.col("df")))
         weighted = weigh_queries(terms, index, idf, few).select(*keys, *TERM, "qtf", "idf")

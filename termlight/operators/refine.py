@@ -13,6 +13,7 @@ from termlight.operators.joins import (
     MAX_BROADCAST_ROWS,
     fits_broadcast,
     lookup_join,
+    wanted_rows,
 )
 from termlight.operators.lexical import B, K1, bm25
 from termlight.session import cut_lineage
@@ -257,10 +258,7 @@ def feedback_terms(
     """
     documents = with_dataset(documents).select("dataset", "doc_id", "text")
     wanted = run.select("dataset", "doc_id").distinct()
-    if fits_broadcast(wanted):
-        texts = documents.join(F.broadcast(wanted), ["dataset", "doc_id"])
-    else:
-        texts = documents.join(wanted, ["dataset", "doc_id"])
+    texts = wanted_rows(documents, wanted, ["dataset", "doc_id"])
     hits = run.select(key, "dataset", "doc_id", "rank").join(
         feedback_counts(texts), ["dataset", "doc_id"]
     )
@@ -287,7 +285,7 @@ def relevance_feedback(
 
     ``queries`` need ``key, text, tokens``. A query that retrieves no usable word is unchanged.
     """
-    run = bm25(index, queries, docs, k1, b, keys=[key])
+    run = cut_lineage(bm25(index, queries, docs, k1, b, keys=[key]), "feedback-run")
     words = feedback_terms(run, documents, terms, key)
     expanded = F.concat_ws(" ", "text", F.array_join("words", " "))
     return (

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termlight.functions.text import output_score
+from termlight.functions.vectors import dot
 from termlight.operators.dense import nearest
 from termlight.operators.fusion import fuse
 from termlight.operators.index import SearchIndex, with_dataset
-from termlight.operators.joins import fits_broadcast
+from termlight.operators.joins import wanted_rows
 from termlight.operators.lexical import B, K1, bm25, tfidf
 from termlight.operators.ranking import merge_runs
+from termlight.session import cut_lineage
 
 MODELS = ["tfidf", "bm25", "embedding", "hybrid_serial", "hybrid_parallel"]
 FIRST_STAGE = 100
@@ -66,8 +68,6 @@ def hybrid_serial(
     lexical = lexical_run(corpus, queries, first_stage)
     if not rescore:
         return serial_from(lexical, dense_run(corpus, queries, first_stage), k)
-    from termlight.functions.vectors import dot
-
     vectors = corpus.vectors.select("doc_id", F.col("embedding").alias("__d"))
     asked = queries.select("query_id", F.col("embedding").alias("__q"))
     pairs = lexical.select("query_id", "doc_id").join(vectors, "doc_id").join(asked, "query_id")
@@ -120,8 +120,6 @@ def all_runs(corpus: Corpus, queries: DataFrame, k: int = 10) -> DataFrame:
             "embedding": dense_run(corpus, queries, deep),
         }
     )
-    from termlight.session import cut_lineage
-
     base = cut_lineage(base, "runs")
     of = lambda m, depth: base.where((F.col("model") == m) & (F.col("rank") <= depth)).drop("model")
     bases = ["bm25", "tfidf", "embedding"]
@@ -169,9 +167,8 @@ def with_text(run: DataFrame, documents: DataFrame) -> DataFrame:
     if "dataset" in keys:
         documents = with_dataset(documents)
     texts = documents.select(*keys, F.when(F.col("text") != "", F.col("text")).alias("snippet"))
-    wanted = run.select(keys).distinct()
-    if fits_broadcast(wanted):
-        texts = texts.join(F.broadcast(wanted), keys, "left_semi")
+    run = cut_lineage(run, "results")
+    texts = wanted_rows(texts, run.select(keys).distinct(), keys)
     return run.join(texts, keys, "left")
 
 

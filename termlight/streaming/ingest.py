@@ -15,7 +15,6 @@ from termlight.operators.index import (
     build_postings,
     corpus_stats,
     doc_lengths,
-    keep_last,
     tfidf_norms,
     vocabulary,
 )
@@ -74,33 +73,37 @@ def stream_once_per_document(stream: DataFrame, out: str, checkpoint: str) -> St
 
 
 def stream_postings(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Add the postings of new documents, one folder per batch.
+    """Add the postings and lengths of new documents, one folder per batch.
 
-    Postings are additive per document; a replayed batch overwrites its own folder. Document
-    frequencies, lengths and weights are derived at reading (``read_streamed_index``).
+    Postings are additive per document; a replayed batch overwrites its own folders. Document
+    frequencies and weights are derived at reading (``read_streamed_index``). The short table of
+    lengths tells which documents are held.
     """
 
     def work(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        docs = batch
-        if table_exists(spark, out):
-            held = spark.read.parquet(out).where(F.col("batch") != number)
+        docs = batch.dropDuplicates(["doc_id"])
+        if table_exists(spark, f"{out}/lengths"):
+            held = spark.read.parquet(f"{out}/lengths").where(F.col("batch") != number)
             docs = docs.join(held.select("doc_id").distinct(), "doc_id", "left_anti")
-        build_postings(docs).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        path = f"{out}/postings/batch={number}"
+        build_postings(docs).write.mode("overwrite").parquet(path)
+        lengths = doc_lengths(spark.read.parquet(path))
+        lengths.write.mode("overwrite").parquet(f"{out}/lengths/batch={number}")
 
     return _each_batch(stream, work, checkpoint)
 
 
 def read_streamed_index(spark: SparkSession, out: str) -> SearchIndex:
     """The index over every batch so far; statistics are aggregated anew."""
-    postings = spark.read.parquet(out).drop("batch")
-    lengths, vocab = doc_lengths(postings), vocabulary(postings)
+    postings = spark.read.parquet(f"{out}/postings").drop("batch")
+    lengths = spark.read.parquet(f"{out}/lengths").drop("batch")
+    vocab = vocabulary(postings)
     stats = corpus_stats(lengths, vocab)
     return SearchIndex(postings, lengths, vocab, stats, tfidf_norms(postings, vocab, stats))
 
 
 __all__ = [
-    "keep_last",
     "read_documents",
     "read_streamed_index",
     "stream_once_per_document",
