@@ -31,7 +31,7 @@ def _folds() -> tuple[dict[str, str], dict[str, str]]:
     """What compatibility decomposition leaves of each non-ASCII character in ASCII.
 
     Returns the characters that become one character and those that become several. Punctuation is
-    already a space here, since the next step of the normaliser would make it one. Characters that
+    already a space here, since a later step of the normaliser would make it one. Characters that
     leave nothing are absent. The planes above 0x1ffff decompose to no ASCII.
     """
     one: dict[str, str] = {}
@@ -63,32 +63,47 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def _if(applies: Callable[[Column], Column], use: Callable[[Column], Column], value: Column) -> Column:
+    """``use(value)`` where a cheap test says that it can change anything."""
+    return bind(value, lambda v: F.when(applies(v), use(v)).otherwise(v))
+
+
 def _fold_to_ascii(text: Column) -> Column:
+    """Drop accents and all that has no ASCII form; punctuation among the results is a space."""
     one, several = _folds()
     rare = _ranges(list(several))
     entries = ",".join(f"{char}:{spelled}" for char, spelled in several.items())
     table = F.str_to_map(F.lit(entries), F.lit(","), F.lit(":"))
 
+    def not_ascii(text: Column) -> Column:
+        return F.char_length(text) != F.octet_length(text)
+
     def spell_out(text: Column) -> Column:
         chars = F.transform(F.split(text, ""), lambda c: F.coalesce(F.element_at(table, c), c))
-        return F.when(text.rlike(rare), F.array_join(chars, "")).otherwise(text)
+        return F.array_join(chars, "")
 
     def drop_rest(text: Column) -> Column:
-        spelled = F.regexp_replace(bind(text, spell_out), r"[^\x00-\x7F]+", "")
-        return F.when(text.rlike(r"[^\x00-\x7F]"), spelled).otherwise(text)
+        spelled = _if(lambda t: t.rlike(rare), spell_out, text)
+        return F.regexp_replace(spelled, r"[^\x00-\x7F]+", "")
 
-    # The one-to-one table leaves most texts pure ASCII; the dear class is tried on the others.
-    source = string.punctuation + "".join(one)
-    target = " " * len(string.punctuation) + "".join(one.values())
-    return bind(F.translate(text, source, target), drop_rest)
+    def fold(text: Column) -> Column:
+        # The one-to-one table leaves most texts pure ASCII; the dear class is tried on the rest.
+        folded = F.translate(text, "".join(one), "".join(one.values()))
+        return _if(not_ascii, drop_rest, folded)
+
+    return _if(not_ascii, fold, text)
 
 
 def _clean(text: Column) -> Column:
-    """Lower-case ASCII without URLs, tags and entities, punctuation blanked."""
+    """Lower-case ASCII without URLs, tags and entities."""
+
+    def blank(pattern: str) -> Callable[[Column], Column]:
+        return lambda t: F.regexp_replace(t, pattern, " ")
+
     text = F.lower(text)
-    text = F.regexp_replace(text, URL, " ")
-    text = F.regexp_replace(text, TAG, " ")
-    text = F.regexp_replace(text, ENTITY, " ")
+    text = _if(lambda t: t.contains("://") | t.contains("www."), blank(URL), text)
+    text = _if(lambda t: t.contains("<"), blank(TAG), text)
+    text = _if(lambda t: t.contains("&"), blank(ENTITY), text)
     return _fold_to_ascii(text)
 
 
@@ -97,7 +112,8 @@ def normalize(text: Column) -> Column:
 
     Null and blank text give the empty string.
     """
-    text = F.regexp_replace(_clean(text), STANDALONE_NUMBER, " ")
+    text = F.translate(_clean(text), string.punctuation, " " * len(string.punctuation))
+    text = F.regexp_replace(text, STANDALONE_NUMBER, " ")
     text = F.trim(F.regexp_replace(text, ASCII_SPACE, " "))
     return F.coalesce(text, F.lit(""))
 
@@ -109,17 +125,17 @@ def tokenize(normalized: Column) -> Column:
     return F.filter(F.split(normalized, " "), lambda t: t != "")
 
 
-def without(tokens: Column, words: list[str]) -> Column:
-    """The tokens that are not among ``words``, whatever their case."""
+def without(tokens: Column, words: list[str], token: str = "t") -> Column:
+    """The tokens that are not among ``words``; ``token`` says how one token ``t`` is compared."""
     if not words:
         return tokens
     # One parsed expression: several hundred literals would each cost a call to the JVM.
     listed = ", ".join('"' + w.replace("\\", "\\\\").replace('"', '\\"') + '"' for w in words)
-    return F.call_function("filter", tokens, F.expr(f"t -> lower(t) NOT IN ({listed})"))
+    return F.call_function("filter", tokens, F.expr(f"t -> {token} NOT IN ({listed})"))
 
 
 def remove_stopwords(tokens: Column, stop_words: list[str] | None = None) -> Column:
-    return without(tokens, STOP_WORDS if stop_words is None else stop_words)
+    return without(tokens, STOP_WORDS if stop_words is None else stop_words, "lower(t)")
 
 
 def remove_punctuation_tokens(tokens: Column) -> Column:
@@ -134,8 +150,8 @@ def min_length(tokens: Column, length: int = 2) -> Column:
 def content_words(text: Column, stop_words: list[str] | None = None) -> Column:
     """Words of two or more letters of a raw text that are neither stop words nor number words.
 
-    A text with stop words only keeps those. The words are those of the normalised text: blanks
-    and lone numbers only separate words, so their clean-up is not needed here.
+    A text with stop words only keeps those. The words are those of the normalised text:
+    punctuation, blanks and lone numbers only separate words, so they need no clean-up here.
     """
     stop = STOP_WORDS if stop_words is None else stop_words
     text = F.lower(F.coalesce(_clean(text), F.lit("")))

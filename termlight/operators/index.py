@@ -8,7 +8,6 @@ term, however frequent, makes a hot partition.
 
 from __future__ import annotations
 
-import math
 import uuid
 from dataclasses import dataclass
 
@@ -101,14 +100,19 @@ def build_postings(
     lemmas: DataFrame | None = None,
     skip_ids: DataFrame | None = None,
     partitions: int | None = None,
+    ordinal: str | None = None,
 ) -> DataFrame:
     """Analyze ``docs(doc_id, text[, dataset])`` and count terms.
 
+    Ids must be unique within a collection; with ``ordinal``, the last of equal ones is kept.
     The one shuffle moves the raw text by document id, which is smaller than the token arrays it
     becomes; analysis and counting follow in the same stage. Stems and lemmas are looked up after
     counting, once per document and form.
     """
-    docs = with_dataset(docs).select(*DOC, "text")
+    docs = with_dataset(docs)
+    if ordinal:
+        docs = keep_last(docs.select(*DOC, "text", ordinal), DOC, ordinal)
+    docs = docs.select(*DOC, "text")
     docs = docs.repartition(partitions, "doc_id") if partitions else docs.repartition("doc_id")
     postings = postings_from_tokens(plain_tokens(drop_skipped(docs, skip_ids), mode=mode))
     if mode == "stem":
@@ -231,12 +235,6 @@ class SearchIndex:
         return SearchIndex(postings, lengths, vocab, stats, tfidf_norms(postings, vocab, stats))
 
 
-def bucket_count(spark: SparkSession, input_bytes: int | None = None) -> int:
-    """Buckets of about 256 MB of text each, at least one per shuffle partition."""
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, math.ceil((input_bytes or 0) / (256 << 20)))
-
-
 def _save(df: DataFrame, path: str, name: str, buckets: int, key: str) -> DataFrame:
     """A bucketed external table: later joins and aggregates on ``key`` need no shuffle."""
     spark = df.sparkSession
@@ -278,10 +276,16 @@ def build_index(
     skip_ids: DataFrame | None = None,
     buckets: int | None = None,
     path: str | None = None,
+    ordinal: str | None = None,
 ) -> SearchIndex:
-    """Analyze, count and write: the offline half of a search system."""
-    buckets = buckets or bucket_count(docs.sparkSession)
-    return save_index(build_postings(docs, mode, lemmas, skip_ids, buckets), buckets, path)
+    """Analyze, count and write: the offline half of a search system.
+
+    ``buckets`` should leave a few hundred MB of text in each; the default is the number of
+    shuffle partitions.
+    """
+    buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    postings = build_postings(docs, mode, lemmas, skip_ids, buckets, ordinal)
+    return save_index(postings, buckets, path)
 
 
 def processed(docs: DataFrame, mode: str = "default", lemmas: DataFrame | None = None) -> DataFrame:

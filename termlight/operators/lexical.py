@@ -67,18 +67,18 @@ def score(
 
     Postings are partitioned by document, so a document's score is complete within one task and a
     frequent term has no partition of its own. ``few`` query terms (their size was checked) are
-    broadcast. A larger table is copied to as many shards of documents as there are shuffle
-    partitions and met there by a join that can spill; the scores are again complete within a
-    shard.
+    broadcast. A larger table is copied to shards of documents, as many as there are shuffle
+    partitions, and met there by a join that can spill: a term is then spread over all shards, and
+    one more shuffle adds up each document's parts.
     """
     if few:
         matched = index.postings.join(F.broadcast(weighted), TERM)
         return matched.groupBy(*keys, *DOC).agg(F.sum(part).alias("score"))
     shards = int(weighted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards))
-    postings = index.postings.withColumn("shard", shard).repartition(shards, "shard")
+    postings = index.postings.withColumn("shard", shard)
     everywhere = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
-    copies = weighted.withColumn("shard", everywhere).repartition(shards, "shard")
+    copies = weighted.withColumn("shard", everywhere)
     matched = postings.join(copies, ["shard", *TERM])
     return matched.groupBy("shard", *keys, *DOC).agg(F.sum(part).alias("score")).drop("shard")
 
@@ -151,6 +151,17 @@ def tfidf_query(
     return weighted.withColumn("wq", weight / norm).select(*keys, *TERM, "idf", "wq")
 
 
+def _with_norms(dots: DataFrame, norms: DataFrame) -> DataFrame:
+    """Join by document. Both sides are bucketed by ``doc_id``.
+
+    The collections are compared by two inequalities: as an equality they would become a second
+    join key, for which Spark would shuffle all candidates again.
+    """
+    norms = norms.select(F.col("doc_id").alias("__doc"), F.col("dataset").alias("__set"), "norm")
+    same = (F.col("dataset") <= F.col("__set")) & (F.col("dataset") >= F.col("__set"))
+    return dots.join(norms, (F.col("doc_id") == F.col("__doc")) & same).drop("__doc", "__set")
+
+
 def tfidf(
     index: SearchIndex,
     queries: DataFrame,
@@ -172,5 +183,5 @@ def tfidf(
         return _ranked(score(index, weighted, part, keys, few), keys, k)
     part = F.col("wq") * F.col("tf") * F.col("idf")
     dots = score(index, tfidf_query(index, terms, keys, few), part, keys, few)
-    cosines = dots.join(index.norms, DOC).withColumn("score", F.col("score") / F.col("norm"))
+    cosines = _with_norms(dots, index.norms).withColumn("score", F.col("score") / F.col("norm"))
     return _ranked(cosines.where(F.col("score") > 0), keys, k)

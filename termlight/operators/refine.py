@@ -22,8 +22,8 @@ MAX_SYNONYMS = 2
 SUGGESTIONS = 5
 FEEDBACK_DOCS = 5
 FEEDBACK_TERMS = 5
-SHORT_WORD = 12
-MAX_KEYS = 125
+PREFIX = 8
+MAX_KEYS = 37
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?$|^[+-]?(inf|infinity|nan)$"
 SPACE = r"(?U)[\s\x1c-\x1f]+"
 
@@ -32,32 +32,30 @@ SPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
 def _deletions(words: DataFrame, column: str, distance: int) -> DataFrame:
-    """Every string left of a word after up to ``distance`` (1 or 2) deletions, as ``key``.
+    """Every string left of a word's first letters after up to ``distance`` deletions, as ``key``.
 
-    Two words within that many edits of each other (a swap of neighbours counts as one) always
-    share such a string, so an equi-join on it finds all candidates.
+    Two words within 1 or 2 edits of each other (a swap of neighbours counts as one) turn into the
+    same string by as many deletions in each. The beginning of that string comes from the first
+    ``PREFIX`` letters of both, again by no more deletions. So an equi-join on the key finds all
+    candidates, and a word has at most ``MAX_KEYS`` keys, however long it is.
     """
-    word, size = F.col(column), F.char_length(column)
+    start = F.substring(column, 1, PREFIX)
+    size = F.char_length(start)
     places = F.filter(F.sequence(F.lit(0), size), lambda i: i > 0)
-    keys = [
-        F.array(word),
-        F.transform(
-            places, lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, size))
-        ),
-    ]
+
+    def cut(i: Column) -> Column:
+        return F.concat(F.substring(start, F.lit(1), i - 1), F.substring(start, i + 1, size))
+
+    keys = [F.array(start), F.transform(places, cut)]
     if distance == 2:
-        pairs = F.transform(
-            places,
-            lambda i: F.transform(
-                F.filter(places, lambda j: j > i),
-                lambda j: F.concat(
-                    F.substring(word, F.lit(1), i - 1),
-                    F.substring(word, i + 1, j - i - 1),
-                    F.substring(word, j + 1, size),
-                ),
+        keys.append(F.flatten(F.transform(places, lambda i: F.transform(
+            F.filter(places, lambda j: j > i),
+            lambda j: F.concat(
+                F.substring(start, F.lit(1), i - 1),
+                F.substring(start, i + 1, j - i - 1),
+                F.substring(start, j + 1, size),
             ),
-        )
-        keys.append(F.flatten(pairs))
+        ))))
     return words.withColumn("key", F.explode(F.array_distinct(F.concat(*keys))))
 
 
@@ -88,64 +86,19 @@ def _edits(word: Column, other: Column) -> Column:
     return F.when(one, 1).when(two, 2)
 
 
-def _pieces(words: DataFrame, distance: int) -> DataFrame:
-    """Cut each dictionary word into ``2 * distance + 1`` pieces, one ``key`` each.
-
-    An edit damages at most two neighbouring pieces, so one piece outlives ``distance`` edits.
-    """
-    word, size, parts = F.col("term"), F.char_length("term"), 2 * distance + 1
-    keys = []
-    for i in range(parts):
-        start, end = F.floor(size * i / parts), F.floor(size * (i + 1) / parts)
-        piece = F.substring(word, (start + 1).cast("int"), (end - start).cast("int"))
-        keys.append(F.concat_ws("|", size, F.lit(i), piece))
-    return words.withColumn("key", F.explode(F.array(*keys)))
-
-
-def _possible_pieces(words: DataFrame, distance: int) -> DataFrame:
-    """The keys that a dictionary word within ``distance`` edits of each word can have kept."""
-    word, own, parts = F.col("word"), F.char_length("word"), 2 * distance + 1
-    change = F.sequence(F.lit(-distance), F.lit(distance))
-
-    def piece(size: Column, i: Column, shift: Column) -> Column:
-        start, end = F.floor(size * i / parts), F.floor(size * (i + 1) / parts)
-        at = (start + 1 + shift).cast("int")
-        kept = F.substring(word, at, (end - start).cast("int"))
-        inside = (at >= 1) & (at + (end - start) <= own + 1)
-        return F.when(inside, F.concat_ws("|", size, i, kept))
-
-    keys = F.flatten(F.transform(change, lambda c: F.flatten(F.transform(
-        F.sequence(F.lit(0), F.lit(parts - 1)),
-        lambda i: F.transform(change, lambda shift: piece(own + c, i, shift)),
-    ))))
-    return words.withColumn("key", F.explode(F.array_distinct(F.array_compact(keys))))
-
-
-def _meet(left: DataFrame, right: DataFrame, few: bool) -> DataFrame:
-    pairs = right.join(F.broadcast(left), "key") if few else lookup_join(left, right, ["key"])
-    return pairs.select("word", "term", "cf")
-
-
 def _candidates(
     unknown: DataFrame, dictionary: DataFrame, distance: int, few: bool
 ) -> DataFrame:
-    """Every pair within ``distance`` edits; short words meet by deletions, long ones by pieces."""
-    unknown, dictionary = unknown.select("word"), dictionary.select("term", "cf")
-    own, size = F.char_length("word"), F.char_length("term")
-    short = _meet(
-        _deletions(unknown.where(own <= SHORT_WORD), "word", distance),
-        _deletions(dictionary.where(size <= SHORT_WORD + distance), "term", distance),
-        few,
-    )
-    long = _meet(
-        _possible_pieces(unknown.where(own > SHORT_WORD), distance),
-        _pieces(dictionary.where(size > SHORT_WORD - distance), distance),
-        few,
-    )
+    """``word, term, cf, edits`` for every pair within ``distance`` edits."""
+    left = _deletions(unknown.select("word"), "word", distance)
+    right = _deletions(dictionary.select("term", "cf"), "term", distance)
+    pairs = right.join(F.broadcast(left), "key") if few else lookup_join(left, right, ["key"])
+    gap = F.abs(F.char_length("word") - F.char_length("term"))
     # A swap is two plain edits, so the plain distance bounds the other cheaply.
-    pairs = short.unionByName(long).where(F.levenshtein("word", "term", 2 * distance) > 0)
-    pairs = pairs.distinct().withColumn("edits", _edits(F.col("word"), F.col("term")))
-    return pairs.where(F.col("edits") <= distance)
+    close = (gap <= distance) & (F.levenshtein("word", "term", 2 * distance) > 0)
+    pairs = pairs.where(close).select("word", "term", "cf").distinct()
+    edits = _edits(F.col("word"), F.col("term"))
+    return pairs.withColumn("edits", edits).where(F.col("edits") <= distance)
 
 
 def corrections(words: DataFrame, dictionary: DataFrame) -> DataFrame:

@@ -31,10 +31,10 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session, where the driver and the executors are one process, may go without the
     setting; it then gets a folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     app = context.applicationId

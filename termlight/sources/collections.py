@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -66,8 +67,14 @@ def resolve_documents(raw: DataFrame, ordinal: str, prefix: str = "") -> DataFra
 
 
 def first_n(rows: DataFrame, n: int, ordinal: str) -> DataFrame:
-    """The first ``n`` rows by ordinal; ``n = 0`` means all. Spark keeps ``n`` rows per task."""
-    return rows.orderBy(ordinal).limit(n) if n else rows
+    """The first ``n`` rows by their (unique) ordinal; ``n = 0`` means all.
+
+    Only ordinals are ordered; the rows themselves are filtered where they are.
+    """
+    if not n:
+        return rows
+    last = rows.select(ordinal).orderBy(ordinal).limit(n).agg(F.max(ordinal)).first()[0]
+    return rows.where(F.col(ordinal) <= F.lit(last))
 
 
 def sample_texts(raw: DataFrame, n: int, ordinal: str, prefix: str = "") -> DataFrame:
@@ -103,17 +110,21 @@ def not_yet_done(rows: DataFrame, done: DataFrame, key: str = "doc_id") -> DataF
 def append_new(rows: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     """Append the rows that ``path`` does not hold yet and return the whole table."""
     spark = rows.sparkSession
-    if table_exists(spark, path):
-        rows = not_yet_done(rows, spark.read.schema(rows.schema).parquet(path), key)
+    held = read_if_stored(spark, path, rows.schema)
+    if held is not None:
+        rows = not_yet_done(rows, held, key)
     rows.write.mode("append").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.exists(folder)
+def read_if_stored(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame | None:
+    """The table at ``path``, or nothing where there is none yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def write_once(df: DataFrame, path: str, force: bool = False) -> DataFrame:

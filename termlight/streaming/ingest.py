@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from termlight.operators.analyze import plain_tokens
 from termlight.operators.index import (
@@ -18,7 +18,7 @@ from termlight.operators.index import (
     tfidf_norms,
     vocabulary,
 )
-from termlight.sources.collections import append_new, table_exists
+from termlight.sources.collections import append_new, not_yet_done, read_if_stored
 
 
 def read_documents(
@@ -83,9 +83,10 @@ def stream_postings(stream: DataFrame, out: str, checkpoint: str) -> StreamingQu
     def work(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         docs = batch.dropDuplicates(["doc_id"])
-        if table_exists(spark, f"{out}/lengths"):
-            held = spark.read.parquet(f"{out}/lengths").where(F.col("batch") != number)
-            docs = docs.join(held.select("doc_id").distinct(), "doc_id", "left_anti")
+        ids = StructType([batch.schema["doc_id"], StructField("batch", LongType())])
+        held = read_if_stored(spark, f"{out}/lengths", ids)
+        if held is not None:
+            docs = not_yet_done(docs, held.where(F.col("batch") != number))
         path = f"{out}/postings/batch={number}"
         build_postings(docs).write.mode("overwrite").parquet(path)
         lengths = doc_lengths(spark.read.parquet(path))

@@ -230,3 +230,34 @@ def test_response_keeps_queries_without_results(spark, built, docs):
     found = search.responses(asked, run, docs.where("dataset = 'x'").drop("dataset")).orderBy("query_id").collect()
     assert [r.total_results for r in found] == [1, 0]
     assert found[0].results[0].snippet == "alpha beta beta gamma"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def no_auto_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_scores_are_complete_without_a_shuffle(spark, built, no_auto_broadcast):
+    """Behind the query terms, only the trimmed lists are exchanged; the candidates never are."""
+    for run in (lexical.bm25, lexical.tfidf):
+        plan = plan_of(run(built, queries(spark, "alpha beta")))
+        above_scores = plan.split("partial_sum")[0]
+        assert above_scores.count("Exchange hashpartitioning") == 1
+        assert above_scores.count("WindowGroupLimit") == 2
+
+
+def test_few_terms_are_named_in_the_scan(spark, built):
+    assert "In(term" in plan_of(lexical.bm25(built, queries(spark, "alpha beta"))) or "EqualTo(term" in plan_of(
+        lexical.bm25(built, queries(spark, "alpha beta")))
+
+
+def test_duplicate_ids_keep_the_last(spark):
+    docs = spark.createDataFrame([(1, "old words", 0), (1, "new text", 1)], "doc_id int, text string, at int")
+    assert rows(index.build_postings(docs, ordinal="at"), "term") == [("new",), ("text",)]
