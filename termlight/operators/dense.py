@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 from termlight.functions.vectors import l2_normalize
+from termlight.operators.index import with_dataset
 from termlight.operators.joins import fits_broadcast
 from termlight.operators.ranking import SCORE_DIGITS, top_k
 
@@ -54,21 +55,27 @@ def _best_of_block(queries: np.ndarray, docs: pd.DataFrame, k: int) -> pd.DataFr
 def _search(
     queries: pd.DataFrame, blocks: Iterator[pd.DataFrame], k: int
 ) -> Iterator[pd.DataFrame]:
-    """Run all blocks past the queries and yield the k best of them together, once."""
-    if len(queries):
-        matrix = np.stack(queries["embedding"].to_numpy()).astype(np.float64)
-        best = None
-        for block in blocks:
-            if len(block):
-                found = _best_of_block(matrix, block, k)
+    """Run all blocks past the queries of their collection and yield the k best together, once."""
+    if not len(queries):
+        return
+    matrix = np.stack(queries["embedding"].to_numpy()).astype(np.float64)
+    rows_of = queries.reset_index(drop=True).groupby("dataset").indices
+    best = None
+    for block in blocks:
+        for dataset, docs in block.groupby("dataset"):
+            if dataset in rows_of:
+                found = _best_of_block(matrix[rows_of[dataset]], docs, k)
+                found["query"] = rows_of[dataset][found["query"].to_numpy()]
                 best = found if best is None else _keep_best(pd.concat([best, found]), k)
-        if best is not None:
-            ids = queries["query_id"].to_numpy()[best["query"].to_numpy()]
-            yield best.assign(query_id=ids)[["query_id", "doc_id", "score"]]
+    if best is not None:
+        ids = queries["query_id"].to_numpy()[best["query"].to_numpy()]
+        yield best.assign(query_id=ids)[["query_id", "doc_id", "score"]]
 
 
 def _vectors(table: DataFrame, key: str, vector: str, alias: str) -> DataFrame:
-    picked = table.select(F.col(key).alias(alias), F.col(vector).alias("embedding"))
+    picked = with_dataset(table).select(
+        "dataset", F.col(key).alias(alias), F.col(vector).alias("embedding")
+    )
     return picked.where(F.col(alias).isNotNull() & F.col("embedding").isNotNull())
 
 
@@ -115,10 +122,14 @@ def nearest(
 ) -> DataFrame:
     """Exact top ``k`` by inner product: ``query_id, doc_id, score, rank``; negative scores stay.
 
+    Where both tables have a ``dataset`` column, a query meets the vectors of its own collection.
+
     A query table of a checked size goes to every task, which multiplies its documents block by
     block and emits only its own best ``k`` per query; those meet in one shuffle by query. A larger
     query table is cut into blocks that meet the document blocks in bounded groups.
     """
+    if not ("dataset" in docs.columns and "dataset" in queries.columns):
+        docs, queries = docs.drop("dataset"), queries.drop("dataset")
     docs = _vectors(docs, doc_key, vector, "doc_id")
     queries = _vectors(queries, query_key, vector, "query_id")
     if not fits_broadcast(queries, max_rows=query_block):

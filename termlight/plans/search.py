@@ -30,6 +30,9 @@ class Corpus:
     vectors: DataFrame  # doc_id, embedding
     documents: DataFrame  # doc_id, text
 
+    # All of them, and the queries, may have a ``dataset`` column; without one there is a single
+    # collection.
+
 
 def _rerank(run: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
@@ -68,9 +71,13 @@ def hybrid_serial(
     lexical = lexical_run(corpus, queries, first_stage)
     if not rescore:
         return serial_from(lexical, dense_run(corpus, queries, first_stage), k)
-    vectors = corpus.vectors.select("doc_id", F.col("embedding").alias("__d"))
-    asked = queries.select("query_id", F.col("embedding").alias("__q"))
-    pairs = lexical.select("query_id", "doc_id").join(vectors, "doc_id").join(asked, "query_id")
+    apart = "dataset" in queries.columns and "dataset" in corpus.vectors.columns
+    keys = ["dataset", "doc_id"] if apart else ["doc_id"]
+    asked = queries.select("query_id", *keys[:-1], F.col("embedding").alias("__q"))
+    lexical = cut_lineage(lexical.select("query_id", "doc_id"), "candidates")
+    pairs = lexical.join(asked, "query_id")
+    vectors = corpus.vectors.select(*keys, F.col("embedding").alias("__d"))
+    pairs = pairs.join(wanted_rows(vectors, pairs.select(keys).distinct(), keys), keys)
     scored = pairs.withColumn("score", F.round(dot(F.col("__q"), F.col("__d")), 6))
     return _rerank(scored.drop("__q", "__d"), k).select(COLUMNS)
 
@@ -164,8 +171,7 @@ def with_text(run: DataFrame, documents: DataFrame) -> DataFrame:
     Only ids travel until the lists are cut; the text joins last.
     """
     keys = ["dataset", "doc_id"] if "dataset" in run.columns else ["doc_id"]
-    if "dataset" in keys:
-        documents = with_dataset(documents)
+    documents = with_dataset(documents) if "dataset" in keys else documents
     texts = documents.select(*keys, F.when(F.col("text") != "", F.col("text")).alias("snippet"))
     run = cut_lineage(run, "results")
     texts = wanted_rows(texts, run.select(keys).distinct(), keys)
@@ -180,7 +186,10 @@ def responses(requests: DataFrame, run: DataFrame, documents: DataFrame) -> Data
     entry = F.struct(
         F.col("rank"), F.col("doc_id"), output_score(F.col("score")).alias("score"), F.col("snippet")
     )
-    found = with_text(run.select(COLUMNS), documents).groupBy("query_id").agg(
+    run = run.select(COLUMNS)
+    if "dataset" in requests.columns and "dataset" in documents.columns:
+        run = run.join(requests.select("query_id", "dataset"), "query_id")
+    found = with_text(run, documents).groupBy("query_id").agg(
         F.array_sort(F.collect_list(entry)).alias("results"), F.count("*").alias("total_results")
     )
     optional = {"corrected": "corrected_query", "prf_query": "expanded_query", "model": "model_used"}

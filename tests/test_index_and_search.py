@@ -261,3 +261,22 @@ def test_few_terms_are_named_in_the_scan(spark, built):
 def test_duplicate_ids_keep_the_last(spark):
     docs = spark.createDataFrame([(1, "old words", 0), (1, "new text", 1)], "doc_id int, text string, at int")
     assert rows(index.build_postings(docs, ordinal="at"), "term") == [("new",), ("text",)]
+
+
+def test_hybrids_stay_in_their_collection(spark, built, docs):
+    vectors = spark.createDataFrame(
+        [(1, [1.0, 0.0], "x"), (2, [0.0, 1.0], "x"), (1, [0.6, 0.8], "y")],
+        "doc_id long, embedding array<double>, dataset string")
+    where = search.Corpus(built, vectors, docs)
+    asked = queries(spark, "alpha beta", dataset="x").unionByName(
+        queries(spark, "alpha zeta", dataset="y").withColumn("query_id", F.lit(1)))
+    asked = asked.withColumn("embedding", F.array(F.lit(1.0), F.lit(0.0)))
+    assert rows(search.dense_run(where, asked, 5), "query_id", "doc_id", "score") == [(0, 1, 1.0), (0, 2, 0.0), (1, 1, 0.6)]
+    for rescore in (False, True):
+        # "beta" is in half of the texts of x, so its Okapi weight is 0 and text 2 is no candidate.
+        run = search.hybrid_serial(where, asked, rescore=rescore)
+        assert rows(run, "query_id", "doc_id", "score") == [(0, 1, 1.0)]
+    runs = search.all_runs(where, asked)
+    assert {r.model for r in runs.select("model").distinct().collect()} == set(search.MODELS)
+    found = search.responses(asked, search.dense_run(where, asked, 5), docs).orderBy("query_id").collect()
+    assert [[e.snippet for e in r.results] for r in found] == [["alpha beta beta gamma", "beta delta"], ["alpha zeta"]]
