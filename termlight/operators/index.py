@@ -227,13 +227,6 @@ class SearchIndex:
     path: str | None = None
     few_collections: bool | None = None  # whether ``stats`` was found small enough to broadcast
 
-    @staticmethod
-    def of(postings: DataFrame) -> SearchIndex:
-        """An index that exists only as a plan; each use computes it again."""
-        lengths, vocab = doc_lengths(postings), vocabulary(postings)
-        stats = corpus_stats(lengths, vocab)
-        return SearchIndex(postings, lengths, vocab, stats, tfidf_norms(postings, vocab, stats))
-
 
 def _save(df: DataFrame, path: str, name: str, buckets: int, key: str) -> DataFrame:
     """A bucketed external table: later joins and aggregates on ``key`` need no shuffle."""

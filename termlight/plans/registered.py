@@ -333,27 +333,26 @@ def index_skip_list(spark, folder):
 
 
 def doc_lengths(spark, folder):
-    return index.doc_lengths(index.build_postings(documents(spark, folder))).select("doc_id", "dl")
+    return index.doc_lengths(session_index(spark, folder).postings).select("doc_id", "dl")
 
 
-def corpus_stats(spark, folder):
-    found = index.build_postings(documents(spark, folder))
+def _rounded_stats(found: DataFrame) -> DataFrame:
     stats = index.corpus_stats(index.doc_lengths(found), index.vocabulary(found))
-    return stats.select(
-        "doc_count", F.round("avg_dl", 6).alias("avg_dl"), "vocab_size",
-        F.round("mean_idf", 6).alias("mean_idf"),
-    )
+    return stats.withColumns({c: F.round(c, 6) for c in ("avg_dl", "mean_idf")})
+
+
+def corpus_stats(spark, folder):
+    return _rounded_stats(session_index(spark, folder).postings).drop("dataset")
 
 
 def dataset_indexes(spark, folder):
     docs = table(spark, folder, "documents").withColumnRenamed("source", "dataset")
-    found = index.build_postings(docs)
-    stats = index.corpus_stats(index.doc_lengths(found), index.vocabulary(found))
-    return stats.select("dataset", "doc_count", F.round("avg_dl", 6).alias("avg_dl"), "vocab_size")
+    found = cut_lineage(index.build_postings(docs), "postings")
+    return _rounded_stats(found).drop("mean_idf")
 
 
 def doc_freq(spark, folder):
-    return index.vocabulary(index.build_postings(documents(spark, folder))).drop("dataset")
+    return index.vocabulary(session_index(spark, folder).postings).drop("dataset")
 
 
 def postings_lookup(spark, folder):
@@ -678,7 +677,7 @@ def stream_resume(spark, folder):
 def stream_index(spark, folder):
     out = new_folder(spark, "stream")
     ingest.stream_postings(_stream(spark, folder), out, new_folder(spark, "offsets")).awaitTermination()
-    return ingest.read_streamed_index(spark, out).postings.select("doc_id", "term", "tf")
+    return ingest.streamed_postings(spark, out).select("doc_id", "term", "tf")
 
 
 PROCESSED_LONG = "doc_id bigint, tokens array<string>"

@@ -18,6 +18,7 @@ from termlight.operators.index import (
     tfidf_norms,
     vocabulary,
 )
+from termlight.session import cut_lineage
 from termlight.sources.collections import append_new, not_yet_done, read_if_stored
 
 
@@ -95,13 +96,19 @@ def stream_postings(stream: DataFrame, out: str, checkpoint: str) -> StreamingQu
     return _each_batch(stream, work, checkpoint)
 
 
+def streamed_postings(spark: SparkSession, out: str) -> DataFrame:
+    """The postings of every batch so far."""
+    return spark.read.parquet(f"{out}/postings").drop("batch")
+
+
 def read_streamed_index(spark: SparkSession, out: str) -> SearchIndex:
-    """The index over every batch so far; statistics are aggregated anew."""
-    postings = spark.read.parquet(f"{out}/postings").drop("batch")
+    """The index over every batch so far; statistics are aggregated anew, once per call."""
+    postings = streamed_postings(spark, out)
     lengths = spark.read.parquet(f"{out}/lengths").drop("batch")
-    vocab = vocabulary(postings)
-    stats = corpus_stats(lengths, vocab)
-    return SearchIndex(postings, lengths, vocab, stats, tfidf_norms(postings, vocab, stats))
+    vocab = cut_lineage(vocabulary(postings), "vocab")
+    stats = cut_lineage(corpus_stats(lengths, vocab), "stats")
+    norms = cut_lineage(tfidf_norms(postings, vocab, stats), "norms")
+    return SearchIndex(postings, lengths, vocab, stats, norms)
 
 
 __all__ = [
@@ -110,4 +117,5 @@ __all__ = [
     "stream_once_per_document",
     "stream_postings",
     "stream_processed",
+    "streamed_postings",
 ]
