@@ -228,16 +228,33 @@ class SearchIndex:
     few_collections: bool | None = None  # whether ``stats`` was found small enough to broadcast
 
 
-def _save(df: DataFrame, path: str, name: str, buckets: int, key: str) -> DataFrame:
-    """A bucketed external table: later joins and aggregates on ``key`` need no shuffle."""
+LAYOUT = {
+    "postings": ("doc_id", "term"),
+    "lengths": ("doc_id", "doc_id"),
+    "vocab": ("term", "term"),
+    "norms": ("doc_id", "doc_id"),
+}
+
+
+def _save(df: DataFrame, path: str, name: str, buckets: int) -> DataFrame:
+    """Write a bucketed table: later joins and aggregates on its key need no shuffle."""
     spark = df.sparkSession
+    key, order = LAYOUT[name]
+    table = f"termlight_{name}_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(order)
+    writer.option("path", f"{path}/{name}").saveAsTable(table)
+    return spark.table(table)
+
+
+def _open(spark: SparkSession, path: str, name: str, buckets: int) -> DataFrame:
+    """Declare the files of a saved table again, with their buckets."""
+    key, order = LAYOUT[name]
     table = f"termlight_{name}_{uuid.uuid4().hex}"
-    (
-        df.repartition(buckets, key)
-        .write.bucketBy(buckets, key)
-        .sortBy("term" if "term" in df.columns else key)
-        .option("path", f"{path}/{name}")
-        .saveAsTable(table)
+    fields = spark.read.parquet(f"{path}/{name}").schema.fields
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({order}) "
+        f"INTO {buckets} BUCKETS LOCATION '{path}/{name}'"
     )
     return spark.table(table)
 
@@ -246,18 +263,20 @@ def save_index(postings: DataFrame, buckets: int, path: str | None = None) -> Se
     """Write the index tables, each built from the ones already written."""
     spark = postings.sparkSession
     path = path or new_folder(spark, "index")
-    postings = _save(postings, path, "postings", buckets, "doc_id")
-    lengths = _save(doc_lengths(postings), path, "lengths", buckets, "doc_id")
-    vocab = _save(vocabulary(postings), path, "vocab", buckets, "term")
+    postings = _save(postings, path, "postings", buckets)
+    lengths = _save(doc_lengths(postings), path, "lengths", buckets)
+    vocab = _save(vocabulary(postings), path, "vocab", buckets)
     corpus_stats(lengths, vocab).write.parquet(f"{path}/stats")
     stats = spark.read.schema(STATS).parquet(f"{path}/stats")
-    norms = _save(tfidf_norms(postings, vocab, stats), path, "norms", buckets, "doc_id")
+    norms = _save(tfidf_norms(postings, vocab, stats), path, "norms", buckets)
+    spark.createDataFrame([(buckets,)], "buckets int").write.parquet(f"{path}/layout")
     return SearchIndex(postings, lengths, vocab, stats, norms, path, fits_broadcast(stats))
 
 
 def open_index(spark: SparkSession, path: str) -> SearchIndex:
     """Read a saved index from its folder, in this or a later session."""
-    tables = {n: spark.read.parquet(f"{path}/{n}") for n in ("postings", "lengths", "vocab", "norms")}
+    buckets = spark.read.schema("buckets int").parquet(f"{path}/layout").first().buckets
+    tables = {name: _open(spark, path, name, buckets) for name in LAYOUT}
     stats = spark.read.schema(STATS).parquet(f"{path}/stats")
     return SearchIndex(**tables, stats=stats, path=path, few_collections=fits_broadcast(stats))
 

@@ -244,10 +244,12 @@ def no_auto_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_scores_are_complete_without_a_shuffle(spark, built, no_auto_broadcast):
+@pytest.mark.parametrize("reopened", [False, True])
+def test_scores_are_complete_without_a_shuffle(spark, built, no_auto_broadcast, reopened):
     """Behind the query terms, only the trimmed lists are exchanged; the candidates never are."""
+    used = index.open_index(spark, built.path) if reopened else built
     for run in (lexical.bm25, lexical.tfidf):
-        plan = plan_of(run(built, queries(spark, "alpha beta")))
+        plan = plan_of(run(used, queries(spark, "alpha beta")))
         above_scores = plan.split("partial_sum")[0]
         assert above_scores.count("Exchange hashpartitioning") == 1
         assert above_scores.count("WindowGroupLimit") == 2
