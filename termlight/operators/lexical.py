@@ -18,7 +18,6 @@ from termlight.operators.index import (
     okapi_idf,
     positive_idf,
     smooth_idf,
-    weigh_vocabulary,
     with_dataset,
 )
 from termlight.operators.joins import (
