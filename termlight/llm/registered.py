@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termlight.llm import packing, quality
+from termlight.llm import doubling, exact_stream, language, packing, quality, simhash, suffix_dedup
 from termlight.llm.tables import read
 
 
@@ -16,6 +16,32 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, folder, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Learns from the documents outside the held-out fold and judges all of them."""
+    docs = read(spark, folder, "documents")
+    model = language.fit(docs.where(~language.held_out()))
+    found = language.predict(docs, model)
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op6_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.digests(read(spark, folder, "documents"))
+
+
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return doubling.digests(read(spark, folder, "documents"))
+
+
+def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = exact_stream.dedup(read(spark, folder, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), tokenizer("byte_bpe_50k.tiktoken"))
 
@@ -29,11 +55,43 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op4_language_id": op4_language_id,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_exact_dedup": op8_exact_dedup,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 
 SQL = {
+    "op7_substring_dedup": r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS v
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM words WHERE len(w) >= 20)
+), later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY v ORDER BY doc_id, i) AS n FROM windows) WHERE n > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(i, i + 19)) AS p FROM later
+), kept AS (
+  SELECT a.doc_id, string_agg(a.word, ' ' ORDER BY a.p) AS text, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM words) a
+  ANTI JOIN gone USING (doc_id, p) GROUP BY a.doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+""",
+    "op8_exact_dedup": r"""
+WITH rows AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[ \t-\r]', '', 'g') AS n FROM documents
+), best AS (
+  SELECT *, first_value(doc_id) OVER (PARTITION BY n ORDER BY length(t) DESC, doc_id) AS keep_id,
+    count(*) OVER (PARTITION BY n) AS group_size FROM rows
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(n) AS text_sha256 FROM best
+""",
     "op10_quality_rules": r"""
 WITH words AS (
   SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+') AS w FROM documents

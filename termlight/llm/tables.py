@@ -13,6 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termlight.operators.joins import fits_broadcast
+
+MAX_BROADCAST_ROWS = 400_000
+MAX_BROADCAST_BYTES = 24 * 1024 * 1024
 #: Between words: space and the control characters 9 to 13.
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_CLASS = r"[\x20\x09-\x0D]"
@@ -33,9 +37,32 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def both_equal(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    """Null-safe equality of the named columns of two tables."""
-    result = F.lit(True)
-    for name in names:
-        result = result & left[name].eqNullSafe(right[name])
-    return result
+def text_version(text: str = "text") -> Column:
+    """What tells rows of one id apart: a 32-bit hash of the text."""
+    return F.hash(F.col(text))
+
+
+def sized_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join to a table that holds each key once; ids are compared null-safe.
+
+    The right side is broadcast where its measured size is below a bound; otherwise both sides are
+    shuffled. Keys are documents, so none is hot. How: inner, left, left_semi or left_anti.
+    """
+    right = right.select(*[F.col(n).alias(f"__{n}") for n in on], *[n for n in right.columns if n not in on])
+    if fits_broadcast(right, MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES):
+        right = F.broadcast(right)
+    condition = F.lit(True)
+    for n in on:
+        condition = condition & left[n].eqNullSafe(right[f"__{n}"])
+    joined = left.join(right, condition, how)
+    return joined.drop(*[f"__{n}" for n in on])
+
+
+def drop_documents(
+    docs: DataFrame, keys: DataFrame, id_column: str = "doc_id", text_column: str = "text", how: str = "left_anti"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose document is not (or, by left_semi, is) in ``keys``."""
+    text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
+    marked = docs.select("*", F.col(f"`{id_column}`").alias("__key_id"), F.hash(text).alias("__key_version"))
+    keys = keys.select(F.col("doc_id").alias("__key_id"), F.col("version").alias("__key_version"))
+    return sized_join(marked, keys, ["__key_id", "__key_version"], how).select(*[f"`{c}`" for c in docs.columns])
