@@ -30,8 +30,12 @@ from termlight.session import cut_lineage, new_folder
 
 #: Arrival files in a micro-batch.
 FILES_PER_BATCH = 64
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on the executors' disks; without pre-allocation, which takes megabytes for each state
+#: partition however little it holds.
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 _BLANK_BYTES = BLANKS.encode()
 
 
@@ -80,16 +84,15 @@ def _state(arrivals: DataFrame, files_per_batch: int) -> DataFrame:
         batch.write.mode("overwrite").parquet(f"{changes}/batch={number}")
 
     spark.createDataFrame([], groups.schema).write.parquet(f"{changes}/batch=-1")
-    held = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    held = {key: spark.conf.get(key, None) for key in _STATE}
+    for key, value in _STATE.items():
+        spark.conf.set(key, value)
     try:
         stream = groups.writeStream.outputMode("update").option("checkpointLocation", marks)
         stream.trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
     finally:
-        if held is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, held)
+        for key, value in held.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     schema = StructType([*groups.schema.fields, StructField("batch", IntegerType())])
     written = spark.read.schema(schema).parquet(changes)
     last = F.max_by(F.struct("n", "best"), "batch").alias("last")
