@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termlight.llm import doubling, exact_stream, language, packing, quality, simhash, suffix_dedup
+from termlight.llm import (
+    doubling,
+    exact_stream,
+    language,
+    licenses,
+    merge_dropout,
+    packing,
+    quality,
+    simhash,
+    suffix_dedup,
+    urls,
+)
 from termlight.llm.tables import read
 
 
@@ -21,6 +32,20 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(read(spark, folder, "pages"))
+
+
+def op3_merge_dropout(spark: SparkSession, folder: str) -> DataFrame:
+    """Encodes every text under a seed and decodes the ids again."""
+    model = tokenizer("piece_bpe_32k.model")
+    coded = merge_dropout.decode(merge_dropout.encode(read(spark, folder, "documents"), model), model)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.col("text")).alias("lossless"),
+    )
+
+
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Learns from the documents outside the held-out fold and judges all of them."""
     docs = read(spark, folder, "documents")
@@ -29,6 +54,10 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.summary(licenses.scan(read(spark, folder, "documents")))
+
+
 def op6_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.digests(read(spark, folder, "documents"))
 
@@ -56,7 +85,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_url_filters": op2_url_filters,
+    "op3_merge_dropout": op3_merge_dropout,
     "op4_language_id": op4_language_id,
+    "op5_license_scan": op5_license_scan,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_exact_dedup": op8_exact_dedup,
@@ -64,7 +96,38 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 
+def _license_values() -> str:
+    rows = [(name, licenses.template_bigrams(text)) for name, text in licenses.TEMPLATES]
+    quoted = [f"('{name}', [{', '.join(repr(g) for g in grams)}])" for name, grams in rows]
+    return ", ".join(quoted)
+
+
 SQL = {
+    "op5_license_scan": rf"""
+WITH templates(license, grams) AS (VALUES {_license_values()}
+), texts AS (
+  SELECT doc_id, coalesce(text, '') AS t FROM documents
+), units AS (
+  SELECT doc_id, unnest(string_split(t, chr(10))) AS unit FROM texts
+  UNION ALL
+  SELECT doc_id, p FROM (SELECT doc_id, unnest(regexp_split_to_array(t, '\n[ \t\r]*\n')) AS p FROM texts)
+  WHERE contains(trim(p, ' ' || chr(9) || chr(13) || chr(10)), chr(10))
+), numbered AS (
+  SELECT row_number() OVER () AS u, doc_id, string_split(trim(regexp_replace(lower(unit), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS w FROM units
+), grams AS (
+  SELECT u, doc_id, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM numbered WHERE len(w) > 1
+), scores AS (
+  SELECT u, doc_id, license, 2.0 * len(list_intersect(g, grams.grams_)) / (len(g) + len(grams.grams_)) AS score
+  FROM (SELECT u, doc_id, g, license, templates.grams AS grams_ FROM grams JOIN templates
+    ON len(g) <= len(templates.grams) * 1.5 AND len(g) * 1.5 >= len(templates.grams)) AS grams
+), best AS (
+  SELECT u, doc_id, max(score) AS score, max_by(license, (score, license)) AS license FROM scores GROUP BY u, doc_id HAVING max(score) >= 0.8
+), found AS (
+  SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, '|' ORDER BY license) AS licenses, max(score) AS score FROM best GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_matches, coalesce(licenses, '') AS licenses, round(coalesce(score, 0.0), 6) AS best_score
+FROM texts LEFT JOIN found USING (doc_id)
+""",
     "op7_substring_dedup": r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+') AS w FROM documents

@@ -98,7 +98,7 @@ def _pairs(variants: DataFrame) -> DataFrame:
         (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp"))
         & (F.bit_count(apart) <= DISTANCE) & first_common
     )
-    return a.join(b, condition).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
+    return a.join(b.hint("merge"), condition).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
 
 
 def _by_centres(prints: DataFrame) -> DataFrame:
@@ -107,7 +107,8 @@ def _by_centres(prints: DataFrame) -> DataFrame:
     flips = F.explode(F.array(*[F.lit(_signed(f)) for f in flips]))
     around = prints.select("fp", flips.alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("centre"))
     least = around.groupBy("centre").agg(F.min("fp").alias("b"), F.max("fp").alias("top")).where("b < top")
-    return around.join(least, "centre").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
+    # Sizes before the expansion say nothing about the join: it must not be planned as a broadcast.
+    return around.join(least.hint("merge"), "centre").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
 
 
 def links(prints: DataFrame, max_bucket: int = MAX_BUCKET) -> DataFrame:
