@@ -91,7 +91,7 @@ def _anchors(docs: DataFrame, length: int) -> DataFrame:
                 h.append(levels.quarter[found])
                 c.append(mix(mix(levels.whole[first], levels.whole[last]), shape))
             if rows:
-                some = batch.take(pa.array(np.concatenate(rows)))
+                some = batch.select(KEY).take(pa.array(np.concatenate(rows)))
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), some.column(1), pa.array(np.concatenate(at), pa.int32()),
                      _signed(np.concatenate(h)), _signed(np.concatenate(c))],
@@ -120,7 +120,7 @@ def _extended(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
                     out["first"].append(first)
                     out["halves"].append([{"start": s, "hash": h} for s, h in zip(starts, levels.half[starts].view(np.int64).tolist(), strict=True)])
                     out["windows"].append(levels.whole[first : last + 1].view(np.int64).tolist())
-            some = batch.take(pa.array(rows, pa.int64()))
+            some = batch.select(KEY).take(pa.array(rows, pa.int64()))
             kinds = [pa.int32(), pa.int32(), pa.list_(pa.struct([("start", pa.int32()), ("hash", pa.int64())])), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
                 [some.column(0), some.column(1), *[pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)]],

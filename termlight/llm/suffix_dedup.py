@@ -76,7 +76,7 @@ def _anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 h += [digest(data[p : p + gram]) for p in found]
                 c += [digest(data[max(0, p - back) : min(p, last) + length], min(p, back)) for p in found]
             if rows:
-                some = batch.take(pa.array(np.concatenate(rows)))
+                some = batch.select(KEY).take(pa.array(np.concatenate(rows)))
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), some.column(1), pa.array(at, pa.int32()),
                      *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in (h, c)]],
@@ -105,7 +105,7 @@ def _surroundings(docs: DataFrame, places: DataFrame, length: int, gram: int) ->
                     rows.append(i)
                     for column, value in zip(out, (p["shard"], p["split"], first, data[first : min(p["at"], len(data) - length) + length]), strict=True):
                         column.append(value)
-            some = batch.take(pa.array(rows, pa.int64()))
+            some = batch.select(KEY).take(pa.array(rows, pa.int64()))
             arrays = [pa.array(v, k) for v, (_, k) in zip(out, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), *arrays], names=[*KEY, *[n for n, _ in kinds]])
 
