@@ -23,13 +23,30 @@ def _sliding(pick: Callable, values: np.ndarray, width: int) -> np.ndarray:
     return pick(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def window_minima(values: np.ndarray, width: int) -> np.ndarray:
-    """Positions that hold the smallest of some window of ``width`` values; of equals, all."""
+def anchors_of(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The anchors of all windows of ``width`` values, and the first and last window of each.
+
+    The anchor of a window is the position of its smallest value, the leftmost of equals; every
+    window has one, and the windows of one anchor follow each other.
+    """
     if len(values) < width:
-        return np.empty(0, np.int64)
+        return (np.empty(0, np.int64),) * 3
+    minima = _sliding(np.minimum, values, width)
     least = np.zeros(len(values) + width - 1, np.uint64)
-    least[width - 1 : len(values)] = _sliding(np.minimum, values, width)
-    return np.flatnonzero(_sliding(np.maximum, least, width) == values)
+    least[width - 1 : len(values)] = minima
+    found = np.flatnonzero(_sliding(np.maximum, least, width) == values)
+    own = np.searchsorted(found, np.arange(len(minima)))
+    wrong = np.flatnonzero(values[found[own]] != minima)
+    while len(wrong):
+        own[wrong] += 1
+        wrong = wrong[values[found[own[wrong]]] != minima[wrong]]
+    used, first = np.unique(own, return_index=True)
+    return found[used], first, np.append(first[1:], len(minima)) - 1
+
+
+def shapes(at: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Where an anchor's windows begin and how many follow, relative to the anchor, in one number."""
+    return (at - first) << 16 | (last - first)
 
 
 def merge_runs(packed: np.ndarray) -> np.ndarray:

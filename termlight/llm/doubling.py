@@ -4,15 +4,15 @@ A window of ``length`` words is removed if the same words also start earlier: in
 smaller id (then a smaller text hash), or earlier in the same document. Windows are judged on the
 input. Three levels narrow the candidates, each twice as long as the one before:
 
-1. A quarter of the length. Of every window, the quarter-length run with the smallest hash is its
-   anchor, so that equal windows have equal anchors at equal places; about one word in nine starts
-   an anchor. Anchors that occur once in the corpus are dropped. Of anchors whose whole surroundings
-   (all windows that hold the anchor) are equal too, all but the first are removed at once, and only
-   the first goes on.
+1. A quarter of the length. The anchor of a window is the quarter-length run in it with the smallest
+   hash, so that equal windows have equal anchors at equal places; about one word in nine starts an
+   anchor. Anchors that occur once in the corpus are dropped. Of anchors whose surroundings (all
+   windows that they are the anchor of) are equal too, all but the first are removed at once, and
+   only the first goes on.
 2. Half of the length. Where the first occurrences of an anchor differ in their surroundings, the
    anchor is extended to the left and to the right; it goes on if either extension occurs again.
-3. The whole length. The windows around the anchors that are left are grouped; in each group all but
-   the first are removed.
+3. The whole length. The windows of the anchors that are left are grouped; in each group all but the
+   first are removed.
 
 Each level is a partial aggregation by hash and a join, of rows that shrink from level to level; a
 passage in very many documents is one row per task in the aggregation, and the join with it is dealt
@@ -37,8 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from termlight.llm.anchors import merge_runs, mix, window_minima
-from termlight.llm.tables import plain, sized_join, text_version
+from termlight.llm.anchors import anchors_of, merge_runs, mix, shapes
+from termlight.llm.tables import discard, plain, sized_join, text_version
 from termlight.session import cut_lineage
 
 LENGTH = 20
@@ -71,75 +71,73 @@ def _typed(table: DataFrame, *fields: tuple) -> StructType:
 
 
 def _anchors(docs: DataFrame, length: int) -> DataFrame:
-    """``doc_id, version, at, h, c``: anchors with the hashes of themselves and their surroundings."""
+    """``doc_id, version, at, shape, h, c``: anchors with hashes of themselves and their surroundings."""
     part = length // 4
-    back = length - part
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, at, h, c = [], [], [], []
+            rows, columns = [], [[] for _ in range(4)]
             for i, text in enumerate(batch.column(2)):
                 words = _words(text.as_py())
                 if len(words) < length:
                     continue
                 levels = Levels(words, length)
-                found = window_minima(levels.quarter, back + 1)
-                first, last = np.maximum(found - back, 0), np.minimum(found, len(words) - length)
-                shape = ((found - first) << 32 | (last - first)).astype(np.uint64)
-                rows.append(np.full(len(found), i))
-                at.append(found)
-                h.append(levels.quarter[found])
-                c.append(mix(mix(levels.whole[first], levels.whole[last]), shape))
+                at, first, last = anchors_of(levels.quarter, length - part + 1)
+                shape = shapes(at, first, last)
+                around = mix(mix(levels.whole[first], levels.whole[last]), shape.astype(np.uint64))
+                rows.append(np.full(len(at), i))
+                for column, values in zip(columns, (at, shape, levels.quarter[at], around), strict=True):
+                    column.append(values)
             if rows:
                 some = batch.select(KEY).take(pa.array(np.concatenate(rows)))
+                at, shape, h, c = (np.concatenate(column) for column in columns)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), some.column(1), pa.array(np.concatenate(at), pa.int32()),
-                     _signed(np.concatenate(h)), _signed(np.concatenate(c))],
-                    names=[*KEY, "at", "h", "c"],
+                    [some.column(0), some.column(1), pa.array(at, pa.int32()), pa.array(shape, pa.int32()), _signed(h), _signed(c)],
+                    names=[*KEY, "at", "shape", "h", "c"],
                 )
 
-    schema = _typed(docs, ("at", IntegerType()), ("h", LongType()), ("c", LongType()))
-    return docs.select(*KEY, "text").mapInArrow(run, schema)
+    fields = [("at", IntegerType()), ("shape", IntegerType()), ("h", LongType()), ("c", LongType())]
+    return docs.select(*KEY, "text").mapInArrow(run, _typed(docs, *fields))
 
 
-def _extended(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
-    """For the places ``at`` of each document: hashes of the half-length extensions and the windows."""
+def _hashes(docs: DataFrame, places: DataFrame, length: int, half: bool) -> DataFrame:
+    """``doc_id, version, place, start, hash`` at the ``place`` of each document, an anchor and its shape:
+    of the half-length extensions to both sides, or of all windows of the anchor.
+    """
     part = length // 4
-    back = length - part
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, out = [], {"at": [], "first": [], "halves": [], "windows": []}
-            for i, (text, places_) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+            rows, columns = [], [[] for _ in range(3)]
+            for i, (text, own) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
                 levels = Levels(_words(text.as_py()), length)
-                for at in places_.as_py():
-                    first, last = max(at - back, 0), min(at, len(levels.whole) - 1)
-                    starts = [s for s in (at - part, at) if 0 <= s < len(levels.half)]
-                    rows.append(i)
-                    out["at"].append(at)
-                    out["first"].append(first)
-                    out["halves"].append([{"start": s, "hash": h} for s, h in zip(starts, levels.half[starts].view(np.int64).tolist(), strict=True)])
-                    out["windows"].append(levels.whole[first : last + 1].view(np.int64).tolist())
-            some = batch.select(KEY).take(pa.array(rows, pa.int64()))
-            kinds = [pa.int32(), pa.int32(), pa.list_(pa.struct([("start", pa.int32()), ("hash", pa.int64())])), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays(
-                [some.column(0), some.column(1), *[pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)]],
-                names=[*KEY, *out],
-            )
+                place = own.values.to_numpy()
+                at, shape = place >> 32, place & 0xFFFFFFFF
+                if half:
+                    source, starts, place = levels.half, np.concatenate([at - part, at]), np.tile(place, 2)
+                    inside = (starts >= 0) & (starts < len(source))
+                    starts, place = starts[inside], place[inside]
+                else:
+                    count = (shape & 0xFFFF) + 1
+                    source, place = levels.whole, np.repeat(place, count)
+                    step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+                    starts = np.repeat(at - (shape >> 16), count) + step
+                rows.append(np.full(len(starts), i))
+                for column, values in zip(columns, (place, starts, source[starts]), strict=True):
+                    column.append(values)
+            if rows:
+                some = batch.select(KEY).take(pa.array(np.concatenate(rows)))
+                place, starts, hashes = (np.concatenate(column) for column in columns)
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), some.column(1), pa.array(place, pa.int64()), pa.array(starts, pa.int32()), _signed(hashes)],
+                    names=[*KEY, "place", "start", "hash"],
+                )
 
-    half = StructType([StructField("start", IntegerType()), StructField("hash", LongType())])
-    schema = _typed(docs, ("at", IntegerType()), ("first", IntegerType()), ("halves", ArrayType(half)), ("windows", ArrayType(LongType())))
-    wanted = places.groupBy(*KEY).agg(F.collect_set("at").alias("places"))
+    schema = _typed(docs, ("place", LongType()), ("start", IntegerType()), ("hash", LongType()))
+    wanted = cut_lineage(places.groupBy(*KEY).agg(F.collect_set("place").alias("places")), "places")
     return sized_join(docs, wanted, KEY).select(*KEY, "text", "places").mapInArrow(run, schema)
 
 
-def _repeated(rows: DataFrame, by: str, place: str) -> DataFrame:
-    """The values of ``by`` that stand at more than one place; with the first place."""
-    where = F.struct(*KEY, place)
-    both = rows.groupBy(by).agg(F.min(where).alias("earliest"), F.max(where).alias("latest"))
-    return both.where("earliest <> latest").select(by, "earliest")
-
-
 @F.pandas_udf(ArrayType(LongType()))
 def _merged(runs: pd.Series) -> pd.Series:
     return runs.map(merge_runs)
@@ -154,25 +152,26 @@ def repeated_runs(docs: DataFrame, length: int) -> DataFrame:
 
     ``docs`` is ``doc_id, version, text``. A run is start * 2**32 + end; the end may pass the text's.
     """
-    back = length - length // 4
     anchors = cut_lineage(_anchors(docs, length), "anchors")
     again = anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     level1 = cut_lineage(anchors.join(again, "h", "left_semi"), "level1")
-    place = F.struct(*KEY, "at")
+    discard(anchors)
+    place = F.struct(*KEY, "at", "shape")
     firsts = cut_lineage(level1.groupBy("h", "c").agg(F.min(place).alias("earliest"), F.count("*").alias("n")), "firsts")
     later = level1.join(firsts.where("n > 1").select("h", "c", "earliest"), ["h", "c"]).where(place != F.col("earliest"))
-    copied = later.select(*KEY, _packed(F.greatest(F.col("at") - back, F.lit(0)), F.col("at") + length).alias("run"))
+    first = F.col("at") - F.shiftright("shape", 16)
+    copied = later.select(*KEY, _packed(first, first + F.col("shape").bitwiseAND(F.lit(0xFFFF)) + length).alias("run"))
 
     differ = firsts.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     places = firsts.join(differ, "h", "left_semi").select("earliest.*")
-    level2 = cut_lineage(_extended(docs, places, length), "level2")
-    halves = level2.select(*KEY, "at", F.explode("halves").alias("half")).select(*KEY, "at", "half.start", "half.hash")
-    alive = halves.join(_repeated(halves, "hash", "start"), "hash", "left_semi").select(*KEY, "at").distinct()
-    alive = alive.select(F.col("doc_id").alias("__doc"), F.col("version").alias("__version"), F.col("at").alias("__at"))
-    match = level2["doc_id"].eqNullSafe(alive["__doc"]) & (level2["version"] == alive["__version"]) & (level2["at"] == alive["__at"])
-    level3 = level2.join(alive, match, "left_semi").select(*KEY, "first", F.posexplode("windows").alias("step", "hash"))
-    level3 = cut_lineage(level3.select(*KEY, (F.col("first") + F.col("step")).alias("start"), "hash").distinct(), "level3")
-    windows = level3.join(_repeated(level3, "hash", "start"), "hash").where(F.struct(*KEY, "start") != F.col("earliest"))
+    places = places.select(*KEY, _packed(F.col("at"), F.col("shape")).alias("place"))
+    level2 = cut_lineage(_hashes(docs, places, length, half=True), "level2")
+    longer = level2.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+    places = level2.join(longer, "hash", "left_semi").select(*KEY, "place")
+    level3 = cut_lineage(_hashes(docs, places, length, half=False), "level3")
+    start = F.struct(*KEY, "start")
+    whole = level3.groupBy("hash").agg(F.min(start).alias("earliest"), F.count("*").alias("n")).where("n > 1")
+    windows = level3.join(whole.drop("n"), "hash").where(start != F.col("earliest"))
     found = windows.select(*KEY, _packed(F.col("start"), F.col("start") + length).alias("run"))
     return copied.unionByName(found).groupBy(*KEY).agg(_merged(F.collect_set("run")).alias("runs"))
 

@@ -3,10 +3,11 @@
 Every byte covered by a string of ``length`` bytes that also starts anywhere else is removed, all
 copies alike; strings are judged on the input and never cross documents.
 
-1. Every string of the length holds an anchor, the 32-byte gram with the smallest hash in it; about
-   one byte in 85 starts one. Anchors that occur once in the corpus are dropped, so most text is
-   left here. Anchors whose whole surroundings (all strings that hold the anchor) occur again are
-   removed with them, and one occurrence of each goes on where an anchor has different surroundings.
+1. The anchor of a string of the length is the 32-byte gram in it with the smallest hash, so equal
+   strings have equal anchors at equal places; about one byte in 85 starts one. Anchors that occur
+   once in the corpus are dropped, so most text is left here. Anchors whose whole surroundings (all
+   strings that they are the anchor of) occur again are removed with them, and one occurrence of
+   each goes on where an anchor has different surroundings.
 2. These surroundings go to shards by anchor, so that equal strings meet in one shard. A shard sorts
    its suffixes by Larsson-Sadakane refinement and finds common prefixes by Kasai's method, both in
    numpy; neighbours that share the length stand at two places.
@@ -30,13 +31,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from termlight.llm.anchors import merge_runs, mix, window_minima
+from termlight.llm.anchors import anchors_of, merge_runs, mix, shapes
 from termlight.llm.suffixes import Shard, repeated_starts
-from termlight.llm.tables import plain, sized_join, text_version
+from termlight.llm.tables import discard, plain, sized_join, text_version
 from termlight.session import cut_lineage
 
 LENGTH = 200
@@ -58,58 +59,60 @@ def _gram_hashes(data: bytes, gram: int) -> np.ndarray:
 
 
 def _anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """``doc_id, version, at, h, c``: anchors with the hashes of themselves and their surroundings."""
-    back = length - gram
+    """``doc_id, version, at, shape, h, c``: anchors with hashes of themselves and their surroundings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            rows, at, h, c = [], [], [], []
+            rows, at, shape, h, c = [], [], [], [], []
             for i, text in enumerate(batch.column(2)):
                 data = text.as_py().encode()
-                last = len(data) - length
-                if last < 0:
+                if len(data) < length:
                     continue
-                found = window_minima(_gram_hashes(data, gram), back + 1).tolist()
+                found, first, last = anchors_of(_gram_hashes(data, gram), length - gram + 1)
+                form = shapes(found, first, last).tolist()
+                found, spans = found.tolist(), zip(first.tolist(), (last + length).tolist(), form, strict=True)
                 rows.append(np.full(len(found), i))
                 at += found
+                shape += form
                 h += [digest(data[p : p + gram]) for p in found]
-                c += [digest(data[max(0, p - back) : min(p, last) + length], min(p, back)) for p in found]
+                c += [digest(data[a:b], s) for a, b, s in spans]
             if rows:
                 some = batch.select(KEY).take(pa.array(np.concatenate(rows)))
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), some.column(1), pa.array(at, pa.int32()),
+                    [some.column(0), some.column(1), pa.array(at, pa.int32()), pa.array(shape, pa.int32()),
                      *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in (h, c)]],
-                    names=[*KEY, "at", "h", "c"],
+                    names=[*KEY, "at", "shape", "h", "c"],
                 )
 
-    schema = _typed(docs, ("at", IntegerType()), ("h", LongType()), ("c", LongType()))
-    return docs.select(*KEY, "text").mapInArrow(run, schema)
+    fields = [("at", IntegerType()), ("shape", IntegerType()), ("h", LongType()), ("c", LongType())]
+    return docs.select(*KEY, "text").mapInArrow(run, _typed(docs, *fields))
 
 
 def _surroundings(docs: DataFrame, places: DataFrame, length: int, gram: int) -> DataFrame:
-    """``doc_id, version, shard, split, first, bytes`` for the ``places(doc_id, version, at, ...)``."""
-    back = length - gram
-    each = F.struct("at", "shard", "split")
-    wanted = places.groupBy(*KEY).agg(F.collect_set(each).alias("places"))
+    """``doc_id, version, h, first, bytes``: the text of all strings of each anchor in ``place``."""
+    wanted = cut_lineage(places.groupBy(*KEY).agg(F.collect_set("place").alias("places")), "places")
     joined = sized_join(docs, wanted, KEY).select(*KEY, "text", "places")
-    kinds = [("shard", pa.int64()), ("split", pa.bool_()), ("first", pa.int32()), ("bytes", pa.binary())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, out = [], [[] for _ in kinds]
-            for i, (text, places_) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+            rows, h, first, texts = [], [], [], []
+            for i, (text, own) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
                 data = text.as_py().encode()
-                for p in places_.as_py():
-                    first = max(0, p["at"] - back)
+                for place in own.as_py():
+                    at, shape = place >> 32, place & 0xFFFFFFFF
+                    begin = at - (shape >> 16)
                     rows.append(i)
-                    for column, value in zip(out, (p["shard"], p["split"], first, data[first : min(p["at"], len(data) - length) + length]), strict=True):
-                        column.append(value)
+                    h.append(xxhash.xxh3_64_intdigest(data[at : at + gram]))
+                    first.append(begin)
+                    texts.append(data[begin : begin + (shape & 0xFFFF) + length])
             some = batch.select(KEY).take(pa.array(rows, pa.int64()))
-            arrays = [pa.array(v, k) for v, (_, k) in zip(out, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), *arrays], names=[*KEY, *[n for n, _ in kinds]])
+            yield pa.RecordBatch.from_arrays(
+                [some.column(0), some.column(1), pa.array(np.array(h, np.uint64).view(np.int64)), pa.array(first, pa.int32()), pa.array(texts, pa.binary())],
+                names=[*KEY, "h", "first", "bytes"],
+            )
 
-    schema = _typed(docs, ("shard", LongType()), ("split", BooleanType()), ("first", IntegerType()), ("bytes", BinaryType()))
+    schema = _typed(docs, ("h", LongType()), ("first", IntegerType()), ("bytes", BinaryType()))
     return joined.mapInArrow(run, schema)
 
 
@@ -186,27 +189,25 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard
 
     ``docs`` is ``doc_id, version, text``; the end of a run may pass the text's.
     """
-    back = length - gram
     anchors = cut_lineage(_anchors(docs, length, gram), "anchors")
     again = anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     level1 = cut_lineage(anchors.join(again, "h", "left_semi"), "level1")
-    place = F.struct(*KEY, "at")
+    discard(anchors)
+    place = F.struct(*KEY, "at", "shape")
     kinds = level1.groupBy("h", "c").agg(F.min(place).alias("one"), F.max(place).alias("other"))
     kinds = cut_lineage(kinds, "kinds")
     copied = level1.join(kinds.where("one <> other").select("h", "c"), ["h", "c"], "left_semi")
-    copied = copied.select(*KEY, F.array(
-        F.shiftleft(F.greatest(F.col("at") - back, F.lit(0)).cast("long"), 32).bitwiseOR((F.col("at") + length).cast("long"))
-    ).alias("runs"))
-
-    counts = kinds.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    differ = cut_lineage(kinds.select("h", "one").join(counts, "h"), "differ")
-    shards = max(1, differ.count() // shard)
-    parts = F.ceil(F.col("n") / shard)
-    part = F.when(F.col("n") > shard, F.pmod(F.xxhash64("one"), parts)).otherwise(F.lit(0))
-    places = differ.select(
-        "one.*", F.pmod(F.xxhash64("h", part), F.lit(shards)).alias("shard"), (F.col("n") > shard).alias("split")
-    )
-    texts = _surroundings(docs, places, length, gram).distinct()
+    first = F.col("at") - F.shiftright("shape", 16)
+    copied = copied.select(*KEY, F.array(_packed(first, first + F.col("shape").bitwiseAND(F.lit(0xFFFF)) + length)).alias("runs"))
+
+    counts = cut_lineage(kinds.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "counts")
+    places = kinds.select("h", "one").join(counts, "h", "left_semi").select("one.*")
+    places = places.select(*KEY, _packed(F.col("at"), F.col("shape")).alias("place"))
+    hot = counts.where(F.col("n") > shard).select("h", F.ceil(F.col("n") / shard).alias("parts"))
+    shards = max(1, (counts.agg(F.sum("n")).first()[0] or 0) // shard)
+    part = F.coalesce(F.pmod(F.xxhash64(*KEY, "first"), "parts"), F.lit(0))
+    texts = sized_join(_surroundings(docs, places, length, gram), hot, ["h"], "left")
+    texts = texts.select(*KEY, "first", "bytes", F.pmod(F.xxhash64("h", part), F.lit(shards)).alias("shard"), F.col("parts").isNotNull().alias("split"))
     schema = _typed(docs, ("shard", LongType()), ("digest", LongType()), ("runs", ArrayType(LongType())))
     found = cut_lineage(texts.groupBy("shard").applyInArrow(_shard_function(length, schema.names), schema), "shards")
     strings = found.where("digest IS NOT NULL").withColumn("place", F.xxhash64(*KEY, "runs"))
@@ -215,6 +216,10 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard
     return every.groupBy(*KEY).agg(_merged(F.collect_set("runs")).alias("runs"))
 
 
+def _packed(start: Column, end: Column) -> Column:
+    return F.shiftleft(start.cast("long"), 32).bitwiseOR(end.cast("long"))
+
+
 def _cut(text: str, runs: list[int] | None) -> tuple[int, int, int, bytes]:
     """Bytes, bytes removed, runs, and the bytes that are left."""
     data = text.encode()

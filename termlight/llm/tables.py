@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from termlight.operators.joins import fits_broadcast
 
 MAX_BROADCAST_ROWS = 400_000
-MAX_BROADCAST_BYTES = 24 * 1024 * 1024
+MAX_BROADCAST_BYTES = 40 * 1024 * 1024
 #: Between words: space and the control characters 9 to 13.
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_CLASS = r"[\x20\x09-\x0D]"
@@ -37,6 +37,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table written by ``cut_lineage`` that nothing reads any more."""
+    spark = table.sparkSession
+    for name in {path.rpartition("/")[0] for path in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_version(text: str = "text") -> Column:
     """What tells rows of one id apart: a 32-bit hash of the text."""
     return F.hash(F.col(text))
