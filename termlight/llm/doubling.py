@@ -67,7 +67,7 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def _typed(table: DataFrame, *fields: tuple) -> StructType:
-    return StructType([*[table.schema[k] for k in KEY], *[StructField(n, t) for n, t in fields]])
+    return StructType([StructField(n, t) for n, t in [*[(k, table.schema[k].dataType) for k in KEY], *fields]])
 
 
 def _anchors(docs: DataFrame, length: int) -> DataFrame:

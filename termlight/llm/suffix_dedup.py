@@ -11,9 +11,9 @@ copies alike; strings are judged on the input and never cross documents.
 2. These surroundings go to shards by anchor, so that equal strings meet in one shard. A shard sorts
    its suffixes by Larsson-Sadakane refinement and finds common prefixes by Kasai's method, both in
    numpy; neighbours that share the length stand at two places.
-3. An anchor with very many different surroundings is split over several shards. The sorted distinct
-   strings of those shards, as hashes, are exchanged by range and merged shard by shard with binary
-   search; a string found in an earlier shard is removed in both.
+3. An anchor with very many different surroundings is split over several shards. The distinct strings
+   of each of those shards, as a sorted run of hashes cut by range, meet those of the others and are
+   merged run by run with binary search; a string found in an earlier run is removed in both.
 
 A shard is bounded by its number of surroundings, whatever the data. Hashes have 64 bits. Texts meet
 positions by document: the positions are broadcast where their measured size allows, otherwise both
@@ -48,7 +48,7 @@ KEY = ["doc_id", "version"]
 
 
 def _typed(table: DataFrame, *fields: tuple) -> StructType:
-    return StructType([*[table.schema[k] for k in KEY], *[StructField(n, t) for n, t in fields]])
+    return StructType([StructField(n, t) for n, t in [*[(k, table.schema[k].dataType) for k in KEY], *fields]])
 
 
 def _gram_hashes(data: bytes, gram: int) -> np.ndarray:
@@ -116,67 +116,76 @@ def _surroundings(docs: DataFrame, places: DataFrame, length: int, gram: int) ->
     return joined.mapInArrow(run, schema)
 
 
-def _shard_function(length: int, names: list[str]):
-    """Of one shard: the runs to remove, and the distinct strings of the anchors that are split."""
+def _shard_function(length: int, ranges: int, names: list[str]):
+    """Of one shard: the runs to remove, and, of anchors that are split, the sorted distinct strings.
+
+    The strings, as hashes with their places, are cut by range: one row for each range.
+    """
 
     def run(rows: pa.Table) -> pa.Table:
         shard, numbers = Shard(rows.column("bytes").to_pylist()), {}
-        document = [numbers.setdefault(k, len(numbers)) for k in zip(*[rows.column(n).to_pylist() for n in KEY], strict=True)]
+        keys = list(zip(*[rows.column(n).to_pylist() for n in KEY], strict=True))
+        document = np.array([numbers.setdefault(k, len(numbers)) for k in keys], np.int64)
         first = rows.column("first").to_numpy().astype(np.int64)
         start = first[shard.text_of] + np.arange(len(shard.rest)) - shard.starts[shard.text_of]
-        place = np.array(document, np.int64)[shard.text_of] << 32 | start
-        at, several, group = repeated_starts(shard, length, place)
-        texts, runs, digests_ = [], [], []
+        at, several, group = repeated_starts(shard, length, document[shard.text_of] << 32 | start)
+        out = []
         hits = np.sort(at[several])
         for own in np.split(hits, np.flatnonzero(np.diff(shard.text_of[hits])) + 1) if len(hits) else []:
-            texts.append(int(shard.text_of[own[0]]))
-            runs.append(merge_runs(start[own] << 32 | (start[own] + length)).tolist())
-            digests_.append(None)
+            doc, version = keys[int(shard.text_of[own[0]])]
+            out.append({"doc_id": doc, "version": version, "runs": merge_runs(start[own] << 32 | (start[own] + length)).tolist()})
         split = np.array(rows.column("split").to_pylist(), bool)
         if split.any() and len(at):
             distinct = np.concatenate([[True], group[1:] != group[:-1]])
-            for p in at[distinct & split[shard.text_of[at]]].tolist():
-                digest = xxhash.xxh3_64_intdigest(shard.bytes[p : p + length].tobytes())
-                texts.append(int(shard.text_of[p]))
-                runs.append([int(start[p]) << 32 | int(start[p] + length)])
-                digests_.append(digest - ((digest >> 63) << 64))
-        some = rows.take(pa.array(texts, pa.int64()))
-        columns = [*[some.column(n) for n in [*KEY, "shard"]], pa.array(digests_, pa.int64()), pa.array(runs, pa.list_(pa.int64()))]
-        return pa.Table.from_arrays(columns, names=names)
+            places = at[distinct & split[shard.text_of[at]]]
+            digest = np.array([xxhash.xxh3_64_intdigest(shard.bytes[p : p + length].tobytes()) for p in places.tolist()], np.uint64)
+            by = np.argsort(digest)
+            places, digest = places[by], digest[by]
+            part = np.minimum((digest.astype(np.float64) / 2**64 * ranges).astype(np.int64), ranges - 1)
+            for r in np.unique(part).tolist():
+                own = np.flatnonzero(part == r)
+                held = [keys[t] for t in shard.text_of[places[own]].tolist()]
+                out.append({
+                    "part": r, "digests": digest[own].view(np.int64).tolist(), "starts": start[places[own]].tolist(),
+                    "ids": [k[0] for k in held], "versions": [k[1] for k in held],
+                })
+        kinds = [rows.schema.field("doc_id").type, pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(rows.schema.field("doc_id").type), pa.list_(pa.int32())]
+        return pa.Table.from_arrays([pa.array([o.get(n) for o in out], k) for n, k in zip(names, kinds, strict=True)], names=names)
 
     return run
 
 
-def _merged_shards(strings: DataFrame) -> DataFrame:
+def _merged_shards(strings: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """``doc_id, version, runs`` of the strings that several shards hold.
 
-    Strings arrive by range of their hashes, sorted by shard and hash: each shard is a sorted run.
-    Runs are searched in what has been merged so far, by binary search, and then merged into it.
+    Of one range, each shard's strings are a sorted run. A run is searched in what has been merged
+    so far, by binary search, and then merged into it.
     """
-    schema = StructType([*[strings.schema[k] for k in KEY], strings.schema["runs"]])
-    ordered = strings.repartitionByRange("digest").sortWithinPartitions("shard", "digest")
-    columns = [*KEY, "runs", "shard", "digest", "place"]
+    schema = _typed(docs, ("runs", ArrayType(LongType())))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        if not held:
-            return
-        table = pa.Table.from_batches(held)
-        shard, digest, place = (table.column(n).to_numpy() for n in ("shard", "digest", "place"))
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]])
-        merged, owner, hit = np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(shard), bool)
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            own = digest[a:b]
-            if len(merged):
-                at = np.minimum(np.searchsorted(merged, own), len(merged) - 1)
-                same = (merged[at] == own) & (place[owner[at]] != place[a:b])
-                hit[np.arange(a, b)[same]] = True
-                hit[owner[at[same]]] = True
+    def run(rows: pa.Table) -> pa.Table:
+        merged, owner = np.empty(0, np.uint64), np.empty(0, np.int64)
+        places, hits = [], set()
+        for row in rows.to_pylist():
+            own = np.array(row["digests"], np.int64).view(np.uint64)
+            begin = len(places)
+            places += zip(row["ids"], row["versions"], row["starts"], strict=True)
             into = np.searchsorted(merged, own)
-            merged, owner = np.insert(merged, into, own), np.insert(owner, into, np.arange(a, b))
-        yield from table.filter(pa.array(hit)).select([*KEY, "runs"]).combine_chunks().to_batches()
-
-    return ordered.select(*columns).mapInArrow(run, schema)
+            if len(merged):
+                at = np.minimum(into, len(merged) - 1)
+                for i in np.flatnonzero(merged[at] == own).tolist():
+                    pair = places[int(owner[at[i]])], places[begin + i]
+                    if pair[0] != pair[1]:
+                        hits.update(pair)
+            merged, owner = np.insert(merged, into, own), np.insert(owner, into, np.arange(begin, len(places)))
+        found: dict = {}
+        for doc, version, start in hits:
+            found.setdefault((doc, version), []).append(start << 32 | (start + length))
+        columns = [[k[0] for k in found], [k[1] for k in found], [merge_runs(np.array(v)).tolist() for v in found.values()]]
+        kinds = [rows.schema.field("ids").type.value_type, pa.int32(), pa.list_(pa.int64())]
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=schema.names)
+
+    return strings.groupBy("part").applyInArrow(run, schema)
 
 
 @F.pandas_udf(ArrayType(LongType()))
@@ -208,11 +217,16 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard
     part = F.coalesce(F.pmod(F.xxhash64(*KEY, "first"), "parts"), F.lit(0))
     texts = sized_join(_surroundings(docs, places, length, gram), hot, ["h"], "left")
     texts = texts.select(*KEY, "first", "bytes", F.pmod(F.xxhash64("h", part), F.lit(shards)).alias("shard"), F.col("parts").isNotNull().alias("split"))
-    schema = _typed(docs, ("shard", LongType()), ("digest", LongType()), ("runs", ArrayType(LongType())))
-    found = cut_lineage(texts.groupBy("shard").applyInArrow(_shard_function(length, schema.names), schema), "shards")
-    strings = found.where("digest IS NOT NULL").withColumn("place", F.xxhash64(*KEY, "runs"))
-    across = _merged_shards(strings)
-    every = copied.unionByName(found.where("digest IS NULL").select(*KEY, "runs")).unionByName(across)
+    numbers = ArrayType(LongType())
+    schema = _typed(
+        docs, ("runs", numbers), ("part", LongType()), ("digests", numbers), ("starts", numbers),
+        ("ids", ArrayType(docs.schema["doc_id"].dataType)), ("versions", ArrayType(IntegerType())),
+    )
+    sharded = texts.groupBy("shard").applyInArrow(_shard_function(length, shards, schema.names), schema)
+    found = cut_lineage(sharded, "shards")
+    strings = found.where("part IS NOT NULL").drop(*KEY, "runs")
+    across = _merged_shards(strings, docs, length)
+    every = copied.unionByName(found.where("part IS NULL").select(*KEY, "runs")).unionByName(across)
     return every.groupBy(*KEY).agg(_merged(F.collect_set("runs")).alias("runs"))
 
 
