@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from termlight.operators.ranking import number_rows
 
 DEPTH = 10
-QUERY_LIMIT = 5000
 
 
 def relevant_only(qrels: DataFrame) -> DataFrame:
@@ -82,12 +81,12 @@ def evaluate_models(
     models: list[str],
     k: int = DEPTH,
     order: str = "query_id",
-    limit: int | None = QUERY_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
     """``Model, MAP, Recall@k, P@k, nDCG@k``: macro-averages over the judged queries.
 
-    Of the first ``limit`` queries in ``order``, those with a relevant document count; a query
-    without results counts as 0. Without any such query every model gets zeros.
+    All queries with a relevant document count, or those among the first ``limit`` in ``order``
+    where a limit is given; a query without results counts as 0. Without any such query every model gets zeros.
     """
     taken = queries.select("query_id", order) if order != "query_id" else queries.select(order)
     taken = taken.orderBy(order).limit(limit) if limit else taken

@@ -60,7 +60,8 @@ def indexable(tokens: DataFrame) -> DataFrame:
 
 def skip_counts(tokens: DataFrame, skip_ids: DataFrame) -> DataFrame:
     """How many rows are kept and how many are left out for each reason."""
-    listed = skip_ids.select("doc_id").distinct().withColumn("__listed", F.lit(True))
+    keys = DOC if {"dataset"} <= set(tokens.columns) & set(skip_ids.columns) else ["doc_id"]
+    listed = skip_ids.select(keys).distinct().withColumn("__listed", F.lit(True))
     blank = F.coalesce(F.trim(F.col("doc_id").cast("string")), F.lit("")) == ""
     reason = (
         F.when(blank, "blank_id")
@@ -68,7 +69,7 @@ def skip_counts(tokens: DataFrame, skip_ids: DataFrame) -> DataFrame:
         .when(F.coalesce(F.size("tokens"), F.lit(0)) <= 0, "no_tokens")
         .otherwise("kept")
     )
-    reasons = tokens.join(listed, "doc_id", "left").select(reason.alias("reason"))
+    reasons = tokens.join(listed, keys, "left").select(reason.alias("reason"))
     return reasons.groupBy("reason").agg(F.count("*").alias("docs"))
 
 
@@ -193,11 +194,21 @@ def tfidf_norms(postings: DataFrame, vocab: DataFrame, stats: DataFrame) -> Data
     return parts.groupBy(DOC).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
 
 
-def tfidf_weights(postings: DataFrame, vocab: DataFrame, stats: DataFrame) -> DataFrame:
-    """``dataset, doc_id, term, weight`` with unit-length documents."""
-    parts = tfidf_parts(postings, vocab, stats)
-    norms = parts.groupBy(DOC).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return parts.join(norms, DOC).select(
+def with_norms(rows: DataFrame, norms: DataFrame) -> DataFrame:
+    """Join by document. Both sides are bucketed by ``doc_id``.
+
+    The collections are compared by two inequalities: as an equality they would become a second
+    join key, for which Spark would shuffle all rows again.
+    """
+    norms = norms.select(F.col("doc_id").alias("__doc"), F.col("dataset").alias("__set"), "norm")
+    same = (F.col("dataset") <= F.col("__set")) & (F.col("dataset") >= F.col("__set"))
+    return rows.join(norms, (F.col("doc_id") == F.col("__doc")) & same).drop("__doc", "__set")
+
+
+def tfidf_weights(index: SearchIndex) -> DataFrame:
+    """``dataset, doc_id, term, weight`` with unit-length documents, by the stored norms."""
+    parts = tfidf_parts(index.postings, index.vocab, index.stats)
+    return with_norms(parts, index.norms).select(
         *DOC, "term", (F.col("w") / F.col("norm")).alias("weight")
     )
 

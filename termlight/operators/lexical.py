@@ -19,6 +19,7 @@ from termlight.operators.index import (
     positive_idf,
     smooth_idf,
     with_dataset,
+    with_norms,
 )
 from termlight.operators.joins import (
     MAX_BROADCAST_BYTES,
@@ -150,17 +151,6 @@ def tfidf_query(
     return weighted.withColumn("wq", weight / norm).select(*keys, *TERM, "idf", "wq")
 
 
-def _with_norms(dots: DataFrame, norms: DataFrame) -> DataFrame:
-    """Join by document. Both sides are bucketed by ``doc_id``.
-
-    The collections are compared by two inequalities: as an equality they would become a second
-    join key, for which Spark would shuffle all candidates again.
-    """
-    norms = norms.select(F.col("doc_id").alias("__doc"), F.col("dataset").alias("__set"), "norm")
-    same = (F.col("dataset") <= F.col("__set")) & (F.col("dataset") >= F.col("__set"))
-    return dots.join(norms, (F.col("doc_id") == F.col("__doc")) & same).drop("__doc", "__set")
-
-
 def tfidf(
     index: SearchIndex,
     queries: DataFrame,
@@ -182,5 +172,5 @@ def tfidf(
         return _ranked(score(index, weighted, part, keys, few), keys, k)
     part = F.col("wq") * F.col("tf") * F.col("idf")
     dots = score(index, tfidf_query(index, terms, keys, few), part, keys, few)
-    cosines = _with_norms(dots, index.norms).withColumn("score", F.col("score") / F.col("norm"))
+    cosines = with_norms(dots, index.norms).withColumn("score", F.col("score") / F.col("norm"))
     return _ranked(cosines.where(F.col("score") > 0), keys, k)

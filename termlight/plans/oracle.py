@@ -56,7 +56,7 @@ def tokens(name: str, source: str, keys: str, text: str) -> str:
   FROM {source}),
 {name}_s AS (
   SELECT *, list_filter(w, lambda t: t NOT IN ({_quoted(STOP_WORDS)})) AS s FROM {name}_w),
-{name} AS (
+{name} AS MATERIALIZED (
   SELECT * EXCLUDE (w, s), CASE WHEN len(s) > 0 THEN s ELSE w END AS tokens FROM {name}_s)"""
 
 
@@ -352,9 +352,6 @@ def oracle_sql() -> dict[str, str]:
         "text_tokens": f"SELECT doc_id, array_to_string({words('text')}, ' ') AS tokens FROM documents",
         "text_stopwords": f"""SELECT doc_id, array_to_string({stopped('text')}, ' ') AS tokens
             FROM documents""",
-        "text_default_analyzer": _sql(
-            "SELECT doc_id, array_to_string(tokens, ' ') AS tokens FROM d", DOCS
-        ),
         "text_fallback": _sql(
             "SELECT doc_id, sentence, array_to_string(tokens, ' ') AS tokens FROM st",
             SENTENCES,
@@ -521,6 +518,76 @@ def oracle_sql() -> dict[str, str]:
             ALL_RUNS,
             linear("hl", ["bm25", "tfidf", "dense"]),
         ),
+        "router_mixed_requests": _sql(
+            " UNION ALL ".join(
+                f"""SELECT query_id || '/{m}/{f} {k}' AS query_id, '{m}' AS model, doc_id, score, rank
+                FROM {run} WHERE rank <= {k}"""
+                for k in (3, 10, 25)
+                for m, f, run in [
+                    ("bm25", "rrf", "bm25"), ("tfidf", "rrf", "tfidf"), ("embedding", "rrf", "dense"),
+                    ("hybrid_serial", "rrf", "hs"), ("hybrid_parallel", "rrf", f"hp{k}"),
+                    ("hybrid_parallel", "linear", f"hl{k}"),
+                ]
+            ),
+            BASE, okapi_run("bm25", 100), TFIDF, tfidf_run("tfidf", 50), QVECTORS, dense_run("dense", 100),
+            serial("hs", 25),
+            *[rrf(f"hp{k}", ["bm25", "tfidf", "dense"], k, 2 * k) for k in (3, 10, 25)],
+            *[linear(f"hl{k}", ["bm25", "tfidf", "dense"], k, 2 * k) for k in (3, 10, 25)],
+        ),
+        "search_datasets": _sql(
+            "SELECT query_id, 'src' || (query_id % 20) AS dataset, doc_id, score, rank FROM run",
+            BASE,
+            """src AS (SELECT doc_id, source FROM documents),
+            dp AS (SELECT source, doc_id, term, tf FROM posts JOIN src USING (doc_id)),
+            dlen AS (SELECT source, doc_id, dl FROM lens JOIN src USING (doc_id)),
+            ds AS (SELECT source, count(*) AS n, avg(dl) AS avgdl FROM dlen GROUP BY 1),
+            dv AS (SELECT source, term, count(*) AS df FROM dp GROUP BY ALL),
+            dk AS (SELECT source, term, ln(n - df + 0.5) - ln(df + 0.5) AS raw FROM dv JOIN ds USING (source)),
+            di AS (SELECT source, term, CASE WHEN raw < 0 THEN 0.25 * avg(raw) OVER (PARTITION BY source)
+              ELSE raw END AS idf FROM dk),
+            dq AS (SELECT *, 'src' || (query_id % 20) AS source FROM qterms)""",
+            ranked(
+                "run",
+                """SELECT query_id, doc_id, sum(qtf * idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl)))
+                AS score FROM dq JOIN dp USING (source, term) JOIN di USING (source, term)
+                JOIN dlen USING (source, doc_id) JOIN ds USING (source) GROUP BY query_id, doc_id HAVING score > 0""",
+                10,
+            ),
+        ),
+        "search_pipeline": _sql(
+            """SELECT c.query_id AS query_id, c.text AS query, c.corrected AS corrected_query,
+              CASE WHEN pf THEN coalesce(prf_query, c.corrected) END AS expanded_query,
+              CASE WHEN c.query_id % 3 = 1 THEN 'tfidf' ELSE 'bm25' END AS model_used,
+              r.rank, r.doc_id, round(r.score, 4) AS score, documents.text AS snippet,
+              count(r.doc_id) OVER (PARTITION BY c.query_id) AS total_results
+            FROM c LEFT JOIN prf USING (query_id) LEFT JOIN chosen r ON r.query_id = c.query_id
+            LEFT JOIN documents ON documents.doc_id = r.doc_id""",
+            INDEX,
+            SPELLING,
+            """flags AS (SELECT item_id AS query_id, text, item_id % 4 <> 3 AS sp, item_id % 2 = 0 AS sy,
+              item_id % 3 = 0 AS pf FROM benchmark)""",
+            tokens("c", "(SELECT query_id, f.text AS text, sy, pf, CASE WHEN sp THEN x.corrected ELSE f.text END"
+                        " AS corrected FROM flags f JOIN corrected x USING (query_id))",
+                   "query_id, text, corrected, sy, pf", "corrected"),
+            """cterms AS (SELECT query_id, term, count(*) AS qtf
+              FROM (SELECT query_id, unnest(tokens) AS term FROM c) GROUP BY ALL)""",
+            okapi_run("fed", 5, "cterms"),
+            FEEDBACK,
+            prf("fed", "(SELECT * FROM c WHERE pf)", "corrected"),
+            tokens("p", "prf", "query_id", "prf_query"),
+            """q AS (SELECT query_id, sy, coalesce(p.tokens, c.tokens) AS tokens FROM c LEFT JOIN p USING (query_id))""",
+            synonyms(),
+            TOKS,
+            """fterms AS (SELECT query_id, term, count(*) AS qtf FROM (SELECT query_id, term FROM toks
+              UNION ALL SELECT query_id, synonym FROM toks JOIN syns USING (term) JOIN q USING (query_id)
+              WHERE ord <= 2 AND sy) GROUP BY ALL)""",
+            okapi_run("bm25", 10, "fterms"),
+            TFIDF,
+            tfidf_run("tfidf", 10, "fterms"),
+            """chosen AS (SELECT * FROM (SELECT *, query_id % 3 = 1 AS other FROM bm25 WHERE query_id % 3 <> 1
+              UNION ALL SELECT *, true FROM tfidf WHERE query_id % 3 = 1)
+              WHERE rank <= CASE WHEN query_id % 2 = 0 THEN 5 ELSE 10 END)""",
+        ),
         # fusion and output
         "fusion_rrf": _sql(
             _plain("f", lexical), LEXICAL_RUNS, rrf("f", ["bm25", "tfidf"])
@@ -639,4 +706,13 @@ def oracle_sql() -> dict[str, str]:
             "SELECT doc_id, array_to_string(tokens, ' ') AS tokens FROM d", DOCS
         ),
         "stream_index": _sql("SELECT doc_id, term, tf FROM posts", INDEX),
+        "stream_index_datasets": _sql(
+            """SELECT dataset, doc_id, term, count(*) AS tf FROM (SELECT dataset, doc_id, unnest(tokens) AS term
+            FROM (SELECT dataset, doc_id, arg_max(tokens, place) AS tokens FROM e WHERE len(tokens) > 0
+              GROUP BY dataset, doc_id)) GROUP BY ALL""",
+            tokens("e", "(SELECT source AS dataset, doc_id % 100 AS doc_id, documents.doc_id AS place,"
+                        " CASE WHEN documents.doc_id % 7 = 0 THEN '' ELSE text END AS text FROM documents)",
+                   "dataset, doc_id, place", "text"),
+        ),
+        "stream_search": _sql(_plain("bm25", lexical), BASE, okapi_run("bm25", 10)),
     }

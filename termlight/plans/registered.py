@@ -27,7 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 LIST = ["query_id", "doc_id", "score", "rank"]
 KEYS = ["query_id"]
 
-_indexes: dict[tuple[str, str], index.SearchIndex] = {}
+_indexes: dict[tuple[str, ...], index.SearchIndex] = {}
 
 
 TABLES = {
@@ -67,10 +67,11 @@ def hybrid_queries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def session_index(spark: SparkSession, folder: str) -> index.SearchIndex:
-    """The index of the folder's documents, built once per session and read by every search."""
-    key = (spark.sparkContext.applicationId, folder)
+    """The index of the folder's documents, built once per session and list of files."""
+    docs = documents(spark, folder)
+    key = (spark.sparkContext.applicationId, *sorted(docs.inputFiles()))
     if key not in _indexes:
-        _indexes[key] = index.build_index(documents(spark, folder))
+        _indexes[key] = index.build_index(docs)
     return _indexes[key]
 
 
@@ -80,11 +81,6 @@ def corpus(spark: SparkSession, folder: str) -> search.Corpus:
     )
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread the texts of few large files over all tasks before the costly analysis."""
-    return df.repartition(key)
-
-
 def joined(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys, T.join_tokens(F.col("tokens")).alias("tokens"))
 
@@ -92,7 +88,7 @@ def joined(df: DataFrame, *keys: str) -> DataFrame:
 def sentences(spark: SparkSession, folder: str) -> DataFrame:
     """Each sentence of each document as a text of its own; many hold stop words only."""
     parts = F.split("text", r"[.!?\n]+")
-    docs = spread(documents(spark, folder), "doc_id")
+    docs = documents(spark, folder)
     return docs.select("doc_id", F.posexplode(parts).alias("sentence", "text")).withColumn(
         "sentence", F.col("sentence").cast("long")
     )
@@ -168,7 +164,7 @@ def empty_docs(spark, folder):
 
 
 def processed_docs(spark, folder):
-    return joined(index.processed(spread(documents(spark, folder), "doc_id")), "doc_id")
+    return joined(index.processed(documents(spark, folder)), "doc_id")
 
 
 def processed_queries(spark, folder):
@@ -218,17 +214,17 @@ def text_normalize(spark, folder):
     pages = table(spark, folder, "pages").select(
         F.lit("pages").alias("source"), F.col("page_id").alias("id"), F.col("html").alias("text")
     )
-    both = spread(docs.unionByName(pages), "id")
+    both = docs.unionByName(pages)
     return both.select("source", "id", T.normalize(F.col("text")).alias("normalized"))
 
 
 def text_tokens(spark, folder):
-    docs = spread(documents(spark, folder), "doc_id")
+    docs = documents(spark, folder)
     return joined(docs.withColumn("tokens", T.tokenize(T.normalize(F.col("text")))), "doc_id")
 
 
 def text_stopwords(spark, folder):
-    return joined(plain_tokens(spread(documents(spark, folder), "doc_id"), mode="lemma"), "doc_id")
+    return joined(plain_tokens(documents(spark, folder), mode="lemma"), "doc_id")
 
 
 def text_fallback(spark, folder):
@@ -236,7 +232,7 @@ def text_fallback(spark, folder):
 
 
 def feedback_words(spark, folder):
-    docs = spread(documents(spark, folder), "doc_id")
+    docs = documents(spark, folder)
     return docs.select("doc_id", T.join_tokens(T.feedback_words(F.col("text"))).alias("words"))
 
 
@@ -253,7 +249,7 @@ def lemma_dictionary(spark, folder) -> DataFrame:
 
 
 def lemma_join(spark, folder):
-    docs = spread(documents(spark, folder), "doc_id")
+    docs = documents(spark, folder)
     return joined(analyze(docs, ["doc_id"], lemmas=lemma_dictionary(spark, folder)), "doc_id")
 
 
@@ -263,11 +259,11 @@ def lemma_postings(spark, folder):
 
 
 def stem_tokens(spark, folder):
-    return joined(analyze(spread(documents(spark, folder), "doc_id"), ["doc_id"], mode="stem"), "doc_id")
+    return joined(analyze(documents(spark, folder), ["doc_id"], mode="stem"), "doc_id")
 
 
 def stem_vocabulary(spark, folder):
-    tokens = plain_tokens(spread(documents(spark, folder), "doc_id"), mode="stem")
+    tokens = plain_tokens(documents(spark, folder), mode="stem")
     return stem_table(tokens.select(F.explode_outer("tokens").alias("term")))
 
 
@@ -290,7 +286,7 @@ def phrase_table(spark, folder) -> DataFrame:
 
 
 def entity_gazetteer(spark, folder):
-    docs = spread(documents(spark, folder), "doc_id")
+    docs = documents(spark, folder)
     return annotate.entities(docs, phrase_table(spark, folder), 3)
 
 
@@ -300,7 +296,7 @@ def valence_lexicon(spark, folder) -> DataFrame:
         F.regexp_extract_all(F.lower("text"), F.lit("[a-z][a-z'-]*"), F.lit(0))
     )
     labels = table(spark, folder, "labels").select("doc_id", "quality")
-    docs = spread(documents(spark, folder), "doc_id").join(labels, "doc_id")
+    docs = documents(spark, folder).join(labels, "doc_id")
     words = docs.select("quality", F.explode(found).alias("word"))
     share = F.sum("quality") / F.count("*")
     return words.groupBy("word").agg((8.0 * share - 4).alias("valence"), F.count("*").alias("n")).where(
@@ -310,7 +306,7 @@ def valence_lexicon(spark, folder) -> DataFrame:
 
 def sentiment_lexicon(spark, folder):
     lexicon = cut_lineage(valence_lexicon(spark, folder), "lexicon")
-    return annotate.sentiment(spread(documents(spark, folder), "doc_id"), lexicon)
+    return annotate.sentiment(documents(spark, folder), lexicon)
 
 
 # --- index -----------------------------------------------------------------------------------
@@ -368,8 +364,7 @@ def doc_length_lookup(spark, folder):
 
 
 def tfidf_weights(spark, folder):
-    built = session_index(spark, folder)
-    weights = index.tfidf_weights(built.postings, built.vocab, built.stats)
+    weights = index.tfidf_weights(session_index(spark, folder))
     return weights.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
@@ -464,6 +459,29 @@ def model_router(spark, folder):
     )
 
 
+def router_mixed_requests(spark, folder):
+    """Depths 3, 10 and 25 through every model, both fusion methods, and no method for depth 3."""
+    wishes = [(m, f, k) for k in (3, 10, 25) for m, f in [*[(m, "rrf") for m in search.MODELS], ("hybrid_parallel", "linear")]]
+    options = F.array(*[
+        F.struct(
+            F.lit(m).alias("model"), F.lit(k).alias("top_k"), F.lit(f"{f} {k}").alias("name"),
+            F.lit(None if (f, k) == ("rrf", 3) else f).cast("string").alias("fusion_method"),
+        )
+        for m, f, k in wishes
+    ])
+    requests = hybrid_queries(spark, folder).withColumn("wish", F.explode(options)).select("*", "wish.*").drop("wish")
+    requests = requests.withColumn("query_id", F.concat_ws("/", "query_id", "model", "name")).drop("name")
+    return search.route(corpus(spark, folder), requests).select("query_id", "model", "doc_id", "score", "rank")
+
+
+def search_datasets(spark, folder):
+    """Each query in one of the collections that ``source`` makes of the documents."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", F.col("source").alias("dataset"))
+    collection = F.concat(F.lit("src"), (F.col("query_id") % 20).cast("string"))
+    asked = analyzed_queries(spark, folder).withColumn("dataset", collection)
+    return lexical.bm25(index.build_index(docs), asked).select("query_id", "dataset", *LIST[1:])
+
+
 # --- fusion and output -----------------------------------------------------------------------
 
 
@@ -522,7 +540,7 @@ def query_analyze(spark, folder):
 def spelling_dictionary(spark, folder) -> DataFrame:
     """Every word of the documents with its frequency."""
     words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
-    docs = spread(documents(spark, folder), "doc_id")
+    docs = documents(spark, folder)
     return docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("cf"))
 
 
@@ -586,6 +604,20 @@ def query_refine(spark, folder):
     )
 
 
+def search_pipeline(spark, folder):
+    """Refinement with flags for each row, routing by model and depth, and the results."""
+    number = F.col("query_id")
+    asked = queries_table(spark, folder).withColumns({
+        "use_spell_correction": number % 4 != 3, "use_synonyms": number % 2 == 0, "use_prf": number % 3 == 0,
+        "model": F.when(number % 3 == 1, "tfidf").otherwise("bm25"),
+        "top_k": F.when(number % 2 == 0, 5).otherwise(10),
+    })
+    dictionary = cut_lineage(spelling_dictionary(spark, folder), "dictionary")
+    found = search.answer(corpus(spark, folder), asked, dictionary, thesaurus(spark, folder))
+    rows = found.withColumn("r", F.explode_outer("results"))
+    return rows.select("query_id", "query", "corrected_query", "expanded_query", "model_used", "r.*", "total_results")
+
+
 def history_append(spark, folder):
     new = table(spark, folder, "conversations").select(
         F.col("conv_id").alias("user_id"), F.col("turn").alias("pos"), F.col("text").alias("query")
@@ -680,6 +712,28 @@ def stream_index(spark, folder):
     return ingest.streamed_postings(spark, out).select("doc_id", "term", "tf")
 
 
+def stream_index_datasets(spark, folder):
+    """Several files in one batch, with equal ids in several collections, copies and empty copies."""
+    source = new_folder(spark, "in")
+    docs = table(spark, folder, "documents").select(
+        F.col("source").alias("dataset"), (F.col("doc_id") % 100).alias("doc_id"), F.col("doc_id").alias("at"),
+        F.when(F.col("doc_id") % 7 == 0, F.lit("")).otherwise(F.col("text")).alias("text"),
+    )
+    docs.repartition(4, "at").write.parquet(source)
+    out = new_folder(spark, "stream")
+    stream = ingest.read_documents(spark, source, docs.schema)
+    ingest.stream_postings(stream, out, new_folder(spark, "offsets"), "at").awaitTermination()
+    return ingest.streamed_postings(spark, out).select("dataset", "doc_id", "term", "tf")
+
+
+def stream_search(spark, folder):
+    """BM25 over an index that a stream has built."""
+    out = new_folder(spark, "stream")
+    ingest.stream_postings(_stream(spark, folder), out, new_folder(spark, "offsets")).awaitTermination()
+    built = ingest.read_streamed_index(spark, out)
+    return lexical.bm25(built, analyzed_queries(spark, folder)).select(LIST)
+
+
 PROCESSED_LONG = "doc_id bigint, tokens array<string>"
 
 QUERIES: dict[str, Query] = {
@@ -696,13 +750,13 @@ QUERIES: dict[str, Query] = {
             doc_length_lookup, tfidf_weights, bm25_idf, bm25_okapi, bm25_plus_one,
             bm25_param_sweep, tfidf_cosine, tfidf_loglog, dense_topk, vector_normalize, query_tf,
             hybrid_serial, hybrid_serial_rescored, hybrid_parallel_rrf, hybrid_parallel_linear,
-            model_router, fusion_rrf, fusion_linear, run_max_normalize, run_ranked, runs_merged,
+            model_router, router_mixed_requests, search_datasets, search_pipeline, fusion_rrf, fusion_linear, run_max_normalize, run_ranked, runs_merged,
             results_with_text, search_response, query_analyze, spell_correct, synonym_expand,
             prf_expand, query_suggest, query_refine, history_append, eval_models,
             eval_single_list, stream_preprocess, stream_resume, stream_index,
+            stream_index_datasets, stream_search,
         )
     },
     "embedding_stats": lambda spark, folder: dense.vector_stats(table(spark, folder, "embeddings")),
-    "text_default_analyzer": processed_docs,
     **{f"eval_{name}": _one_metric(name) for name in ("precision", "recall", "ap", "ndcg")},
 }

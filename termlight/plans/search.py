@@ -15,6 +15,7 @@ from termlight.operators.index import SearchIndex, with_dataset
 from termlight.operators.joins import wanted_rows
 from termlight.operators.lexical import B, K1, bm25, tfidf
 from termlight.operators.ranking import merge_runs
+from termlight.operators.refine import refine
 from termlight.session import cut_lineage
 
 MODELS = ["tfidf", "bm25", "embedding", "hybrid_serial", "hybrid_parallel"]
@@ -140,29 +141,93 @@ def all_runs(corpus: Corpus, queries: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
-def route(corpus: Corpus, requests: DataFrame, max_k: int = 10) -> DataFrame:
+def _defaults(requests: DataFrame, values: dict) -> DataFrame:
+    """Fill missing columns and null values."""
+    for name, value in values.items():
+        held = F.coalesce(F.col(name), F.lit(value)) if name in requests.columns else F.lit(value)
+        requests = requests.withColumn(name, held)
+    return requests
+
+
+#: The models that read each base run.
+READERS = {
+    "bm25": ["bm25", "hybrid_serial", "hybrid_parallel"],
+    "tfidf": ["tfidf", "hybrid_parallel"],
+    "embedding": ["embedding", "hybrid_serial", "hybrid_parallel"],
+}
+
+
+def route(corpus: Corpus, requests: DataFrame) -> DataFrame:
     """Answer each request with the model, depth and fusion method it asks for.
 
-    ``requests(query_id, tokens, model[, top_k, k1, b, fusion_method, embedding])``; ``max_k``
-    bounds ``top_k``. An unknown model fails the query.
+    ``requests(query_id, tokens, model[, top_k, k1, b, fusion_method, embedding])``; missing and
+    null values mean 10, ``K1``, ``B`` and ``rrf``. An unknown model or method fails the job. Each
+    base run is computed once, at the greatest depth that its requests need, and cut for each
+    request before fusing.
     """
-    for name, value in (("k1", K1), ("b", B), ("top_k", max_k), ("fusion_method", "rrf")):
-        if name not in requests.columns:
-            requests = requests.withColumn(name, F.lit(value))
-    wrong = F.concat(F.lit("unknown model "), F.col("model"))
-    checked = F.when(F.col("model").isin(MODELS), F.col("model")).otherwise(F.raise_error(wrong))
-    requests = requests.withColumn("model", checked)
-    runs = None
-    for model in MODELS:
-        methods = ("rrf", "linear") if model == "hybrid_parallel" else (None,)
-        for method in methods:
-            mine = requests.where(F.col("model") == model)
-            if method:
-                mine = mine.where((F.col("fusion_method") == "rrf") == F.lit(method == "rrf"))
-            run = run_model(corpus, mine.drop("model"), model, max_k, method or "rrf")
-            runs = run if runs is None else runs.unionByName(run)
-    limits = requests.select("query_id", "model", "top_k")
-    return runs.join(limits, "query_id").where(F.col("rank") <= F.col("top_k")).drop("top_k")
+    requests = _defaults(requests, {"top_k": 10, "k1": K1, "b": B, "fusion_method": "rrf"})
+
+    def one_of(name: str, known: list[str]):
+        wrong = F.concat(F.lit(f"unknown {name} "), F.coalesce(F.col(name), F.lit("null")))
+        return F.when(F.col(name).isin(known), F.col(name)).otherwise(F.raise_error(wrong))
+
+    requests = requests.withColumn("model", one_of("model", MODELS))
+    requests = requests.withColumn("fusion_method", one_of("fusion_method", ["rrf", "linear"]))
+    requests = cut_lineage(requests, "requests")
+    limits = requests.select("query_id", F.col("model").alias("asked"), "top_k", "fusion_method")
+    deepest = {r.model: r.k for r in requests.groupBy("model").agg(F.max("top_k").alias("k")).collect()}
+    needs = {"hybrid_serial": lambda k: FIRST_STAGE, "hybrid_parallel": lambda k: 2 * k}
+    bases = {}
+    for base, readers in READERS.items():
+        depths = [needs.get(m, lambda k: k)(deepest[m]) for m in readers if m in deepest]
+        if depths:
+            mine = requests.where(F.col("model").isin(readers)).drop("model")
+            find = dense_run if base == "embedding" else lexical_run
+            options = {} if base == "embedding" else {"model": base}
+            bases[base] = find(corpus, mine, max(depths), **options)
+    if not bases:
+        return limits.where("false").select(
+            "query_id", F.col("asked").alias("model"), *[F.lit(None).cast("double").alias(c) for c in ("doc_id", "score", "rank")]
+        )
+    found = cut_lineage(merge_runs(bases).join(limits, "query_id"), "runs")
+    return _assemble(found, deepest)
+
+
+def _assemble(found: DataFrame, deepest: dict[str, int]) -> DataFrame:
+    """The lists asked for, from base runs with ``asked, top_k, fusion_method`` of their request."""
+    cut = F.col("rank") <= F.col("top_k")
+    parts = [found.where((F.col("model") == F.col("asked")) & cut).select("query_id", "model", *COLUMNS[1:])]
+    limits = found.select("query_id", "top_k").distinct()
+
+    def answered(run: DataFrame, model: str) -> DataFrame:
+        run = run.join(limits, "query_id").where(cut)
+        return run.select("query_id", F.lit(model).alias("model"), *COLUMNS[1:])
+
+    if "hybrid_serial" in deepest:
+        stage = found.where((F.col("asked") == "hybrid_serial") & (F.col("rank") <= FIRST_STAGE))
+        lists = [stage.where(F.col("model") == m) for m in ("bm25", "embedding")]
+        dense = lists[1].select(COLUMNS)
+        parts.append(answered(serial_from(lists[0], dense, deepest["hybrid_serial"]), "hybrid_serial"))
+    if "hybrid_parallel" in deepest:
+        stage = found.where((F.col("asked") == "hybrid_parallel") & (F.col("rank") <= 2 * F.col("top_k")))
+        for method in ("rrf", "linear"):
+            lists = stage.where(F.col("fusion_method") == method).select("model", *COLUMNS)
+            fused = fuse(lists, ["query_id"], list(READERS), method, None, deepest["hybrid_parallel"])
+            parts.append(answered(fused, "hybrid_parallel"))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def answer(
+    corpus: Corpus, requests: DataFrame, dictionary: DataFrame, synonyms: DataFrame, history: DataFrame | None = None
+) -> DataFrame:
+    """The whole search: refine each request by its flags, route it, and attach the results."""
+    refined = refine(requests, corpus.index, corpus.documents, dictionary, synonyms, history)
+    refined = cut_lineage(refined, "refined")
+    asked = refined.drop("tokens").withColumnRenamed("expanded_tokens", "tokens")
+    return responses(refined, route(corpus, asked), corpus.documents)
 
 
 def with_text(run: DataFrame, documents: DataFrame) -> DataFrame:
@@ -175,7 +240,8 @@ def with_text(run: DataFrame, documents: DataFrame) -> DataFrame:
     texts = documents.select(*keys, F.when(F.col("text") != "", F.col("text")).alias("snippet"))
     run = cut_lineage(run, "results")
     texts = wanted_rows(texts, run.select(keys).distinct(), keys)
-    return run.join(texts, keys, "left")
+    # Of equal ids one text is attached, so that a result is never multiplied.
+    return run.join(texts.groupBy(keys).agg(F.max("snippet").alias("snippet")), keys, "left")
 
 
 def responses(requests: DataFrame, run: DataFrame, documents: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
+# Key names in the order of preference, and the columns of the metrics report.
 ID_KEYS = ["doc_id", "id", "_id", "document_id"]
 TEXT_KEYS = ["text", "contents", "content", "body", "passage"]
 

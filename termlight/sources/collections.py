@@ -102,17 +102,23 @@ def document_lookup(documents: DataFrame, ordinal: str, keys: list[str] | None =
     return keep_last(filled.select(*keys, "text", ordinal), keys, ordinal).drop(ordinal)
 
 
-def not_yet_done(rows: DataFrame, done: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows whose id a former run has not written."""
-    return rows.join(done.select(key).distinct(), key, "left_anti")
+def document_keys(*tables: DataFrame) -> list[str]:
+    """``doc_id``, within its ``dataset`` where all of the tables have one."""
+    return ["dataset", "doc_id"] if all("dataset" in table.columns for table in tables) else ["doc_id"]
 
 
-def append_new(rows: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
+def not_yet_done(rows: DataFrame, done: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """The rows whose document a former run has not written."""
+    keys = keys or document_keys(rows, done)
+    return rows.join(done.select(keys).distinct(), keys, "left_anti")
+
+
+def append_new(rows: DataFrame, path: str, keys: list[str] | None = None) -> DataFrame:
     """Append the rows that ``path`` does not hold yet and return the whole table."""
     spark = rows.sparkSession
     held = read_if_stored(spark, path, rows.schema)
     if held is not None:
-        rows = not_yet_done(rows, held, key)
+        rows = not_yet_done(rows, held, keys)
     rows.write.mode("append").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 

@@ -7,19 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from termlight.operators.analyze import plain_tokens
 from termlight.operators.index import (
     SearchIndex,
-    build_postings,
     corpus_stats,
     doc_lengths,
+    postings_from_tokens,
     tfidf_norms,
     vocabulary,
+    with_dataset,
 )
 from termlight.session import cut_lineage
-from termlight.sources.collections import append_new, not_yet_done, read_if_stored
+from termlight.sources.collections import append_new, document_keys, not_yet_done, read_if_stored
 
 
 def read_documents(
@@ -38,8 +39,8 @@ def read_documents(
 
 
 def stream_processed(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Append ``doc_id, tokens`` of everything that has arrived; the batch analyzer, unchanged."""
-    tokens = plain_tokens(stream).select("doc_id", "tokens")
+    """Append the document's key and ``tokens`` of everything that has arrived."""
+    tokens = plain_tokens(stream).select(*document_keys(stream), "tokens")
     return (
         tokens.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
@@ -58,22 +59,37 @@ def _each_batch(stream: DataFrame, work: Callable, checkpoint: str) -> Streaming
     )
 
 
-def stream_once_per_document(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Process each ``doc_id`` once, however often it arrives.
+def last_copies(batch: DataFrame, ordinal: str | None = None) -> DataFrame:
+    """The document's key and ``tokens``, once per document of a batch.
+
+    Of several copies the last one that has tokens counts, by ``ordinal`` or by arrival. Copies are
+    combined before the shuffle.
+    """
+    keys = document_keys(batch)
+    order = F.col(ordinal) if ordinal else F.monotonically_increasing_id()
+    tokens = plain_tokens(batch.withColumn("__order", order)).select(*keys, "tokens", "__order")
+    last = F.max_by("tokens", F.struct(F.size("tokens") > 0, "__order")).alias("tokens")
+    return tokens.groupBy(keys).agg(last)
+
+
+def stream_once_per_document(
+    stream: DataFrame, out: str, checkpoint: str, ordinal: str | None = None
+) -> StreamingQuery:
+    """Process each document once, however often it arrives; equal ids of two datasets are two.
 
     The target table is the memory: an anti-join against it needs no state that grows with the
     stream, and a batch that is replayed after a failure finds its rows already there.
     """
 
     def work(batch: DataFrame, _: int) -> None:
-        tokens = plain_tokens(batch).select("doc_id", "tokens")
-        once = tokens.groupBy("doc_id").agg(F.min_by("tokens", F.size("tokens")).alias("tokens"))
-        append_new(once, out)
+        append_new(last_copies(batch, ordinal), out)
 
     return _each_batch(stream, work, checkpoint)
 
 
-def stream_postings(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def stream_postings(
+    stream: DataFrame, out: str, checkpoint: str, ordinal: str | None = None
+) -> StreamingQuery:
     """Add the postings and lengths of new documents, one folder per batch.
 
     Postings are additive per document; a replayed batch overwrites its own folders. Document
@@ -83,13 +99,14 @@ def stream_postings(stream: DataFrame, out: str, checkpoint: str) -> StreamingQu
 
     def work(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        docs = batch.dropDuplicates(["doc_id"])
-        ids = StructType([batch.schema["doc_id"], StructField("batch", LongType())])
+        docs = last_copies(with_dataset(batch), ordinal)
+        fields = [StructField("dataset", StringType()), batch.schema["doc_id"]]
+        ids = StructType([*fields, StructField("batch", LongType())])
         held = read_if_stored(spark, f"{out}/lengths", ids)
         if held is not None:
             docs = not_yet_done(docs, held.where(F.col("batch") != number))
         path = f"{out}/postings/batch={number}"
-        build_postings(docs).write.mode("overwrite").parquet(path)
+        postings_from_tokens(docs).write.mode("overwrite").parquet(path)
         lengths = doc_lengths(spark.read.parquet(path))
         lengths.write.mode("overwrite").parquet(f"{out}/lengths/batch={number}")
 
@@ -112,6 +129,7 @@ def read_streamed_index(spark: SparkSession, out: str) -> SearchIndex:
 
 
 __all__ = [
+    "last_copies",
     "read_documents",
     "read_streamed_index",
     "stream_once_per_document",

@@ -97,3 +97,10 @@ def test_models_average_over_judged_queries(spark):
     assert found["bm25"]["MAP"] == 0.5 and found["tfidf"]["MAP"] == 0.0 and len(found) == 5
     limited = evaluate.evaluate_models(run, asked, judged(spark, ("r", "d9")), ["bm25"], limit=1)
     assert limited.first()["MAP"] == 0.0
+
+
+def test_every_judged_query_counts(spark):
+    asked = spark.range(5200).select(F.col("id").cast("string").alias("query_id"))
+    late = judged(spark, *[(str(i), "d") for i in range(5001, 5200)])
+    run = asked.select(F.lit("bm25").alias("model"), "query_id", F.lit("d").alias("doc_id"), F.lit(1).alias("rank"))
+    assert evaluate.evaluate_models(run, asked, late, ["bm25"]).first()["MAP"] == 1.0

@@ -282,3 +282,35 @@ def test_hybrids_stay_in_their_collection(spark, built, docs):
     assert {r.model for r in runs.select("model").distinct().collect()} == set(search.MODELS)
     found = search.responses(asked, search.dense_run(where, asked, 5), docs).orderBy("query_id").collect()
     assert [[e.snippet for e in r.results] for r in found] == [["alpha beta beta gamma", "beta delta"], ["alpha zeta"]]
+
+
+def test_requests_keep_their_depth_and_defaults(spark, docs, built):
+    vectors = spark.createDataFrame([(i, [1.0, i / 10.0]) for i in range(1, 5)], "doc_id long, embedding array<double>")
+    where = search.Corpus(built, vectors, docs)
+    asked = queries(spark, *["gamma delta epsilon"] * 3).withColumn("embedding", F.array(F.lit(1.0), F.lit(0.5)))
+    depth = F.when(F.col("query_id") == 0, 1).when(F.col("query_id") == 1, 25)
+    method = F.when(F.col("query_id") == 1, "linear")
+    asked = asked.withColumns({"model": F.lit("hybrid_parallel"), "top_k": depth, "fusion_method": method})
+    run = search.route(where, asked)
+    assert run_of(run, 0) == run_of(search.hybrid_parallel(where, asked.where("query_id = 0"), 1))
+    assert run_of(run, 1) == run_of(search.hybrid_parallel(where, asked.where("query_id = 1"), 25, "linear"), 1)
+    assert run_of(run, 2) == run_of(search.hybrid_parallel(where, asked.where("query_id = 2"), 10), 2)
+
+
+def test_skip_list_of_one_collection(spark):
+    tokens = spark.createDataFrame([(1, "x", ["a"]), (1, "y", ["a"])], "doc_id long, dataset string, tokens array<string>")
+    listed = spark.createDataFrame([(1, "x")], "doc_id long, dataset string")
+    assert rows(index.skip_counts(tokens, listed), "reason", "docs") == [("kept", 1), ("listed_empty", 1)]
+
+
+def test_results_are_not_multiplied(spark):
+    run = run_table(spark, [("a", 2)])
+    twice = spark.createDataFrame([("a", "one"), ("a", "two")], "doc_id string, text string")
+    assert search.with_text(run, twice).count() == 1
+
+
+def test_plain_projections_do_not_shuffle(spark, tiny):
+    from termlight.plans import registered
+
+    for name in ("processed_docs", "text_normalize", "text_tokens", "text_stopwords", "text_fallback", "empty_docs", "feedback_words"):
+        assert "Exchange" not in plan_of(registered.QUERIES[name](spark, tiny)), name

@@ -109,3 +109,18 @@ def test_streamed_index_equals_rebuild(spark):
         assert a == b
     a, b = (i.stats.first().asDict() for i in (streamed, rebuilt))
     assert a == {k: v if isinstance(v, str) else pytest.approx(v) for k, v in b.items()}
+
+
+def test_collections_and_copies_in_a_stream(spark):
+    source, out, offsets, index_out, index_offsets = (new_folder(spark, n) for n in ("in", "out", "offsets", "index", "more"))
+    docs = spark.createDataFrame(
+        [(1, "x", "alpha beta", 0), (1, "x", "", 1), (1, "y", "gamma", 2), (1, "y", "delta", 3)],
+        "doc_id long, dataset string, text string, at long")
+    docs.write.parquet(source)
+    stream = ingest.read_documents(spark, source, docs.schema)
+    ingest.stream_once_per_document(stream, out, offsets, "at").awaitTermination()
+    found = {(r.dataset, r.doc_id): r.tokens for r in spark.read.parquet(out).collect()}
+    assert found == {("x", 1): ["alpha", "beta"], ("y", 1): ["delta"]}
+    ingest.stream_postings(stream, index_out, index_offsets, "at").awaitTermination()
+    terms = ingest.streamed_postings(spark, index_out).select("dataset", "term").collect()
+    assert sorted(map(tuple, terms)) == [("x", "alpha"), ("x", "beta"), ("y", "delta")]
