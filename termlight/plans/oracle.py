@@ -210,7 +210,7 @@ HISTORY = """history AS (SELECT conv_id AS user_id, turn AS pos, text AS query
   FROM conversations WHERE role = 'user')"""
 
 SPELLING = r"""dict AS (SELECT term, count(*) AS cf FROM (
-    SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM documents) GROUP BY 1),
+    SELECT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS term FROM documents) GROUP BY 1),
 raws AS (SELECT item_id AS query_id, generate_subscripts(ws, 1) AS pos, unnest(ws) AS raw FROM (
   SELECT item_id, list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '') AS ws
   FROM benchmark)),
@@ -218,8 +218,9 @@ unknown AS (SELECT DISTINCT lower(raw) AS word FROM raws
   WHERE NOT regexp_full_match(lower(raw), '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?')
     AND NOT regexp_full_match(raw, '[!-/:-@\[-`{-~]') AND lower(raw) NOT IN (SELECT term FROM dict)),
 fixes AS (SELECT word, arg_min(term, struct_pack(edits := edits, less := -cf, term := term)) AS fix FROM (
-  SELECT word, term, cf, damerau_levenshtein(plain, term) AS edits FROM dict, (
-    -- The distance counts bytes, so each accented letter becomes one letter of its own.
+  -- The distance counts bytes, so each accented letter becomes one letter of its own.
+  SELECT word, term, cf, damerau_levenshtein(plain, translate(term, 'äöüßéèêëçñáíóúàâîïôûù',
+    'ABCDEFGHIJKLMNOPQRSTU')) AS edits FROM dict, (
     SELECT word, translate(word, 'äöüßéèêëçñáíóúàâîïôûù', 'ABCDEFGHIJKLMNOPQRSTU') AS plain FROM unknown)
   WHERE abs(length(word) - length(term)) <= 2) WHERE edits <= 2 GROUP BY 1),
 corrected AS (SELECT query_id, string_agg(coalesce(fix, raw), ' ' ORDER BY pos) AS corrected

@@ -539,7 +539,7 @@ def query_analyze(spark, folder):
 
 def spelling_dictionary(spark, folder) -> DataFrame:
     """Every word of the documents with its frequency."""
-    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
     docs = documents(spark, folder)
     return docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("cf"))
 
