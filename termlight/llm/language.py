@@ -92,31 +92,41 @@ def fit(
     labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
     sample: int = SAMPLE,
 ) -> Model:
-    """Learn from a sample of the labelled rows: the smallest ids by hash, as many for each label."""
+    """Learn from a sample of the labelled rows: the smallest by a hash, as many for each label.
+
+    Only labels and hashes are ranked; the texts are then picked in the scan by the largest hash
+    that each label needs.
+    """
     rows = labelled.select(
         F.col(f"`{lang_column}`").alias("lang"), F.col(f"`{text_column}`").alias("text"),
-        F.xxhash64(F.col(f"`{id_column}`").cast("string")).alias("order"),
+        F.xxhash64(F.col(f"`{id_column}`").cast("string"), F.col(f"`{text_column}`")).alias("order"),
     ).where("lang IS NOT NULL AND text IS NOT NULL")
     counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
     languages = sorted(r.lang for r in counts.collect())
     each = max(1, sample // max(1, len(languages)))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("order", F.xxhash64("text")))
-    few = rows.where(F.col("lang").isin(languages)).withColumn("place", place).where(F.col("place") <= each)
-    schema = "lang string, place int, at array<int>, n array<int>"
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    ranked = rows.where(F.col("lang").isin(languages)).select("lang", "order").withColumn("place", place)
+    last = ranked.where(F.col("place") <= each).groupBy("lang").agg(F.max("order").alias("last")).collect()
+    wanted = F.lit(False)
+    for r in last:
+        wanted = wanted | ((F.col("lang") == r.lang) & (F.col("order") <= r.last))
+    # Rows that agree in id and text are one.
+    few = rows.where(wanted).groupBy("lang", "order").agg(F.first("text").alias("text"))
+    schema = "lang string, order long, at array<int>, n array<int>"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for lang, place_, text in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+            for lang, order, text in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
                 found = gram_counts(text)
                 if found is not None:
                     at = np.flatnonzero(found)
-                    out.append({"lang": lang, "place": place_, "at": at.tolist(), "n": found[at].tolist()})
+                    out.append({"lang": lang, "order": order, "at": at.tolist(), "n": found[at].tolist()})
             yield pa.RecordBatch.from_pylist(out, pa.schema([
-                ("lang", pa.string()), ("place", pa.int32()), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))]))
+                ("lang", pa.string()), ("order", pa.int64()), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))]))
 
-    learned = few.select("lang", "place", "text").mapInArrow(count, schema).toArrow()
-    rows_ = sorted(learned.to_pylist(), key=lambda r: (r["lang"], r["place"]))
+    learned = few.select("lang", "order", "text").mapInArrow(count, schema).toArrow()
+    rows_ = sorted(learned.to_pylist(), key=lambda r: (r["lang"], r["order"]))
     return _fit(rows_)
 
 
