@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+
+#: Documents whose hashes a task holds at a time.
+AT_ONCE = 1000
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of bounded length."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, AT_ONCE):
+            yield batch.slice(start, AT_ONCE)
 
 
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from termlight.llm.anchors import anchors_of, merge_runs, mix, shapes
+from termlight.llm.anchors import anchors_of, merge_runs, mix, shapes, slices
 from termlight.llm.tables import discard, plain, sized_join, text_version
 from termlight.session import cut_lineage
 
@@ -75,7 +75,7 @@ def _anchors(docs: DataFrame, length: int) -> DataFrame:
     part = length // 4
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows, columns = [], [[] for _ in range(4)]
             for i, text in enumerate(batch.column(2)):
                 words = _words(text.as_py())
@@ -107,7 +107,7 @@ def _hashes(docs: DataFrame, places: DataFrame, length: int, half: bool) -> Data
     part = length // 4
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows, columns = [], [[] for _ in range(3)]
             for i, (text, own) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
                 levels = Levels(_words(text.as_py()), length)

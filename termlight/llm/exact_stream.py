@@ -30,11 +30,13 @@ from termlight.session import cut_lineage, new_folder
 
 #: Arrival files in a micro-batch.
 FILES_PER_BATCH = 64
-#: State on the executors' disks; without pre-allocation, which takes megabytes for each state
-#: partition however little it holds.
+#: State on the executors' disks, with one bound on the memory of all state partitions of an
+#: executor, and without pre-allocation, which takes megabytes for each however little it holds.
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
 }
 _BLANK_BYTES = BLANKS.encode()
 

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from termlight.llm.anchors import anchors_of, merge_runs, mix, shapes
+from termlight.llm.anchors import anchors_of, merge_runs, mix, shapes, slices
 from termlight.llm.suffixes import Shard, repeated_starts
 from termlight.llm.tables import discard, plain, sized_join, text_version
 from termlight.session import cut_lineage
@@ -63,7 +63,7 @@ def _anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
-        for batch in batches:
+        for batch in slices(batches):
             rows, at, shape, h, c = [], [], [], [], []
             for i, text in enumerate(batch.column(2)):
                 data = text.as_py().encode()
@@ -95,7 +95,7 @@ def _surroundings(docs: DataFrame, places: DataFrame, length: int, gram: int) ->
     joined = sized_join(docs, wanted, KEY).select(*KEY, "text", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows, h, first, texts = [], [], [], []
             for i, (text, own) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
                 data = text.as_py().encode()
