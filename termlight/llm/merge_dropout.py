@@ -35,8 +35,10 @@ from termlight.llm.tables import plain
 
 DROPOUT = 0.1
 VARIANTS = 4
-#: Words remembered by a task, and the longest that are segmented together.
-REMEMBERED = 400_000
+#: Characters of text split into words at a time, words remembered by a task, and the longest that
+#: are segmented together.
+AT_ONCE = 1_000_000
+REMEMBERED = 250_000
 TOGETHER = 48
 SPACE = "▁"
 #: Stands for a literal SPACE; texts that hold this noncharacter itself go as bytes.
@@ -278,11 +280,17 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(model), seed, dropout, variants)
         for batch in batches:
-            found = encoder.encode(batch.column(1).to_pylist())
-            ends = np.cumsum([0, *[len(f) // 4 for f in found]])
-            values = pa.array(np.frombuffer(b"".join(found), "<i4"))
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids], names=schema.names)
+            sizes = np.cumsum([0, *[len(t) for t in batch.column(1).to_pylist()]])
+            begin = 0
+            while begin < batch.num_rows:
+                end = max(begin + 1, int(np.searchsorted(sizes, sizes[begin] + AT_ONCE)))
+                some = batch.slice(begin, end - begin)
+                found = encoder.encode(some.column(1).to_pylist())
+                ends = np.cumsum([0, *[len(f) // 4 for f in found]])
+                values = pa.array(np.frombuffer(b"".join(found), "<i4"))
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), ids], names=schema.names)
+                begin = end
 
     return table.mapInArrow(run, schema)
 
