@@ -21,7 +21,7 @@ HEADLINE = [
     "tfidf_cosine", "tfidf_loglog", "dense_topk", "hybrid_serial", "hybrid_parallel_rrf",
     "hybrid_parallel_linear", "search_response", "prf_expand", "spell_correct", "synonym_expand",
     "query_suggest", "entity_gazetteer", "sentiment_lexicon", "lemma_postings", "eval_models",
-    "stream_index",
+    "stream_index", "model_router", "query_refine", "search_pipeline", "tfidf_weights", "bm25_idf",
 ]
 WARM_UP = ["processed_docs", "hybrid_parallel_rrf", "search_response", "sentiment_lexicon"]
 
