@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from termlight.llm.anchors import anchors_of, merge_runs, mix, shapes, slices
-from termlight.llm.tables import discard, plain, sized_join, text_version
+from termlight.llm.tables import discard, plain, sized_join, text_batches, text_version
 from termlight.session import cut_lineage
 
 LENGTH = 20
@@ -152,6 +152,7 @@ def repeated_runs(docs: DataFrame, length: int) -> DataFrame:
 
     ``docs`` is ``doc_id, version, text``. A run is start * 2**32 + end; the end may pass the text's.
     """
+    text_batches(docs)
     anchors = cut_lineage(_anchors(docs, length), "anchors")
     again = anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     level1 = cut_lineage(anchors.join(again, "h", "left_semi"), "level1")

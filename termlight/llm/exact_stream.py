@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, StringType, StructField, StructType
 
-from termlight.llm.tables import BLANKS, drop_documents, plain, sized_join, text_version
+from termlight.llm.tables import BLANKS, drop_documents, plain, sized_join, text_batches, text_version
 from termlight.session import cut_lineage, new_folder
 
 #: Arrival files in a micro-batch.
@@ -114,6 +114,7 @@ def dedup(
     ``version`` is the hash that tells rows of one id apart. ``digest_bytes`` shortens the digest that
     keys the state; the result doesn't depend on it.
     """
+    text_batches(docs)
     docs = plain(docs, id_column, text_column)
     arrivals = cut_lineage(_arrivals(docs, digest_bytes), "arrivals")
     groups = cut_lineage(_state(arrivals, files_per_batch), "groups")

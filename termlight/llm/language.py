@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from termlight.llm.tables import plain
+from termlight.llm.tables import plain, text_batches
 
 SIZE = 8192
 SAMPLE = 3000
@@ -97,6 +97,7 @@ def fit(
     Only labels and hashes are ranked; the texts are then picked in the scan by the largest hash
     that each label needs.
     """
+    text_batches(labelled)
     rows = labelled.select(
         F.col(f"`{lang_column}`").alias("lang"), F.col(f"`{text_column}`").alias("text"),
         F.xxhash64(F.col(f"`{id_column}`").cast("string"), F.col(f"`{text_column}`")).alias("order"),
@@ -160,6 +161,7 @@ def classify(model: Model, text: str | None) -> tuple[str, float]:
 
 def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score``, the cosine, for every row."""
+    text_batches(docs)
     table = plain(docs, id_column, text_column)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = StructType([table.schema["doc_id"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
@@ -177,6 +179,7 @@ def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colum
 
 def recognised(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text is in a learned language, with all their columns."""
+    text_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(BooleanType())

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
-from termlight.llm.tables import plain
+from termlight.llm.tables import plain, text_batches
 
 CAPACITY = 1024
 OPEN_WINDOWS = 16
@@ -149,6 +149,7 @@ def pack(
     ``capacity`` is a power of two. Columns: ``doc_id``, ``start``, ``length``, ``ids_crc32`` (of the
     ids as little-endian 32-bit numbers), ``doc_tokens``, ``sequence_id``, ``offset``.
     """
+    text_batches(docs)
     table = plain(docs, id_column, text_column)
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     schema = StructType([table.schema["doc_id"], *[StructField(n, LongType()) for n in names]])

@@ -31,7 +31,7 @@ from pyspark.sql.types import LongType
 from pyspark.sql.window import Window
 
 from termlight.llm.components import components
-from termlight.llm.tables import plain, text_version
+from termlight.llm.tables import plain, text_batches, text_version
 from termlight.session import cut_lineage
 
 SHINGLE = 4
@@ -127,6 +127,7 @@ def near_duplicates(
     """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id of the group;
     ``version``, which tells rows of one id apart, and ``stays``, true for the group's first document.
     """
+    text_batches(docs)
     table = plain(docs, id_column, text_column)
     rows = table.select("doc_id", text_version().alias("version"), _fingerprint("text").alias("fp"))
     rows = cut_lineage(rows, "fingerprints")

@@ -17,6 +17,8 @@ from termlight.operators.joins import fits_broadcast
 
 MAX_BROADCAST_ROWS = 400_000
 MAX_BROADCAST_BYTES = 40 * 1024 * 1024
+#: Texts that go to Python at a time; the session's default counts rows alone, whatever their length.
+BATCH_BYTES = "4m"
 #: Between words: space and the control characters 9 to 13.
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_CLASS = r"[\x20\x09-\x0D]"
@@ -32,6 +34,13 @@ def plain(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return docs.select(F.col(f"`{id_column}`").alias("doc_id"), text.alias("text"))
 
 
+def text_batches(table: DataFrame) -> None:
+    """Bound the bytes of a batch on its way to Python, where the session has no bound of its own."""
+    conf = table.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is worked out once, however often the body names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
