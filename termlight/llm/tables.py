@@ -18,7 +18,7 @@ from termlight.operators.joins import fits_broadcast
 MAX_BROADCAST_ROWS = 400_000
 MAX_BROADCAST_BYTES = 40 * 1024 * 1024
 #: Texts that go to Python at a time; the session's default counts rows alone, whatever their length.
-BATCH_BYTES = "4m"
+BATCH_BYTES = "1m"
 #: Between words: space and the control characters 9 to 13.
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_CLASS = r"[\x20\x09-\x0D]"
