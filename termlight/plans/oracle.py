@@ -715,5 +715,15 @@ def oracle_sql() -> dict[str, str]:
                         " CASE WHEN documents.doc_id % 7 = 0 THEN '' ELSE text END AS text FROM documents)",
                    "dataset, doc_id, place", "text"),
         ),
+        "stream_index_every_id": _sql(
+            """SELECT dataset, doc_id, term, count(*) AS tf FROM (SELECT dataset, doc_id, unnest(tokens) AS term
+            FROM (SELECT dataset, doc_id, arg_max(tokens, place) AS tokens FROM e WHERE len(tokens) > 0
+              GROUP BY dataset, doc_id)) GROUP BY ALL""",
+            tokens("e", "(SELECT source AS dataset, doc_id, 1 AS place, text FROM documents"
+                        " UNION ALL SELECT 'second', doc_id, 1, text FROM documents"
+                        " UNION ALL SELECT source, doc_id, 0, 'superseded' FROM documents"
+                        " UNION ALL SELECT source, doc_id, 2, '' FROM documents)",
+                   "dataset, doc_id, place", "text"),
+        ),
         "stream_search": _sql(_plain("bm25", lexical), BASE, okapi_run("bm25", 10)),
     }

@@ -726,6 +726,27 @@ def stream_index_datasets(spark, folder):
     return ingest.streamed_postings(spark, out).select("dataset", "doc_id", "term", "tf")
 
 
+def stream_index_every_id(spark, folder):
+    """Every document under its own id in two collections, with an earlier copy and a later empty one.
+
+    Copies of an id share a file, so that they arrive in one batch however many files there are.
+    """
+    source = new_folder(spark, "in")
+    copies = F.array(*[
+        F.struct(dataset.alias("dataset"), F.lit(at).cast("long").alias("at"), text.alias("text"))
+        for dataset, at, text in (
+            (F.col("source"), 1, F.col("text")), (F.lit("second"), 1, F.col("text")),
+            (F.col("source"), 0, F.lit("superseded")), (F.col("source"), 2, F.lit("")),
+        )
+    ])
+    docs = table(spark, folder, "documents").select("doc_id", F.explode(copies).alias("copy")).select("doc_id", "copy.*")
+    docs.repartition(4, "doc_id").write.parquet(source)
+    out = new_folder(spark, "stream")
+    stream = ingest.read_documents(spark, source, docs.schema)
+    ingest.stream_postings(stream, out, new_folder(spark, "offsets"), "at").awaitTermination()
+    return ingest.streamed_postings(spark, out).select("dataset", "doc_id", "term", "tf")
+
+
 def stream_search(spark, folder):
     """BM25 over an index that a stream has built."""
     out = new_folder(spark, "stream")
@@ -754,7 +775,7 @@ QUERIES: dict[str, Query] = {
             results_with_text, search_response, query_analyze, spell_correct, synonym_expand,
             prf_expand, query_suggest, query_refine, history_append, eval_models,
             eval_single_list, stream_preprocess, stream_resume, stream_index,
-            stream_index_datasets, stream_search,
+            stream_index_datasets, stream_index_every_id, stream_search,
         )
     },
     "embedding_stats": lambda spark, folder: dense.vector_stats(table(spark, folder, "embeddings")),

@@ -1,8 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from termlight import schemas
 from termlight.operators import index
+from termlight.operators.analyze import plain_tokens
 from termlight.session import cut_lineage, new_folder
 from termlight.sources import collections, judgments
 from termlight.streaming import ingest
@@ -124,3 +126,13 @@ def test_collections_and_copies_in_a_stream(spark):
     ingest.stream_postings(stream, index_out, index_offsets, "at").awaitTermination()
     terms = ingest.streamed_postings(spark, index_out).select("dataset", "term").collect()
     assert sorted(map(tuple, terms)) == [("x", "alpha"), ("x", "beta"), ("y", "delta")]
+
+
+def test_streamed_datasets_keep_every_document(spark, tiny):
+    """The postings grow with the documents: each one is there in both of its collections."""
+    found = contract.queries()["stream_index_every_id"](spark, tiny).select("dataset", "doc_id").distinct()
+    docs = spark.read.parquet(f"{tiny}/documents.parquet")
+    worded = plain_tokens(docs).where(F.size("tokens") > 0)
+    want = docs.select(F.col("source").alias("dataset"), "doc_id").union(worded.select(F.lit("second"), "doc_id"))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    assert found.count() > 100
