@@ -34,6 +34,21 @@ def near(rows):
     return {d: (f"{prints[d]:016x}", find(d)) for d in ids}
 
 
+def similar(rows, shingle=5, similarity=0.8):
+    """Smallest id reachable through texts of at least this Jaccard similarity, for rows of unique ids."""
+    sets = {}
+    for d, t in rows:
+        words = (t or "").encode().lower().split()
+        sets[d] = {b" ".join(words[i : i + shingle]) for i in range(max(len(words) - shingle + 1, 1))}
+    ids, root = sorted(sets), {d: d for d in sets}
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-9:
+                low, high = sorted((root[a], root[b]))
+                root = {d: low if r == high else r for d, r in root.items()}
+    return root
+
+
 def repeated_bytes(rows, length):
     seen = defaultdict(set)
     texts = {(d, t or ""): (t or "").encode() for d, t in rows}

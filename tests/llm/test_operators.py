@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from termlight.llm import (
-    doubling, exact_stream, language, licenses, merge_dropout, packing, quality, simhash, suffix_dedup, urls,
+    doubling, exact_stream, language, licenses, merge_dropout, packing, quality, simhash, similar, suffix_dedup, urls,
 )
 from termlight.llm.suffixes import Shard
 from termlight.session import cut_lineage
@@ -87,6 +87,41 @@ def test_simhash_close_fingerprints(spark):
         assert groups == want
 
 
+def near_corpus():
+    """Texts with copies of one to six changed words, a chain of them, and a passage in every third text."""
+    r = random.Random(11)
+    rows, passage = corpus(), " ".join(f"p{i}" for i in range(30))
+    for _ in range(25):
+        own = [f"w{r.randrange(5000)}" for _ in range(r.randint(20, 150))]
+        for changed in range(r.randint(1, 6)):
+            own = [*own]
+            for _ in range(changed):
+                own[r.randrange(len(own))] = f"v{r.randrange(5000)}"
+            rows.append((len(rows), " ".join(own) + (" " + passage if changed % 3 == 0 else "")))
+    rows += [(len(rows) + i, passage + f" end {i}") for i in range(9)]
+    return rows
+
+
+@pytest.mark.parametrize("bucket, frequent", [(64, 8), (2, 8), (2, 10**6)])
+def test_similar_groups(spark, monkeypatch, bucket, frequent):
+    """Also with every key crowded, and with no hash known as frequent."""
+    monkeypatch.setattr(similar, "FREQUENT", frequent)
+    rows = near_corpus()
+    want = brute.similar(rows)
+    got = {r.doc_id: r.component_id for r in similar.near_copies(frame(spark, rows), max_bucket=bucket).collect()}
+    assert got == want
+    four_bits = {d: root for d, (_, root) in brute.near(rows).items()}
+    assert sum(d != root for d, root in want.items()) > sum(d != root for d, root in four_bits.items())
+
+
+def test_pipeline_drops_similar_copies(spark):
+    """The stage keeps one document of each group at 5-word similarity 0.8, also beyond four bits."""
+    rows = near_corpus()
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    kept = stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {r.doc_id for r in kept.collect()} == {d for d, root in brute.similar(rows).items() if d == root}
+
+
 @pytest.mark.parametrize("shard", [3000, 2])
 def test_repeated_bytes(spark, docs, shard):
     """Also with every anchor split over shards."""
