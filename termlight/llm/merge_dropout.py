@@ -2,10 +2,11 @@
 
 Merges are taken best score first, leftmost among equals, as in plain BPE; but a candidate, two
 neighbouring symbols that make a piece, is skipped if a keyed hash of its place falls below the
-dropout rate. The key is made of the seed, the variant and the word, so the same call gives the same
-ids on every executor and every attempt, and each word has ``variants`` segmentations for a seed,
-chosen for each occurrence by a hash of the text and the word's place in it. Rate 0 gives the ids of
-SentencePiece. Decoding concatenates the pieces and gives back the text exactly.
+dropout rate. The key is made of the seed, the document (its id and text) and the word's place in it,
+so the same call gives the same ids on every executor and every attempt, and every occurrence of a word
+is segmented anew. Only the plain merges of a word are remembered: an occurrence that skips none of
+them has the plain ids, the others are merged by themselves. With ``variants`` a word has that many
+segmentations for a seed instead, keyed by the word. Rate 0 gives the ids of SentencePiece. Decoding concatenates the pieces and gives back the text exactly.
 
 No piece of such a vocabulary goes on over a space or holds a line end (this is checked when it is
 loaded), so words are segmented apart: those of a batch together, in numpy, one merge of each word a
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,15 +35,16 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from termlight.llm.tables import plain
 
 DROPOUT = 0.1
-VARIANTS = 4
+#: Segmentations of a word under a seed; None: as many as it has occurrences.
+VARIANTS = None
 #: Characters of text split into words at a time, words remembered by a task, and the longest that
 #: are segmented together.
 AT_ONCE = 1_000_000
 REMEMBERED = 400_000
 TOGETHER = 48
 SPACE = "▁"
-#: Stands for a literal SPACE; texts that hold this noncharacter itself go as bytes.
-_LITERAL = "﷐"
+#: Stands for a literal SPACE: a lone surrogate, which no text can hold.
+_LITERAL = "\ud800"
 #: Symbols of characters without a piece start here.
 _OUTSIDE = 1 << 20
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -57,12 +59,17 @@ def _skips(key: int, start: int, middle: int, end: int, below: int) -> bool:
     return ((x ^ (x >> 29)) * _START & _FULL) < below
 
 
+def _skips_each(keys: np.ndarray, first: np.ndarray, middle: np.ndarray, end: np.ndarray, below: int) -> np.ndarray:
+    """The same for one merge of each key."""
+    x = keys + first * np.uint64(_START) + middle * np.uint64(_MIDDLE) + end * np.uint64(_END)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(_MIX)
+    return (x ^ (x >> np.uint64(29))) * np.uint64(_START) < np.uint64(below)
+
+
 def _skips_all(keys: np.ndarray, starts: np.ndarray, below: int) -> np.ndarray:
     """The same for all neighbours; ``starts`` has the places of the symbols and of the end."""
     first, middle, end = (starts[:, i : starts.shape[1] - 2 + i] for i in range(3))
-    x = keys[:, None] + first * np.uint64(_START) + middle * np.uint64(_MIDDLE) + end * np.uint64(_END)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(_MIX)
-    return (x ^ (x >> np.uint64(29))) * np.uint64(_START) < np.uint64(below)
+    return _skips_each(keys[:, None], first, middle, end, below)
 
 
 class Vocabulary:
@@ -166,11 +173,11 @@ class Vocabulary:
                 push(before[i])
         return [s for s in symbols if s >= 0]
 
-    def together(self, words: list[str], keys: np.ndarray, below: int) -> list[bytes]:
-        """Merge words of one length range, one merge of each a round."""
+    def together(self, words: list[str], keys: np.ndarray, below: int, path: list | None = None) -> list[bytes]:
+        """Merge words of one length range, one merge of each a round; ``path`` gets the rows and places of the merges."""
         lengths = np.array([len(w) for w in words])
         wide = int(lengths.max())
-        codes = np.frombuffer("".join(w.ljust(wide, "\0") for w in words).encode("utf-32-le"), "<u4")
+        codes = np.frombuffer("".join(w.ljust(wide, "\0") for w in words).encode("utf-32-le", "surrogatepass"), "<u4")
         kinds, at = np.unique(codes, return_inverse=True)
         symbols = np.array([self.symbol(chr(k)) for k in kinds.tolist()], np.int64)[at].reshape(len(words), wide)
         places = np.arange(wide + 1)
@@ -188,6 +195,8 @@ class Vocabulary:
             rows, symbols, starts, keys, best = rows[going], symbols[going], starts[going], keys[going], best[going]
             if not len(rows):
                 break
+            if path is not None:
+                path.append(np.stack([rows, *[starts[np.arange(len(rows)), best + i].astype(np.int64) for i in range(3)]]))
             made = self._made[number[going, best]]
             columns = np.arange(symbols.shape[1] - 1)
             symbols[np.arange(len(rows)), best] = made
@@ -197,16 +206,33 @@ class Vocabulary:
         return out
 
 
+def _ranges(items: list, length: Callable) -> Iterator[list]:
+    """Runs of items, given by length, that are near in length."""
+    at = 0
+    while at < len(items):
+        size, end = length(items[at]), at
+        while end < len(items) and length(items[end]) <= min(size + size // 8, TOGETHER) and end - at < 50_000:
+            end += 1
+        yield items[at:end]
+        at = end
+
+
 class Encoder:
     """Texts to ids under one seed."""
 
-    def __init__(self, vocabulary: Vocabulary, seed: int, dropout: float, variants: int):
+    def __init__(self, vocabulary: Vocabulary, seed: int, dropout: float, variants: int | None = VARIANTS):
         self.vocabulary, self.seed, self.variants = vocabulary, seed, variants if dropout else 1
         self.below = min(int(dropout * 2**64), _FULL)
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants or 0)]
+        self._forget()
+
+    def _forget(self) -> None:
+        """Plain ids and merges of words; number 0 stands for every long word and has none."""
+        self.number, self.plain = {}, [b""]
+        self.first, self.merges = np.zeros(2, np.int64), np.zeros((3, 0), np.uint8)
 
     def key(self, word: str, variant: int) -> int:
-        return xxhash.xxh64_intdigest(word.encode(), (self.seed * 1_000_003 + variant) & _FULL)
+        return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), (self.seed * 1_000_003 + variant) & _FULL)
 
     @staticmethod
     def words(text: str) -> list[str]:
@@ -222,34 +248,74 @@ class Encoder:
                 out += line.replace(SPACE, " " + SPACE).lstrip(" ").split(" ")
         return [w for w in out if w]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split, chosen, missing = [], [], [set() for _ in self.known]
-        for text in texts:
-            words = self.words(text) if text and _LITERAL not in text else []
+    def places(self, text: str, document: str, n: int) -> np.ndarray:
+        """A key for each of the ``n`` words of a document."""
+        place = np.arange(n, dtype=np.uint64) + np.uint64(xxhash.xxh64_intdigest((document + text).encode(), self.seed & _FULL))
+        return (place ^ (place >> np.uint64(31))) * np.uint64(_MIX)
+
+    def encode(self, texts: list[str], documents: list[str] | None = None) -> list[bytes]:
+        documents = documents or [""] * len(texts)
+        split = [self.words(text) if text else [] for text in texts]
+        if not self.variants:
+            return self._each(split, [self.places(t, d, len(w)) for t, d, w in zip(texts, documents, split, strict=True)])
+        chosen, missing = [], [set() for _ in self.known]
+        for text, document, words in zip(texts, documents, split, strict=True):
             if self.variants > 1:
-                place = np.arange(len(words), dtype=np.uint64) + np.uint64(xxhash.xxh64_intdigest(text.encode(), self.seed & _FULL))
-                place = (place ^ (place >> np.uint64(31))) * np.uint64(_MIX)
-                which = ((place >> np.uint64(40)) % np.uint64(self.variants)).tolist()
+                which = ((self.places(text, document, len(words)) >> np.uint64(40)) % np.uint64(self.variants)).tolist()
             else:
                 which = [0] * len(words)
-            split.append(words)
             chosen.append(which)
             for word, variant in zip(words, which, strict=True):
                 if word not in self.known[variant]:
                     missing[variant].add(word)
         for variant, words in enumerate(missing):
             self._learn(sorted(words, key=len), variant)
-        out = []
-        for text, words, which in zip(texts, split, chosen, strict=True):
-            if text and not words:
-                out.append(self.vocabulary.ids([self.vocabulary.symbol(SPACE)]) + np.array([self.vocabulary.byte_ids[b] for b in text.encode()], "<u4").tobytes())
-            else:
-                known = self.known
-                out.append(b"".join([known[v][w] for w, v in zip(words, which, strict=True)]))
+        known = self.known
+        out = [b"".join([known[v][w] for w, v in zip(words, which, strict=True)]) for words, which in zip(split, chosen, strict=True)]
         if sum(map(len, self.known)) > REMEMBERED:
             self.known = [{} for _ in self.known]
         return out
 
+    def _each(self, split: list[list[str]], places: list[np.ndarray]) -> list[bytes]:
+        """The ids of the words of each text, every occurrence under its own key."""
+        words = [w for own in split for w in own]
+        keys = np.concatenate([np.zeros(0, np.uint64), *places])
+        self._learn_plain(sorted({w for w in words if w not in self.number}, key=len))
+        number = np.array([self.number[w] for w in words], np.int64)
+        begin, count = self.first[number], self.first[number + 1] - self.first[number]
+        at = np.repeat(np.arange(len(words)), count)
+        merge = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)
+        skipped = _skips_each(keys[at], *[m[merge].astype(np.uint64) for m in self.merges], self.below)
+        again = np.unique(at[skipped]).tolist()
+        found = [self.plain[i] for i in number.tolist()]
+        again.sort(key=lambda i: len(words[i]))
+        for some in _ranges(again, lambda i: len(words[i])):
+            for i, ids in zip(some, self.vocabulary.together([words[i] for i in some], keys[some], self.below), strict=True):
+                found[i] = ids
+        for i in np.flatnonzero(number == 0).tolist():
+            found[i] = self.vocabulary.ids(self.vocabulary.agenda(words[i], int(keys[i]), self.below))
+        if len(self.number) > REMEMBERED:
+            self._forget()
+        ends = np.cumsum([0, *map(len, split)]).tolist()
+        return [b"".join(found[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+
+    def _learn_plain(self, words: list[str]) -> None:
+        """Remember plain ids and merges of words, given by length."""
+        short = [w for w in words if len(w) <= TOGETHER]
+        self.number.update((w, 0) for w in words[len(short) :])
+        sizes, merges = [], [self.merges]
+        for some in _ranges(short, len):
+            path: list[np.ndarray] = []
+            ids = self.vocabulary.together(some, np.zeros(len(some), np.uint64), 0, path)
+            self.number.update(zip(some, range(len(self.plain), len(self.plain) + len(some)), strict=True))
+            self.plain += ids
+            rows = np.concatenate([np.zeros((4, 0), np.int64), *path], axis=1)
+            sizes.append(np.bincount(rows[0], minlength=len(some)))
+            merges.append(rows[1:, np.argsort(rows[0], kind="stable")].astype(np.uint8))
+        if short:
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate(sizes))])
+            self.merges = np.concatenate(merges, axis=1)
+
     def _learn(self, words: list[str], variant: int) -> None:
         known, vocabulary = self.known[variant], self.vocabulary
         at = 0
@@ -270,7 +336,7 @@ class Encoder:
 
 
 def encode(
-    docs: DataFrame, model: str, seed: int = 1, dropout: float = DROPOUT, variants: int = VARIANTS,
+    docs: DataFrame, model: str, seed: int = 1, dropout: float = DROPOUT, variants: int | None = VARIANTS,
     id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
     """``doc_id``, ``text`` and ``ids``, the pieces of the text under this seed."""
@@ -285,7 +351,7 @@ def encode(
             while begin < batch.num_rows:
                 end = max(begin + 1, int(np.searchsorted(sizes, sizes[begin] + AT_ONCE)))
                 some = batch.slice(begin, end - begin)
-                found = encoder.encode(some.column(1).to_pylist())
+                found = encoder.encode(some.column(1).to_pylist(), [f"{i}\n" for i in some.column(0).to_pylist()])
                 ends = np.cumsum([0, *[len(f) // 4 for f in found]])
                 values = pa.array(np.frombuffer(b"".join(found), "<i4"))
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)

@@ -223,6 +223,30 @@ def test_merge_dropout(spark, docs):
     assert coded.where("decoded <> text").count() == 0 and coded.count() == 60
 
 
+def test_merge_dropout_of_every_occurrence(spark):
+    """A word has more segmentations than four, each the one of its own key; one odd character costs only itself."""
+    vocabulary = merge_dropout.Vocabulary(PIECES)
+    texts = ["international understanding " * 40, "y" * 90 + " \u2581 understanding", "", "international"]
+    coder = merge_dropout.Encoder(vocabulary, 7, 0.3)
+    coded = coder.encode(texts, ["1", "2", "3", "4"])
+    seen = set()
+    for text, document, ids in zip(texts, "1234", coded, strict=True):
+        words = coder.words(text) if text else []
+        keys = coder.places(text, document, len(words)).tolist()
+        own = [vocabulary.ids(vocabulary.agenda(w, k, coder.below)) for w, k in zip(words, keys, strict=True)]
+        assert ids == b"".join(own)
+        seen.update(o for w, o in zip(words, own, strict=True) if w.endswith("understanding"))
+    assert len(seen) > 4
+    assert coded[::-1] == merge_dropout.Encoder(vocabulary, 7, 0.3).encode(texts[::-1], ["4", "3", "2", "1"])
+    rows = spark.createDataFrame([(i, "understanding") for i in range(200)], "doc_id long, text string")
+    out = merge_dropout.decode(merge_dropout.encode(rows, PIECES, dropout=0.3), PIECES)
+    assert out.select("ids").distinct().count() > 4 and out.where("decoded <> text").count() == 0
+    held = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    odd = np.frombuffer(merge_dropout.Encoder(vocabulary, 1, 0.0).encode(["international \ufdd0 \u2581"])[0], "<u4").tolist()
+    assert odd[: len(held.encode("international"))] == held.encode("international") and len(odd) < 12
+    assert b"".join(vocabulary.bytes_of[i] for i in odd).decode()[1:] == "international \ufdd0 \u2581"
+
+
 def test_licenses(spark):
     text = "Some words here.\nLicensed under the Apache License, Version 2.0.\n\nreleased  under the MIT license\n"
     rows = [(1, text), (2, "licensed under a licence that nobody has seen"), (3, None), (4, "License"), (5, "This work is licensed\nunder the GNU General\nPublic License, version 3.")]
