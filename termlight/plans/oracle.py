@@ -519,6 +519,23 @@ def oracle_sql() -> dict[str, str]:
             ALL_RUNS,
             linear("hl", ["bm25", "tfidf", "dense"]),
         ),
+        "router_deep_requests": _sql(
+            " UNION ALL ".join(
+                f"SELECT query_id || '/{k}' AS query_id, 'hybrid_serial' AS model, doc_id, score, rank FROM hs{k}"
+                for k in (10, 150, 250)
+            ),
+            BASE, okapi_run("bm25", 300), QVECTORS,
+            *[
+                ranked(
+                    f"hs{k}",
+                    f"""SELECT query_id, doc_id, {_dot('qv.embedding', 'e.embedding')} AS score
+                    FROM (SELECT query_id, doc_id FROM bm25 WHERE rank <= {depth}) JOIN qv USING (query_id)
+                    JOIN embeddings e ON vec_id = doc_id""",
+                    k,
+                )
+                for k, depth in ((10, 100), (150, 150), (250, 300))
+            ],
+        ),
         "router_mixed_requests": _sql(
             " UNION ALL ".join(
                 f"""SELECT query_id || '/{m}/{f} {k}' AS query_id, '{m}' AS model, doc_id, score, rank

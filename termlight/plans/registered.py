@@ -425,7 +425,8 @@ def query_tf(spark, folder):
 
 
 def hybrid_serial(spark, folder):
-    return search.hybrid_serial(corpus(spark, folder), hybrid_queries(spark, folder))
+    """The intersection of two lists, as its SQL states; ``hybrid_serial_rescored`` has the default."""
+    return search.hybrid_serial(corpus(spark, folder), hybrid_queries(spark, folder), rescore=False)
 
 
 def hybrid_serial_rescored(spark, folder):
@@ -454,6 +455,7 @@ def model_router(spark, folder):
     )
     requests = asked.withColumn("wish", F.explode(options)).select("*", "wish.*").drop("wish")
     requests = requests.withColumn("query_id", F.concat_ws("/", "query_id", "name")).drop("name")
+    requests = requests.withColumn("rescore", F.lit(False))
     return search.route(corpus(spark, folder), requests).select(
         "query_id", "model", "doc_id", "score", "rank"
     )
@@ -471,6 +473,17 @@ def router_mixed_requests(spark, folder):
     ])
     requests = hybrid_queries(spark, folder).withColumn("wish", F.explode(options)).select("*", "wish.*").drop("wish")
     requests = requests.withColumn("query_id", F.concat_ws("/", "query_id", "model", "name")).drop("name")
+    requests = requests.withColumn("rescore", F.lit(False))
+    return search.route(corpus(spark, folder), requests).select("query_id", "model", "doc_id", "score", "rank")
+
+
+def router_deep_requests(spark, folder):
+    """Serial hybrids by default, to depths 10, 150 and 250, with first stages of 100, 100 and 300."""
+    options = F.array(*[
+        F.struct(F.lit(k).alias("top_k"), F.lit(s).cast("int").alias("first_stage")) for k, s in ((10, None), (150, 100), (250, 300))
+    ])
+    requests = hybrid_queries(spark, folder).withColumn("wish", F.explode(options)).select("*", "wish.*").drop("wish")
+    requests = requests.withColumn("query_id", F.concat_ws("/", "query_id", "top_k")).withColumn("model", F.lit("hybrid_serial"))
     return search.route(corpus(spark, folder), requests).select("query_id", "model", "doc_id", "score", "rank")
 
 
@@ -656,7 +669,7 @@ def _rounded(metrics: DataFrame, name: str) -> DataFrame:
 
 def eval_models(spark, folder):
     asked = hybrid_queries(spark, folder)
-    runs = cut_lineage(search.all_runs(corpus(spark, folder), asked), "all-runs")
+    runs = cut_lineage(search.all_runs(corpus(spark, folder), asked, rescore=False), "all-runs")
     qrels = pooled_judgments(spark, folder, runs)
     return _rounded(evaluate.evaluate_models(runs, asked, qrels, search.MODELS), "Model")
 
@@ -771,7 +784,7 @@ QUERIES: dict[str, Query] = {
             doc_length_lookup, tfidf_weights, bm25_idf, bm25_okapi, bm25_plus_one,
             bm25_param_sweep, tfidf_cosine, tfidf_loglog, dense_topk, vector_normalize, query_tf,
             hybrid_serial, hybrid_serial_rescored, hybrid_parallel_rrf, hybrid_parallel_linear,
-            model_router, router_mixed_requests, search_datasets, search_pipeline, fusion_rrf, fusion_linear, run_max_normalize, run_ranked, runs_merged,
+            model_router, router_mixed_requests, router_deep_requests, search_datasets, search_pipeline, fusion_rrf, fusion_linear, run_max_normalize, run_ranked, runs_merged,
             results_with_text, search_response, query_analyze, spell_correct, synonym_expand,
             prf_expand, query_suggest, query_refine, history_append, eval_models,
             eval_single_list, stream_preprocess, stream_resume, stream_index,

@@ -62,25 +62,32 @@ def hybrid_serial(
     queries: DataFrame,
     k: int = 10,
     first_stage: int = FIRST_STAGE,
-    rescore: bool = False,
+    rescore: bool = True,
 ) -> DataFrame:
-    """BM25 finds candidates, vectors rank them.
+    """BM25 finds ``first_stage`` candidates (at least ``k``), vectors score and rank all of them.
 
-    By default the dense top ``first_stage`` of the whole collection is kept where BM25 found the
-    document too, which can leave fewer than ``k``. ``rescore`` scores every candidate instead.
+    Without ``rescore`` the dense top ``first_stage`` of the whole collection is kept where BM25
+    found the document too, which can leave fewer than ``k``.
     """
+    first_stage = max(first_stage, k)
     lexical = lexical_run(corpus, queries, first_stage)
     if not rescore:
         return serial_from(lexical, dense_run(corpus, queries, first_stage), k)
+    return _rerank(rescored(corpus, queries, lexical), k).select(COLUMNS)
+
+
+def rescored(corpus: Corpus, queries: DataFrame, lexical: DataFrame) -> DataFrame:
+    """``query_id, doc_id, score``: the candidates of a lexical run by their vectors."""
     apart = "dataset" in queries.columns and "dataset" in corpus.vectors.columns
     keys = ["dataset", "doc_id"] if apart else ["doc_id"]
-    asked = queries.select("query_id", *keys[:-1], F.col("embedding").alias("__q"))
+    asked = queries.where(F.col("embedding").isNotNull())
+    asked = asked.select("query_id", *keys[:-1], F.col("embedding").alias("__q"))
     lexical = cut_lineage(lexical.select("query_id", "doc_id"), "candidates")
     pairs = lexical.join(asked, "query_id")
     vectors = corpus.vectors.select(*keys, F.col("embedding").alias("__d"))
     pairs = pairs.join(wanted_rows(vectors, pairs.select(keys).distinct(), keys), keys)
     scored = pairs.withColumn("score", F.round(dot(F.col("__q"), F.col("__d")), 6))
-    return _rerank(scored.drop("__q", "__d"), k).select(COLUMNS)
+    return scored.select("query_id", "doc_id", "score")
 
 
 def hybrid_parallel(
@@ -117,25 +124,32 @@ def run_model(
     raise ValueError(f"unknown model {model!r}; use one of {MODELS}")
 
 
-def all_runs(corpus: Corpus, queries: DataFrame, k: int = 10) -> DataFrame:
+def all_runs(corpus: Corpus, queries: DataFrame, k: int = 10, rescore: bool = True) -> DataFrame:
     """The runs of all five models. Each base model runs once, at the greatest depth needed."""
     queries = queries.drop("model")
-    deep = max(FIRST_STAGE, 2 * k)
+    stage = max(FIRST_STAGE, k)
+    deep = max(stage, 2 * k)
     base = merge_runs(
         {
             "bm25": lexical_run(corpus, queries, deep),
             "tfidf": lexical_run(corpus, queries, 2 * k, "tfidf"),
-            "embedding": dense_run(corpus, queries, deep),
+            "embedding": dense_run(corpus, queries, 2 * k if rescore else deep),
         }
     )
     base = cut_lineage(base, "runs")
     of = lambda m, depth: base.where((F.col("model") == m) & (F.col("rank") <= depth)).drop("model")
     bases = ["bm25", "tfidf", "embedding"]
     fused = fuse(base.where(F.col("rank") <= 2 * k), ["query_id"], bases, k=k).select(COLUMNS)
+    candidates = of("bm25", stage)
+    serial = (
+        _rerank(rescored(corpus, queries, candidates), k).select(COLUMNS)
+        if rescore
+        else serial_from(candidates, of("embedding", stage), k)
+    )
     return merge_runs(
         {
             **{m: of(m, k) for m in bases},
-            "hybrid_serial": serial_from(of("bm25", FIRST_STAGE), of("embedding", FIRST_STAGE), k),
+            "hybrid_serial": serial,
             "hybrid_parallel": fused,
         }
     )
@@ -160,12 +174,15 @@ READERS = {
 def route(corpus: Corpus, requests: DataFrame) -> DataFrame:
     """Answer each request with the model, depth and fusion method it asks for.
 
-    ``requests(query_id, tokens, model[, top_k, k1, b, fusion_method, embedding])``; missing and
-    null values mean 10, ``K1``, ``B`` and ``rrf``. An unknown model or method fails the job. Each
-    base run is computed once, at the greatest depth that its requests need, and cut for each
-    request before fusing.
+    ``requests(query_id, tokens, model[, top_k, k1, b, fusion_method, first_stage, rescore,
+    embedding])``; missing and null values mean 10, ``K1``, ``B``, ``rrf``, ``FIRST_STAGE`` and true.
+    ``first_stage``, at least ``top_k``, and ``rescore`` are those of ``hybrid_serial``. An unknown
+    model or method fails the job. Each base run is computed once, at the greatest depth that its
+    requests need, and cut for each request before fusing.
     """
-    requests = _defaults(requests, {"top_k": 10, "k1": K1, "b": B, "fusion_method": "rrf"})
+    defaults = {"top_k": 10, "k1": K1, "b": B, "fusion_method": "rrf", "first_stage": FIRST_STAGE, "rescore": True}
+    requests = _defaults(requests, defaults)
+    requests = requests.withColumn("first_stage", F.greatest("first_stage", "top_k"))
 
     def one_of(name: str, known: list[str]):
         wrong = F.concat(F.lit(f"unknown {name} "), F.coalesce(F.col(name), F.lit("null")))
@@ -174,14 +191,22 @@ def route(corpus: Corpus, requests: DataFrame) -> DataFrame:
     requests = requests.withColumn("model", one_of("model", MODELS))
     requests = requests.withColumn("fusion_method", one_of("fusion_method", ["rrf", "linear"]))
     requests = cut_lineage(requests, "requests")
-    limits = requests.select("query_id", F.col("model").alias("asked"), "top_k", "fusion_method")
-    deepest = {r.model: r.k for r in requests.groupBy("model").agg(F.max("top_k").alias("k")).collect()}
-    needs = {"hybrid_serial": lambda k: FIRST_STAGE, "hybrid_parallel": lambda k: 2 * k}
+    limits = requests.select("query_id", F.col("model").alias("asked"), "top_k", "fusion_method", "first_stage", "rescore")
+    most = [F.max("top_k").alias("k"), F.max("first_stage").alias("stage"), F.collect_set("rescore").alias("rescore")]
+    asked = {r.model: r for r in requests.groupBy("model").agg(*most).collect()}
+    deepest = {model: r.k for model, r in asked.items()}
+    serial = asked["hybrid_serial"].rescore if "hybrid_serial" in asked else []
+    needs = {"hybrid_serial": lambda k: asked["hybrid_serial"].stage, "hybrid_parallel": lambda k: 2 * k}
     bases = {}
     for base, readers in READERS.items():
+        if base == "embedding" and False not in serial:
+            readers = [m for m in readers if m != "hybrid_serial"]
         depths = [needs.get(m, lambda k: k)(deepest[m]) for m in readers if m in deepest]
         if depths:
-            mine = requests.where(F.col("model").isin(readers)).drop("model")
+            mine = requests.where(F.col("model").isin(readers))
+            if base == "embedding":  # rescoring reads the vectors of the candidates instead
+                mine = mine.where((F.col("model") != "hybrid_serial") | ~F.col("rescore"))
+            mine = mine.drop("model")
             find = dense_run if base == "embedding" else lexical_run
             options = {} if base == "embedding" else {"model": base}
             bases[base] = find(corpus, mine, max(depths), **options)
@@ -190,11 +215,11 @@ def route(corpus: Corpus, requests: DataFrame) -> DataFrame:
             "query_id", F.col("asked").alias("model"), *[F.lit(None).cast("double").alias(c) for c in ("doc_id", "score", "rank")]
         )
     found = cut_lineage(merge_runs(bases).join(limits, "query_id"), "runs")
-    return _assemble(found, deepest)
+    return _assemble(corpus, requests, found, deepest, serial)
 
 
-def _assemble(found: DataFrame, deepest: dict[str, int]) -> DataFrame:
-    """The lists asked for, from base runs with ``asked, top_k, fusion_method`` of their request."""
+def _assemble(corpus: Corpus, requests: DataFrame, found: DataFrame, deepest: dict[str, int], serial: list[bool]) -> DataFrame:
+    """The lists asked for, from base runs with ``asked`` and the options of their request."""
     cut = F.col("rank") <= F.col("top_k")
     parts = [found.where((F.col("model") == F.col("asked")) & cut).select("query_id", "model", *COLUMNS[1:])]
     limits = found.select("query_id", "top_k").distinct()
@@ -203,9 +228,13 @@ def _assemble(found: DataFrame, deepest: dict[str, int]) -> DataFrame:
         run = run.join(limits, "query_id").where(cut)
         return run.select("query_id", F.lit(model).alias("model"), *COLUMNS[1:])
 
-    if "hybrid_serial" in deepest:
-        stage = found.where((F.col("asked") == "hybrid_serial") & (F.col("rank") <= FIRST_STAGE))
-        lists = [stage.where(F.col("model") == m) for m in ("bm25", "embedding")]
+    stage = found.where((F.col("asked") == "hybrid_serial") & (F.col("rank") <= F.col("first_stage")))
+    if True in serial:
+        mine = requests.where((F.col("model") == "hybrid_serial") & F.col("rescore"))
+        scored = rescored(corpus, mine, stage.where(F.col("rescore") & (F.col("model") == "bm25")))
+        parts.append(answered(_rerank(scored, deepest["hybrid_serial"]).select(COLUMNS), "hybrid_serial"))
+    if False in serial:
+        lists = [stage.where(~F.col("rescore") & (F.col("model") == m)) for m in ("bm25", "embedding")]
         dense = lists[1].select(COLUMNS)
         parts.append(answered(serial_from(lists[0], dense, deepest["hybrid_serial"]), "hybrid_serial"))
     if "hybrid_parallel" in deepest:

@@ -297,6 +297,24 @@ def test_requests_keep_their_depth_and_defaults(spark, docs, built):
     assert run_of(run, 2) == run_of(search.hybrid_parallel(where, asked.where("query_id = 2"), 10), 2)
 
 
+def test_serial_requests_deeper_than_the_first_stage(spark):
+    """140 are asked for and 150 found: all 140 come, by default as by request; the intersection is a choice."""
+    docs = spark.createDataFrame([(i, "alpha beta" if i < 150 else "gamma delta") for i in range(400)], "doc_id long, text string")
+    vectors = spark.createDataFrame([(i, [1.0, i / 100.0]) for i in range(400)], "doc_id long, embedding array<double>")
+    where = search.Corpus(index.build_index(docs), vectors, docs)
+    asked = queries(spark, *["alpha"] * 3).drop("dataset").withColumn("embedding", F.array(F.lit(0.0), F.lit(1.0)))
+    best = [(139 - i, i + 1) for i in range(140)]
+    run = search.hybrid_serial(where, asked.where("query_id = 0"), 140)
+    assert sorted(rows(run, "doc_id", "rank"), key=lambda r: r[1]) == best
+    requests = asked.withColumns({
+        "model": F.lit("hybrid_serial"), "top_k": F.when(F.col("query_id") < 2, 140).otherwise(10),
+        "first_stage": F.when(F.col("query_id") == 1, 150), "rescore": F.col("query_id") < 2,
+    })
+    run = search.route(where, requests)
+    mine = [sorted(rows(run.where(F.col("query_id") == q), "doc_id", "rank"), key=lambda r: r[1]) for q in range(3)]
+    assert mine == [best, [(149 - i, i + 1) for i in range(140)], []]
+
+
 def test_skip_list_of_one_collection(spark):
     tokens = spark.createDataFrame([(1, "x", ["a"]), (1, "y", ["a"])], "doc_id long, dataset string, tokens array<string>")
     listed = spark.createDataFrame([(1, "x")], "doc_id long, dataset string")
