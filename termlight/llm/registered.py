@@ -12,6 +12,7 @@ from termlight.llm import (
     licenses,
     merge_dropout,
     packing,
+    prefix_bpe,
     quality,
     simhash,
     suffix_dedup,
@@ -83,6 +84,19 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Encodes every text and decodes the ids again."""
+    import public_tokenizers
+
+    ranks = tokenizer("byte_bpe_50k.tiktoken")
+    coded = prefix_bpe.encode(read(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    return prefix_bpe.decode(coded, ranks).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_url_filters": op2_url_filters,
@@ -94,8 +108,10 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_byte_bpe": op11_byte_bpe,
 }
 
+
 def _license_values() -> str:
     rows = [(name, licenses.template_bigrams(text)) for name, text in licenses.TEMPLATES]
     quoted = [f"('{name}', [{', '.join(repr(g) for g in grams)}])" for name, grams in rows]
