@@ -23,6 +23,7 @@ A piece of any length takes memory in proportion to it.
 from __future__ import annotations
 
 import base64
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -62,10 +63,13 @@ class Vocabulary:
         self.ranks = ranks
         self.bytes_of = dict(zip(ranks.values(), ranks, strict=True))
         self.longest = max(map(len, ranks))
-        #: States of reading bytes: the longest ending that begins a token. Made when first met.
+        self.lengths = [0] * (max(self.bytes_of) + 1)
+        for token, own in self.bytes_of.items():
+            self.lengths[token] = len(own)
+        #: States of reading bytes, by the longest ending that begins a token: what follows on each byte,
+        #: with the ending itself under -1, and the tokens that end there. Made when first met.
         self._begins = {token[:end] for token in ranks for end in range(len(token) + 1)}
-        self._states = {b"": 0}
-        self._names, self._tokens, self._steps = [b""], [()], [{}]
+        self._states: dict[bytes, tuple[dict, tuple]] = {b"": ({-1: b""}, ())}
         self._edges: dict[int, tuple | None] = {}
         self._neighbours: dict[tuple[int, int], bool] = {}
 
@@ -112,35 +116,32 @@ class Vocabulary:
             else:
                 i += 1
 
-    def _step(self, state: int, byte: int) -> int:
-        """The state after a byte, with the tokens that end there, longest first, and their lengths."""
-        ending = self._names[state] + bytes((byte,))
+    def _step(self, state: dict, byte: int) -> tuple:
+        """The state after a byte and the tokens that end there, longest first, with their lengths."""
+        ending = state[-1] + bytes((byte,))
         while ending not in self._begins:
             ending = ending[1:]
-        after = self._states.setdefault(ending, len(self._names))
-        if after == len(self._names):
+        if ending not in self._states:
             ends = (ending[i:] for i in range(len(ending)))
             found = [(self.ranks[e], len(e)) for e in ends if e in self.ranks]
-            self._names.append(ending)
-            self._tokens.append(tuple(f for f in found if self.edges(f[0])))
-            self._steps.append({})
-        self._steps[state][byte] = after
-        return after
+            self._states[ending] = {-1: ending}, tuple(f for f in found if self.edges(f[0]))
+        state[byte] = self._states[ending]
+        return self._states[ending]
 
-    def extend(self, piece: bytes, last: list[int], length: int | None = None, state: int | None = None) -> int:
+    def extend(self, piece: bytes, last: list[int], length: int | None = None, state: dict | None = None) -> dict:
         """Fill in the last tokens of the prefixes that ``last`` does not reach yet, up to ``length``.
 
         ``state`` is what the call for the prefixes before returned; it is found again if not given.
         """
-        steps, tokens, known, done = self._steps, self._tokens, self._neighbours, len(last)
+        known, done = self._neighbours, len(last)
         if state is None:
-            state = 0
+            state = self._states[b""][0]
             for byte in piece[max(0, done - self.longest) : done]:
-                state = self._step(state, byte)
-        for at in range(done, len(piece) if length is None else length):
-            after = steps[state].get(piece[at])
-            state = self._step(state, piece[at]) if after is None else after
-            for token, size in tokens[state]:
+                state = self._step(state, byte)[0]
+        at = done
+        for byte in piece[done:length]:
+            state, tokens = state.get(byte) or self._step(state, byte)
+            for token, size in tokens:
                 if size > at:
                     last.append(token)
                     break
@@ -149,17 +150,20 @@ class Vocabulary:
                 if self.neighbours(*pair) if fits is None else fits:
                     last.append(token)
                     break
+            at += 1
         return state
 
     def walk(self, piece: bytes, last: list[int]) -> list[int]:
         """The encoding of a piece from the last tokens of its prefixes. A token on its own stays whole."""
         if piece in self.ranks:
             return [self.ranks[piece]]
-        ids, end = [], len(piece)
+        ids, end, lengths = [], len(piece), self.lengths
         while end:
-            ids.append(last[end - 1])
-            end -= len(self.bytes_of[ids[-1]])
-        return ids[::-1]
+            token = last[end - 1]
+            ids.append(token)
+            end -= lengths[token]
+        ids.reverse()
+        return ids
 
     def encode(self, piece: bytes) -> list[int]:
         if piece in self.ranks:
@@ -210,13 +214,13 @@ class Prefixes:
 
 
 class _Pieces(dict):
-    """Pieces of text and their ids as little-endian 32-bit numbers, remembered up to a bound."""
+    """Pieces of text and their ids as 32-bit numbers, remembered up to a bound."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.vocabulary.encode(piece.encode()), "<i4").tobytes()
+        ids = array("i", self.vocabulary.encode(piece.encode())).tobytes()
         if len(self) >= REMEMBERED_PIECES:
             self.clear()
         self[piece] = ids
@@ -242,15 +246,13 @@ def _border_behind(text: str, at: int) -> int:
 class Coder:
     """Texts to ids and back."""
 
-    def __init__(self, ranks: str, pattern: str):
-        self.vocabulary, self.split = read_vocabulary(ranks), regex.compile(pattern).findall
+    def __init__(self, vocabulary: Vocabulary, pattern: str):
+        self.vocabulary, self.split = vocabulary, regex.compile(pattern).findall
         self.pieces = _Pieces(self.vocabulary)
-        self.lengths = np.zeros(max(self.vocabulary.bytes_of) + 1, np.int64)
-        for token, own in self.vocabulary.bytes_of.items():
-            self.lengths[token] = len(own)
+        self.lengths = np.array(vocabulary.lengths)
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.split(text))), "<i4")
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.split(text))), np.int32)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids))
@@ -268,7 +270,7 @@ class Coder:
 @lru_cache(maxsize=4)
 def coder(ranks: str, pattern: str) -> Coder:
     """One for the tasks of a process, with what it remembers."""
-    return Coder(ranks, pattern)
+    return Coder(read_vocabulary(ranks), pattern)
 
 
 def _lists(found: list[np.ndarray]) -> pa.ListArray:

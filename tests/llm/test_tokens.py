@@ -30,7 +30,7 @@ def some_texts(n, seed=2):
 
 
 def test_texts_and_pieces(library):
-    coder = Coder(RANKS, PATTERN)
+    coder = Coder(read_vocabulary(RANKS), PATTERN)
     for text in some_texts(2000):
         assert coder.encode(text).tolist() == library.encode_ordinary(text)
         assert coder.decode(coder.encode(text).tolist()) == text.encode()
