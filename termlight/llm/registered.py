@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termlight.llm import (
+    alignment,
     doubling,
     exact_stream,
     language,
@@ -97,6 +98,17 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Aligns the tokens of two vocabularies in every text and scores their links by the whole corpus."""
+    import public_tokenizers
+
+    byte_model, piece_model = tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")
+    aligned = alignment.align(read(spark, folder, "documents"), byte_model, piece_model, public_tokenizers.PATTERN)
+    digest = F.when(F.col("n_groups") == 0, "").otherwise(F.sha2("groups", 256))
+    aligned = aligned.withColumn("groups_sha256", digest).drop("groups")
+    return alignment.weigh(aligned).select("doc_id", *alignment.NUMBERS, "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_url_filters": op2_url_filters,
@@ -109,6 +121,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 
