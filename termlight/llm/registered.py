@@ -12,6 +12,7 @@ from termlight.llm import (
     language,
     licenses,
     merge_dropout,
+    merkle,
     packing,
     prefix_bpe,
     quality,
@@ -109,6 +110,18 @@ def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.weigh(aligned).select("doc_id", *alignment.NUMBERS, "n_best", "count_sum", "groups_sha256")
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of the documents, verified with one in seven counts of characters tampered with."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    claims = {"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    found = merkle.manifest(read(spark, folder, "documents"), columns, "lang", "doc_id", claims)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(), 256).alias("proof_sha256"),
+        "folded_root", "verified",
+    )
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_url_filters": op2_url_filters,
@@ -122,6 +135,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_byte_bpe": op11_byte_bpe,
     "op12_token_alignment": op12_token_alignment,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 
@@ -131,6 +145,15 @@ def _license_values() -> str:
     return ", ".join(quoted)
 
 
+def _field_sql(column: str, value: str | None = None) -> str:
+    return f"coalesce(strlen({value or column}::VARCHAR) || ':' || {value or column}, '-')"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    parts = [_field_sql(c) for c in ("doc_id", "source", "lang")]
+    return " || ".join([*parts, _field_sql("n_chars", n_chars), _field_sql("text")])
+
+
 SQL = {
     "op5_license_scan": rf"""
 WITH templates(license, grams) AS (VALUES {_license_values()}
@@ -213,5 +236,53 @@ WITH words AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed,
   failed = 0 AS kept, failed FROM failing
+""",
+    "op13_merkle_manifest": f"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda v, i: CASE WHEN (v & 1) = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)) AS t
+), hits AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+    lambda v, b: xor(t[(xor(v, b) & 255) + 1], v >> 8)), 4294967295) % 7 = 0 AS hit
+  FROM documents, crc
+), leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf_sql('n_chars')} AS leaf_text,
+    {_leaf_sql('(n_chars + hit::BIGINT)')} AS claim_text FROM hits
+), placed AS (
+  SELECT doc_id, tree, sha256(leaf_text) AS leaf, sha256(claim_text) AS claim,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS place, count(*) OVER (PARTITION BY tree) AS total FROM leaves
+), nodes AS (
+  SELECT tree, 0 AS level, place, total, leaf AS node FROM placed
+  UNION ALL
+  SELECT tree, level + 1, place // 2, (total + 1) // 2, sha256(string_agg(node, '' ORDER BY place))
+  FROM nodes WHERE total > 1 GROUP BY tree, level, place // 2, total
+), forest AS (
+  SELECT 0 AS level, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS total, node, tree FROM nodes WHERE total = 1
+), tops AS (
+  SELECT level, place, total, node FROM forest
+  UNION ALL
+  SELECT level + 1, place // 2, (total + 1) // 2, sha256(string_agg(node, '' ORDER BY place)) FROM tops WHERE total > 1
+  GROUP BY level, place // 2, total
+), steps AS (
+  SELECT a.tree, a.level, a.place, CASE WHEN a.place % 2 = 1 THEN b.node ELSE '' END AS l,
+    CASE WHEN a.place % 2 = 0 THEN coalesce(b.node, '') ELSE '' END AS r
+  FROM nodes a LEFT JOIN nodes b ON b.tree = a.tree AND b.level = a.level AND b.place = xor(a.place, 1) WHERE a.total > 1
+), top_steps AS (
+  SELECT a.level, a.place, CASE WHEN a.place % 2 = 1 THEN b.node ELSE '' END AS l,
+    CASE WHEN a.place % 2 = 0 THEN coalesce(b.node, '') ELSE '' END AS r
+  FROM tops a LEFT JOIN tops b ON b.level = a.level AND b.place = xor(a.place, 1) WHERE a.total > 1
+), climbed AS (
+  SELECT doc_id, tree, leaf, 0 AS level, place, claim AS h, '' AS proof, total FROM placed
+  UNION ALL
+  SELECT doc_id, c.tree, leaf, c.level + 1, c.place // 2, sha256(l || h || r), proof || l || r, (total + 1) // 2
+  FROM climbed c JOIN steps s ON s.tree = c.tree AND s.level = c.level AND s.place = c.place
+), beyond AS (
+  SELECT doc_id, leaf, f.node AS subroot, 0 AS level, f.place, h, proof, f.total FROM climbed c JOIN forest f ON f.tree = c.tree WHERE c.total = 1
+  UNION ALL
+  SELECT doc_id, leaf, subroot, c.level + 1, c.place // 2, sha256(l || h || r), proof || l || r, (total + 1) // 2
+  FROM beyond c JOIN top_steps s ON s.level = c.level AND s.place = c.place
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM beyond, (SELECT node AS root FROM tops WHERE total = 1) WHERE total = 1
 """,
 }
