@@ -320,7 +320,7 @@ def test_pipeline(spark):
     kept = [{r.doc_id: r.text for r in t.select("doc_id", "text").collect()} for t in results[:4]]
     assert all(any(c.isalpha() for c in t) for t in kept[0].values())
     assert set(kept[1]) == {d for d, keep, *_ in brute.exact(kept[0].items()) if d == keep}
-    assert set(kept[2]) == {d for d, (_, root) in brute.near(kept[1].items()).items() if d == root}
+    assert set(kept[2]) == {d for d, root in brute.similar(list(kept[1].items())).items() if d == root}
     want = {d: (removed, sha) for d, _, removed, sha in brute.repeated_words(kept[2].items(), 20)}
     for d, text in kept[3].items():
         removed, sha = want[d]
