@@ -1,15 +1,21 @@
-"""Porter's suffix stripping (Program 14(3), 1980), with the usual later amendments.
+"""Porter's suffix stripping (Program 14(3), 1980), with the usual later amendments, as one expression.
 
 The amendments: short words and a few irregular forms are left alone, ``-ies``/``-ied`` keep the
 ``e`` in four-letter words, a final ``y`` changes only after a consonant that is not the first
 letter, and step 2 knows ``-bli``, ``-fulli`` and ``-logi``.
+
+The tables of suffixes are compiled to built-in expressions: a step looks up the first suffix that
+fits, works out the shape of what is in front of it once, and tests it by a pattern.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
+from collections.abc import Callable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from termlight.functions.text import bind
 
 # Forms that the rules would get wrong.
 IRREGULAR = {
@@ -40,103 +46,127 @@ STEP_4 = [
 ]
 
 
-def _shape(word: str) -> str:
+#: Shapes: a vowel before a consonant once, and twice; the short endings of a stem.
+ONCE, TWICE = "vc", "vc.*vc"
+
+
+def shape(word: Column) -> Column:
     """The word as a string of ``c`` and ``v``; y is a vowel after a consonant."""
-    shape = ""
-    for char in word:
-        vowel = char in "aeiou" or (char == "y" and shape.endswith("c"))
-        shape += "v" if vowel else "c"
-    return shape
+    letters = F.regexp_replace(F.regexp_replace(word, "(?s)[^aeiouy]", "c"), "[aeiou]", "v")
+    # A run of y behind a consonant begins with a vowel; any other, and what is left, with a consonant.
+    pairs = F.replace(F.replace(letters, F.lit("cy"), F.lit("cv")), F.lit("yy"), F.lit("cv"))
+    return F.replace(pairs, F.lit("y"), F.lit("c"))
 
 
-def _measure(stem: str) -> int:
-    return _shape(stem).count("vc")
+def _cut(word: Column, letters: int | Column) -> Column:
+    return F.left(word, F.length(word) - letters)
 
 
-def _ends_short(word: str) -> bool:
+def _ends(word: Column, *suffixes: str) -> Column:
+    found = word.endswith(suffixes[0])
+    for suffix in suffixes[1:]:
+        found |= word.endswith(suffix)
+    return found
+
+
+def _short(word: Column, form: Column) -> Column:
     """Consonant, vowel, consonant at the end (the last not w, x or y), or just vowel, consonant."""
-    shape = _shape(word)
-    return (shape.endswith("cvc") and word[-1] not in "wxy") or shape == "vc"
-
-
-def _doubled(word: str) -> bool:
-    return len(word) > 1 and word[-1] == word[-2] and _shape(word).endswith("c")
-
-
-def _swap(word: str, table: list[tuple[str, str]]) -> str:
-    for suffix, replacement in table:
-        if word.endswith(suffix):
-            stem = word[: -len(suffix)]
-            measured = stem + "l" if suffix == "logi" else stem
-            return stem + replacement if _measure(measured) > 0 else word
-    return word
-
-
-def _plurals(word: str) -> str:
-    if word.endswith("ies"):
-        return word[:-1] if len(word) == 4 else word[:-2]
-    if word.endswith("sses"):
-        return word[:-2]
-    return word[:-1] if word.endswith("s") and not word.endswith("ss") else word
-
-
-def _past_and_gerund(word: str) -> str:
-    if word.endswith("ied"):
-        return word[:-1] if len(word) == 4 else word[:-2]
-    if word.endswith("eed"):
-        return word[:-1] if _measure(word[:-3]) > 0 else word
-    for suffix in ("ed", "ing"):
-        stem = word[: -len(suffix)]
-        if word.endswith(suffix) and "v" in _shape(stem):
-            if stem.endswith(("at", "bl", "iz")):
-                return stem + "e"
-            if _doubled(stem):
-                return stem if stem[-1] in "lsz" else stem[:-1]
-            return stem + "e" if _measure(stem) == 1 and _ends_short(stem) else stem
-    return word
-
-
-def _final_y(word: str) -> str:
-    if word.endswith("y") and len(word) > 2 and _shape(word[:-1]).endswith("c"):
-        return word[:-1] + "i"
-    return word
-
-
-def _derived(word: str) -> str:
-    while word.endswith("alli") and _measure(word[:-4]) > 0:
-        word = word[:-2]
-    return _swap(word, STEP_2)
-
-
-def _residual(word: str) -> str:
-    for suffix in STEP_4:
-        if word.endswith(suffix):
-            stem = word[: -len(suffix)]
-            fits = _measure(stem) > 1 and (suffix != "ion" or stem.endswith(("s", "t")))
-            return stem if fits else word
-    return word
-
-
-def _tidy(word: str) -> str:
-    if word.endswith("e"):
-        measure = _measure(word[:-1])
-        if measure > 1 or (measure == 1 and not _ends_short(word[:-1])):
-            word = word[:-1]
-    if word.endswith("ll") and _measure(word[:-1]) > 1:
-        word = word[:-1]
-    return word
-
-
-def porter_stem(word: str) -> str:
-    word = word.lower()
-    if word in IRREGULAR:
-        return IRREGULAR[word]
-    if len(word) <= 2:
-        return word
-    word = _final_y(_past_and_gerund(_plurals(word)))
-    return _tidy(_residual(_swap(_derived(word), STEP_3)))
-
-
-@pandas_udf(StringType())
-def stem_word(words: pd.Series) -> pd.Series:
-    return words.map(porter_stem, na_action="ignore")
+    return (form.endswith("cvc") & ~_ends(word, "w", "x", "y")) | (form == "vc")
+
+
+def _rule(word: Column, table: list[tuple[str, str]], use: Callable[[Column, Column, Column], Column]) -> Column:
+    """``use(stem, suffix, replacement)`` for the first suffix of the table that fits, else the word."""
+    found = F
+    for suffix, to in table:
+        found = found.when(word.endswith(suffix), F.struct(F.lit(suffix).alias("suffix"), F.lit(to).alias("to")))
+    return bind(found, lambda f: F.when(f.isNull(), word).otherwise(
+        bind(_cut(word, F.length(f["suffix"])), lambda stem: use(stem, f["suffix"], f["to"]))
+    ))
+
+
+def _swap(word: Column, table: list[tuple[str, str]]) -> Column:
+    def use(stem: Column, suffix: Column, to: Column) -> Column:
+        measured = F.when(suffix == "logi", F.concat(stem, F.lit("l"))).otherwise(stem)
+        return F.when(shape(measured).contains(ONCE), F.concat(stem, to)).otherwise(word)
+
+    return _rule(word, table, use)
+
+
+def _plurals(word: Column) -> Column:
+    ies = F.when(F.length(word) == 4, _cut(word, 1)).otherwise(_cut(word, 2))
+    plain = F.when(word.endswith("s") & ~word.endswith("ss"), _cut(word, 1)).otherwise(word)
+    return F.when(word.endswith("ies"), ies).when(word.endswith("sses"), _cut(word, 2)).otherwise(plain)
+
+
+def _mended(stem: Column) -> Column:
+    """What is left of -ed and -ing, with its e again or without its double consonant."""
+    def use(form: Column) -> Column:
+        doubled = stem.rlike(r"(?s)(.)\1$") & form.endswith("c")
+        single = F.when(_ends(stem, "l", "s", "z"), stem).otherwise(_cut(stem, 1))
+        once = form.contains(ONCE) & ~form.rlike(TWICE) & _short(stem, form)
+        with_e = F.concat(stem, F.lit("e"))
+        return F.when(_ends(stem, "at", "bl", "iz"), with_e).when(doubled, single).when(once, with_e).otherwise(stem)
+
+    return bind(shape(stem), use)
+
+
+def _past_and_gerund(word: Column) -> Column:
+    ied = F.when(F.length(word) == 4, _cut(word, 1)).otherwise(_cut(word, 2))
+    eed = F.when(shape(_cut(word, 3)).contains(ONCE), _cut(word, 1)).otherwise(word)
+    found = F.when(word.endswith("ied"), ied).when(word.endswith("eed"), eed)
+    letters = F.when(word.endswith("ed"), 2).when(word.endswith("ing"), 3)
+    dropped = bind(_cut(word, letters), lambda stem: F.when(shape(stem).contains("v"), _mended(stem)).otherwise(word))
+    return found.when(letters.isNotNull(), dropped).otherwise(word)
+
+
+def _final_y(word: Column) -> Column:
+    behind = shape(_cut(word, 1)).endswith("c")
+    changed = F.when(behind, F.concat(_cut(word, 1), F.lit("i"))).otherwise(word)
+    return F.when(word.endswith("y") & (F.length(word) > 2), changed).otherwise(word)
+
+
+def _alli(word: Column) -> Column:
+    shorter = F.when(shape(_cut(word, 4)).contains(ONCE), _cut(word, 2)).otherwise(word)
+    return F.when(word.endswith("alli"), shorter).otherwise(word)
+
+
+def _residual(word: Column) -> Column:
+    def use(stem: Column, suffix: Column, to: Column) -> Column:
+        fits = shape(stem).rlike(TWICE) & ((suffix != "ion") | _ends(stem, "s", "t"))
+        return F.when(fits, stem).otherwise(word)
+
+    return _rule(word, [(suffix, "") for suffix in STEP_4], use)
+
+
+def _final_e(word: Column) -> Column:
+    def use(stem: Column, form: Column) -> Column:
+        drop = form.rlike(TWICE) | (form.contains(ONCE) & ~_short(stem, form))
+        return F.when(drop, stem).otherwise(word)
+
+    cut = bind(_cut(word, 1), lambda stem: bind(shape(stem), lambda form: use(stem, form)))
+    return F.when(word.endswith("e"), cut).otherwise(word)
+
+
+def _double_l(word: Column) -> Column:
+    shorter = F.when(shape(_cut(word, 1)).rlike(TWICE), _cut(word, 1)).otherwise(word)
+    return F.when(word.endswith("ll"), shorter).otherwise(word)
+
+
+STEPS = [
+    _plurals, _past_and_gerund, _final_y, _alli, lambda w: _swap(w, STEP_2), lambda w: _swap(w, STEP_3),
+    _residual, _final_e, _double_l,
+]
+
+
+def stem_word(word: Column) -> Column:
+    """The stem of a word, in lower case; null stays null."""
+    def stem(lowered: Column) -> Column:
+        found = lowered
+        for step in STEPS:
+            found = bind(found, step)
+        irregular = F
+        for form, to in IRREGULAR.items():
+            irregular = irregular.when(lowered == form, to)
+        return irregular.when(F.length(lowered) <= 2, lowered).otherwise(found)
+
+    return bind(F.lower(word), stem)

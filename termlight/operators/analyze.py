@@ -52,7 +52,7 @@ def stem_table(terms: DataFrame) -> DataFrame:
         terms.where(F.col("term").isNotNull())
         .select(F.col("term").alias("form"))
         .distinct()
-        .withColumn("term", stem_word("form"))
+        .withColumn("term", stem_word(F.col("form")))
     )
 
 

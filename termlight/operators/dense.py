@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
@@ -14,9 +14,11 @@ from termlight.functions.vectors import l2_normalize
 from termlight.operators.index import with_dataset
 from termlight.operators.joins import fits_broadcast
 from termlight.operators.ranking import SCORE_DIGITS, top_k
+from termlight.session import cut_lineage, new_folder
 
 QUERY_BLOCK = 50_000
-DOC_BLOCK = 20_000
+#: Entries of all lists that a task holds.
+BEST_CELLS = 5_000_000
 PRODUCT_CELLS = 20_000_000
 
 
@@ -31,55 +33,77 @@ def vector_stats(table: DataFrame, vector: str = "embedding") -> DataFrame:
     )
 
 
-def _keep_best(found: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k best rows of each query, by score and then by the smaller document id."""
-    ordered = found.sort_values(["query", "score", "doc_id"], ascending=[True, False, True])
-    return ordered.groupby("query", sort=False).head(k)
+class Best:
+    """The k best documents of each query so far, in memory of queries times k."""
 
+    def __init__(self, queries: int, k: int):
+        self.scores, self.names = np.full((queries, k), -np.inf), None
+        self.k = k
 
-def _best_of_block(queries: np.ndarray, docs: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k best documents of a block for each query vector; ``query`` is its row number."""
-    matrix = np.stack(docs["embedding"].to_numpy()).astype(np.float64).T
-    names = docs["doc_id"].to_numpy()
-    step = max(1, PRODUCT_CELLS // len(docs))
-    found = []
-    for start in range(0, len(queries), step):
-        scores = np.round(queries[start : start + step] @ matrix, SCORE_DIGITS)
-        least = scores.min(axis=1) if len(docs) <= k else np.partition(scores, -k, axis=1)[:, -k]
-        query, doc = np.nonzero(scores >= least[:, None])
-        part = {"query": query + start, "doc_id": names[doc], "score": scores[query, doc]}
-        found.append(_keep_best(pd.DataFrame(part), k))
-    return pd.concat(found, ignore_index=True)
-
+    def least(self, rows: np.ndarray) -> np.ndarray:
+        """The scores that a document must reach to be looked at."""
+        return self.scores[rows, -1]
 
-def _search(
-    queries: pd.DataFrame, blocks: Iterator[pd.DataFrame], k: int
-) -> Iterator[pd.DataFrame]:
+    def add(self, rows: np.ndarray, names: np.ndarray, scores: np.ndarray) -> None:
+        """Merge documents with their scores for the queries in ``rows``; ties go to the smaller name."""
+        if self.names is None:
+            self.names = np.zeros(self.scores.shape, names.dtype)
+        least = self.least(rows)
+        if scores.shape[1] > self.k:
+            least = np.maximum(least, np.partition(scores, -self.k, axis=1)[:, -self.k])
+        query, doc = np.nonzero(scores >= least[:, None])
+        met = np.unique(query)
+        if not len(met):
+            return
+        held, place = np.nonzero(self.scores[rows[met]] > -np.inf)
+        held = met[held]
+        row = np.concatenate([held, query])
+        score = np.concatenate([self.scores[rows[held], place], scores[query, doc]])
+        name = np.concatenate([self.names[rows[held], place], names[doc]])
+        order = np.lexsort((np.unique(name, return_inverse=True)[1], -score, row))
+        row, score, name = row[order], score[order], name[order]
+        starts = np.searchsorted(row, row)
+        rank = np.arange(len(row)) - starts
+        kept = rank < self.k
+        self.scores[rows[met]] = -np.inf
+        self.scores[rows[row[kept]], rank[kept]] = score[kept]
+        self.names[rows[row[kept]], rank[kept]] = name[kept]
+
+    def frame(self, query_ids: np.ndarray) -> pd.DataFrame:
+        row, place = np.nonzero(self.scores > -np.inf)
+        names = self.names[row, place] if self.names is not None else []
+        return pd.DataFrame({"query_id": query_ids[row], "doc_id": names, "score": self.scores[row, place]})
+
+
+def stacked(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.to_numpy()).astype(np.float64)
+
+
+def _search(queries: pd.DataFrame, blocks: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
     """Run all blocks past the queries of their collection and yield the k best together, once."""
     if not len(queries):
         return
-    matrix = np.stack(queries["embedding"].to_numpy()).astype(np.float64)
+    matrix, best = stacked(queries["embedding"]), Best(len(queries), k)
     rows_of = queries.reset_index(drop=True).groupby("dataset").indices
-    best = None
     for block in blocks:
         for dataset, docs in block.groupby("dataset"):
-            if dataset in rows_of:
-                found = _best_of_block(matrix[rows_of[dataset]], docs, k)
-                found["query"] = rows_of[dataset][found["query"].to_numpy()]
-                best = found if best is None else _keep_best(pd.concat([best, found]), k)
-    if best is not None:
-        ids = queries["query_id"].to_numpy()[best["query"].to_numpy()]
-        yield best.assign(query_id=ids)[["query_id", "doc_id", "score"]]
+            rows = rows_of.get(dataset, np.zeros(0, int))
+            vectors, names = stacked(docs["embedding"]).T, docs["doc_id"].to_numpy()
+            step = max(1, PRODUCT_CELLS // len(docs))
+            for start in range(0, len(rows), step):
+                some = rows[start : start + step]
+                best.add(some, names, np.round(matrix[some] @ vectors, SCORE_DIGITS))
+    yield best.frame(queries["query_id"].to_numpy())
 
 
-def _vectors(table: DataFrame, key: str, vector: str, alias: str) -> DataFrame:
+def vector_rows(table: DataFrame, key: str, vector: str, alias: str) -> DataFrame:
     picked = with_dataset(table).select(
         "dataset", F.col(key).alias(alias), F.col(vector).alias("embedding")
     )
     return picked.where(F.col(alias).isNotNull() & F.col("embedding").isNotNull())
 
 
-def _out_schema(queries: DataFrame, docs: DataFrame) -> t.StructType:
+def out_schema(queries: DataFrame, docs: DataFrame) -> t.StructType:
     return t.StructType(
         [
             t.StructField("query_id", queries.schema["query_id"].dataType),
@@ -89,26 +113,26 @@ def _out_schema(queries: DataFrame, docs: DataFrame) -> t.StructType:
     )
 
 
-def _hash_block(column: str, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(blocks))
-
-
-def _search_blocks(docs: DataFrame, queries: DataFrame, k: int, query_block: int) -> DataFrame:
-    """Meet every block of queries with every block of documents in a group of a bounded size."""
-    n_docs, n_queries = docs.count(), queries.count()
-    doc_blocks, query_blocks = 1 + 2 * n_docs // DOC_BLOCK, 1 + 2 * n_queries // query_block
-    number = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long")))
-    left = docs.withColumn("d", _hash_block("doc_id", doc_blocks)).withColumn("q", number)
-    number = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(doc_blocks - 1).cast("long")))
-    right = queries.withColumn("q", _hash_block("query_id", query_blocks)).withColumn("d", number)
-    schema = _out_schema(queries, docs)
-
-    def search(doc_part: pd.DataFrame, query_part: pd.DataFrame) -> pd.DataFrame:
-        for best in _search(query_part, iter([doc_part]), k):
-            return best
-        return pd.DataFrame({f.name: [] for f in schema.fields})
+def in_query_blocks(
+    queries: DataFrame, query_block: int, k: int, search: Callable[[pd.DataFrame], DataFrame]
+) -> DataFrame:
+    """``search`` for queries of any number, a bounded block of them after the other.
 
-    return left.groupBy("d", "q").cogroup(right.groupBy("d", "q")).applyInPandas(search, schema)
+    A block has at most some ``query_block`` queries and their lists at most ``BEST_CELLS`` entries.
+    Its best documents are final and are added to a table.
+    """
+    query_block = max(1, min(query_block, BEST_CELLS // k))
+    if fits_broadcast(queries, max_rows=query_block):
+        return search(queries.toPandas())
+    spark, found = queries.sparkSession, new_folder(queries.sparkSession, "found")
+    number = F.pmod(F.xxhash64("query_id"), F.lit(1 + 2 * queries.count() // query_block))
+    dealt = cut_lineage(queries.withColumn("block", number).repartition("block"), "query-blocks")
+    schema = None
+    for row in dealt.select("block").distinct().orderBy("block").collect():
+        best = search(dealt.where(F.col("block") == row.block).drop("block").toPandas())
+        schema = best.schema
+        best.write.mode("append").parquet(found)
+    return spark.read.schema(schema).parquet(found)
 
 
 def nearest(
@@ -126,19 +150,20 @@ def nearest(
 
     A query table of a checked size goes to every task, which multiplies its documents block by
     block and emits only its own best ``k`` per query; those meet in one shuffle by query. A larger
-    query table is cut into blocks that meet the document blocks in bounded groups.
+    query table is searched in bounded blocks, one after the other; the documents are never copied.
     """
     if not ("dataset" in docs.columns and "dataset" in queries.columns):
         docs, queries = docs.drop("dataset"), queries.drop("dataset")
-    docs = _vectors(docs, doc_key, vector, "doc_id")
-    queries = _vectors(queries, query_key, vector, "query_id")
-    if not fits_broadcast(queries, max_rows=query_block):
-        return top_k(_search_blocks(docs, queries, k, query_block), ["query_id"], k)
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(queries.toPandas())
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _search(shared.value, batches, k)
-
-    found = docs.mapInPandas(search, _out_schema(queries, docs))
-    return top_k(found, ["query_id"], k)
+    docs = vector_rows(docs, doc_key, vector, "doc_id")
+    queries = vector_rows(queries, query_key, vector, "query_id")
+    spark, schema = docs.sparkSession, out_schema(queries, docs)
+
+    def block(some: pd.DataFrame) -> DataFrame:
+        shared = spark.sparkContext.broadcast(some)
+
+        def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            yield from _search(shared.value, batches, k)
+
+        return top_k(docs.mapInPandas(search, schema), ["query_id"], k)
+
+    return in_query_blocks(queries, query_block, k, block)

@@ -3,7 +3,9 @@
 Everything carries a ``dataset`` column, so one job indexes any number of collections and equal
 document ids of two collections stay apart. Postings are hash-partitioned by ``doc_id``: a
 document's terms sit together, hence tf, lengths, norms and scores need no further shuffle and no
-term, however frequent, makes a hot partition.
+term, however frequent, makes a hot partition. Inside the buckets they can be cut once more by a hash
+of the term into shelves, which are partitions of the table: a search opens the shelves of its terms
+alone, however many terms it has.
 """
 
 from __future__ import annotations
@@ -213,8 +215,25 @@ def tfidf_weights(index: SearchIndex) -> DataFrame:
     )
 
 
-def lookup_postings(postings: DataFrame, terms: DataFrame) -> DataFrame:
+def shelf_of(shelves: int) -> Column:
+    """The shelf of a term."""
+    return F.pmod(F.xxhash64("term"), F.lit(shelves)).cast("int")
+
+
+def on_shelves(postings: DataFrame, terms: DataFrame, shelves: int) -> DataFrame:
+    """The postings on the shelves of the given terms; all others are left out when files are listed.
+
+    The numbers of the shelves go through the driver; they are no more than there are shelves.
+    """
+    if shelves <= 1 or "shelf" not in postings.columns:
+        return postings
+    wanted = terms.select(shelf_of(shelves).alias("shelf")).distinct().collect()
+    return postings.where(F.col("shelf").isin([r.shelf for r in wanted]))
+
+
+def lookup_postings(postings: DataFrame, terms: DataFrame, shelves: int = 1) -> DataFrame:
     """The postings of the given terms; a term that is not indexed gives no rows."""
+    postings = on_shelves(postings, terms, shelves)
     keys = TERM if "dataset" in terms.columns else ["term"]
     return lookup_join(postings, terms.select(keys).distinct(), keys)
 
@@ -236,6 +255,7 @@ class SearchIndex:
     stats: DataFrame
     norms: DataFrame
     path: str | None = None
+    shelves: int = 1
     few_collections: bool | None = None  # whether ``stats`` was found small enough to broadcast
 
 
@@ -245,51 +265,73 @@ LAYOUT = {
     "vocab": ("term", "term"),
     "norms": ("doc_id", "doc_id"),
 }
+LAYOUT_SCHEMA = "buckets int, shelves int"
 
 
-def _save(df: DataFrame, path: str, name: str, buckets: int) -> DataFrame:
-    """Write a bucketed table: later joins and aggregates on its key need no shuffle."""
+def save_buckets(
+    df: DataFrame, path: str, name: str, buckets: int, key: str, order: list[str], shelves: int = 1, move: bool = True
+) -> DataFrame:
+    """Write a bucketed table: later joins and aggregates on its key need no shuffle.
+
+    Rows are cut into shelves while they are written, without a further shuffle. ``move=False`` is
+    for rows that lie in the buckets of their key already.
+    """
     spark = df.sparkSession
-    key, order = LAYOUT[name]
     table = f"termlight_{name}_{uuid.uuid4().hex}"
-    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(order)
+    if move:
+        df = df.repartition(buckets, key)
+    if shelves > 1:
+        df = df.withColumn("shelf", shelf_of(shelves))
+    writer = df.write.bucketBy(buckets, key).sortBy(*order)
+    if shelves > 1:
+        writer = writer.partitionBy("shelf")
     writer.option("path", f"{path}/{name}").saveAsTable(table)
     return spark.table(table)
 
 
-def _open(spark: SparkSession, path: str, name: str, buckets: int) -> DataFrame:
+def _save(df: DataFrame, path: str, name: str, buckets: int, shelves: int = 1) -> DataFrame:
+    key, order = LAYOUT[name]
+    return save_buckets(df, path, name, buckets, key, [order], shelves)
+
+
+def _open(spark: SparkSession, path: str, name: str, buckets: int, shelves: int = 1) -> DataFrame:
     """Declare the files of a saved table again, with their buckets."""
     key, order = LAYOUT[name]
     table = f"termlight_{name}_{uuid.uuid4().hex}"
     fields = spark.read.parquet(f"{path}/{name}").schema.fields
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    partitions = "PARTITIONED BY (shelf) " if shelves > 1 else ""
     spark.sql(
-        f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({order}) "
+        f"CREATE TABLE {table} ({columns}) USING parquet {partitions}CLUSTERED BY ({key}) SORTED BY ({order}) "
         f"INTO {buckets} BUCKETS LOCATION '{path}/{name}'"
     )
+    if shelves > 1:
+        spark.catalog.recoverPartitions(table)
     return spark.table(table)
 
 
-def save_index(postings: DataFrame, buckets: int, path: str | None = None) -> SearchIndex:
+def save_index(postings: DataFrame, buckets: int, path: str | None = None, shelves: int = 1) -> SearchIndex:
     """Write the index tables, each built from the ones already written."""
     spark = postings.sparkSession
     path = path or new_folder(spark, "index")
-    postings = _save(postings, path, "postings", buckets)
+    postings = _save(postings, path, "postings", buckets, shelves)
     lengths = _save(doc_lengths(postings), path, "lengths", buckets)
     vocab = _save(vocabulary(postings), path, "vocab", buckets)
     corpus_stats(lengths, vocab).write.parquet(f"{path}/stats")
     stats = spark.read.schema(STATS).parquet(f"{path}/stats")
     norms = _save(tfidf_norms(postings, vocab, stats), path, "norms", buckets)
-    spark.createDataFrame([(buckets,)], "buckets int").write.parquet(f"{path}/layout")
-    return SearchIndex(postings, lengths, vocab, stats, norms, path, fits_broadcast(stats))
+    spark.createDataFrame([(buckets, shelves)], LAYOUT_SCHEMA).write.parquet(f"{path}/layout")
+    return SearchIndex(postings, lengths, vocab, stats, norms, path, shelves, fits_broadcast(stats))
 
 
 def open_index(spark: SparkSession, path: str) -> SearchIndex:
     """Read a saved index from its folder, in this or a later session."""
-    buckets = spark.read.schema("buckets int").parquet(f"{path}/layout").first().buckets
-    tables = {name: _open(spark, path, name, buckets) for name in LAYOUT}
+    layout = spark.read.schema(LAYOUT_SCHEMA).parquet(f"{path}/layout").first()
+    shelves = {"postings": layout.shelves or 1}
+    tables = {name: _open(spark, path, name, layout.buckets, shelves.get(name, 1)) for name in LAYOUT}
     stats = spark.read.schema(STATS).parquet(f"{path}/stats")
-    return SearchIndex(**tables, stats=stats, path=path, few_collections=fits_broadcast(stats))
+    few = fits_broadcast(stats)
+    return SearchIndex(**tables, stats=stats, path=path, shelves=shelves["postings"], few_collections=few)
 
 
 def build_index(
@@ -300,15 +342,18 @@ def build_index(
     buckets: int | None = None,
     path: str | None = None,
     ordinal: str | None = None,
+    shelves: int = 1,
 ) -> SearchIndex:
     """Analyze, count and write: the offline half of a search system.
 
     ``buckets`` should leave a few hundred MB of text in each; the default is the number of
-    shuffle partitions.
+    shuffle partitions. ``shelves`` cuts the postings of a bucket by term; a shelf of a bucket is a
+    file and should keep some tens of MB, so that a large index has few hundred buckets and as many
+    or more shelves.
     """
     buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     postings = build_postings(docs, mode, lemmas, skip_ids, buckets, ordinal)
-    return save_index(postings, buckets, path)
+    return save_index(postings, buckets, path, shelves)
 
 
 def processed(docs: DataFrame, mode: str = "default", lemmas: DataFrame | None = None) -> DataFrame:

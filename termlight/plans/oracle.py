@@ -12,6 +12,7 @@ from termlight.functions.wordlists import (
     NUMBER_WORDS,
     STOP_WORDS,
 )
+from termlight.plans.oracle_stems import stems
 
 
 def _quoted(words: list[str]) -> str:
@@ -362,6 +363,18 @@ def oracle_sql() -> dict[str, str]:
             "SELECT doc_id, array_to_string(ws, ' ') AS words FROM fb_w", FEEDBACK
         ),
         # dictionaries
+        "stem_vocabulary": _sql(
+            "SELECT form, term FROM stems",
+            f"forms AS (SELECT unnest({stopped('text')}) AS term FROM documents)",
+            *stems("forms"),
+        ),
+        "stem_tokens": _sql(
+            """SELECT doc_id, coalesce(string_agg(stems.term, ' ' ORDER BY pos), '') AS tokens
+            FROM documents LEFT JOIN forms USING (doc_id) LEFT JOIN stems ON form = forms.term GROUP BY 1""",
+            f"""forms AS (SELECT doc_id, unnest(w) AS term, generate_subscripts(w, 1) AS pos
+              FROM (SELECT doc_id, {stopped('text')} AS w FROM documents))""",
+            *stems("forms"),
+        ),
         "lemma_join": _sql(
             """SELECT doc_id, coalesce(string_agg(coalesce(lemma, term), ' ' ORDER BY pos), '') AS tokens
             FROM (SELECT doc_id, unnest(tokens) AS term, generate_subscripts(tokens, 1) AS pos FROM d)
@@ -434,6 +447,9 @@ def oracle_sql() -> dict[str, str]:
         "postings_lookup": _sql(
             "SELECT doc_id, term, tf FROM posts SEMI JOIN qterms USING (term)", BASE
         ),
+        "postings_lookup_shelves": _sql(
+            "SELECT doc_id, term, tf FROM posts SEMI JOIN qterms USING (term)", BASE
+        ),
         "doc_length_lookup": _sql(
             """SELECT DISTINCT vec_id AS doc_id, coalesce(dl, 0)::BIGINT AS dl
             FROM embeddings LEFT JOIN lens ON vec_id = doc_id""",
@@ -447,7 +463,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "bm25_idf": _sql("SELECT term, round(idf, 6) AS idf FROM idf", INDEX),
         # retrieval
-        "bm25_okapi": _sql(_plain("bm25", lexical), BASE, okapi_run("bm25", 10)),
+        **{
+            name: _sql(_plain("bm25", lexical), BASE, okapi_run("bm25", 10))
+            for name in ("bm25_okapi", "bm25_shelves", "bm25_query_blocks", "bm25_pruned")
+        },
         "bm25_plus_one": _sql(
             _plain("run", lexical),
             BASE,
@@ -486,7 +505,13 @@ def oracle_sql() -> dict[str, str]:
                 10,
             ),
         ),
-        "dense_topk": _sql(_plain("dense", lexical), QVECTORS, dense_run("dense", 10)),
+        **{
+            name: _sql(_plain("dense", lexical), QVECTORS, dense_run("dense", 10))
+            for name in ("dense_topk", "dense_pivots")
+        },
+        "vectors_saved": """SELECT vec_id AS doc_id, (SELECT max(len(embedding)) FROM embeddings)::INTEGER AS dimension,
+            (SELECT count(*) FROM embeddings) AS vectors, array_to_string(list_transform(embedding::DOUBLE[],
+            lambda x: round(x * 100000)::BIGINT), ' ') AS scaled FROM embeddings""",
         "vector_normalize": f"""SELECT vec_id, array_to_string(list_transform(embedding::DOUBLE[],
             lambda x: (round(x / sqrt({_dot('embedding', 'embedding')}) * 100000))::BIGINT), ' ') AS scaled
             FROM embeddings""",

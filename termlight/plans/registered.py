@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from termlight import schemas
 from termlight.functions import text as T
 from termlight.functions.vectors import l2_normalize
-from termlight.operators import annotate, dense, evaluate, fusion, index, lexical, ranking, refine
+from termlight.operators import annotate, dense, evaluate, fusion, impacts, index, lexical, pivots, ranking, refine
 from termlight.operators.analyze import analyze, plain_tokens, stem_table
 from termlight.plans import search
 from termlight.session import cut_lineage, new_folder
 from termlight.sources import collections, judgments
+from termlight.sources import vectors as vector_files
 from termlight.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -381,6 +382,38 @@ def bm25_okapi(spark, folder):
     return lexical.bm25(session_index(spark, folder), analyzed_queries(spark, folder)).select(LIST)
 
 
+def shelved_index(spark: SparkSession, folder: str) -> index.SearchIndex:
+    """The index of the folder's documents with its postings on 32 shelves in 4 buckets."""
+    docs = documents(spark, folder)
+    key = (spark.sparkContext.applicationId, "shelves", *sorted(docs.inputFiles()))
+    if key not in _indexes:
+        _indexes[key] = index.build_index(docs, buckets=4, shelves=32)
+    return _indexes[key]
+
+
+def bm25_shelves(spark, folder):
+    """The same run, from the shelves of the query terms alone."""
+    return lexical.bm25(shelved_index(spark, folder), analyzed_queries(spark, folder)).select(LIST)
+
+
+def postings_lookup_shelves(spark, folder):
+    built = shelved_index(spark, folder)
+    terms = lexical.query_tf(analyzed_queries(spark, folder)).select("term")
+    return index.lookup_postings(built.postings, terms, built.shelves).select("doc_id", "term", "tf")
+
+
+def bm25_query_blocks(spark, folder):
+    """The same run, with so few query terms broadcast at a time that the queries go in several blocks."""
+    built = session_index(spark, folder)
+    return lexical.bm25(built, analyzed_queries(spark, folder), max_rows=600).select(LIST)
+
+
+def bm25_pruned(spark, folder):
+    """The same run, from the blocks of documents that can reach it."""
+    blocks = impacts.build_blocks(session_index(spark, folder))
+    return impacts.bm25_pruned(blocks, analyzed_queries(spark, folder)).select(LIST)
+
+
 def bm25_plus_one(spark, folder):
     return lexical.bm25(
         session_index(spark, folder), analyzed_queries(spark, folder), variant="plus_one"
@@ -414,6 +447,24 @@ def dense_topk(spark, folder):
     return dense.nearest(vectors(spark, folder), _vector_queries(spark, folder)).select(LIST)
 
 
+def dense_pivots(spark, folder):
+    """The same run, from the blocks of vectors that can reach it."""
+    blocks = pivots.build_vector_blocks(vectors(spark, folder), pivots=64)
+    return pivots.nearest_in_blocks(blocks, _vector_queries(spark, folder)).select(LIST)
+
+
+def vectors_saved(spark, folder):
+    """The vectors after a round trip through a saved folder, beside its record."""
+    path = new_folder(spark, "vectors")
+    record = vector_files.save_vectors(vectors(spark, folder), path).first()
+    stored = vector_files.read_vectors(spark, path)
+    scaled = F.transform("embedding", lambda x: F.round(x.cast("double") * 100000).cast("long").cast("string"))
+    return stored.select(
+        "doc_id", F.lit(record.dimension).alias("dimension"), F.lit(record.vectors).alias("vectors"),
+        F.array_join(scaled, " ").alias("scaled"),
+    )
+
+
 def vector_normalize(spark, folder):
     unit = table(spark, folder, "embeddings").withColumn("v", l2_normalize(F.col("embedding")))
     scaled = F.transform("v", lambda x: F.round(x * 100000).cast("long").cast("string"))
@@ -782,6 +833,7 @@ QUERIES: dict[str, Query] = {
             entity_gazetteer, sentiment_lexicon, postings, index_skip_counts, index_skip_list,
             doc_lengths, corpus_stats, dataset_indexes, doc_freq, postings_lookup,
             doc_length_lookup, tfidf_weights, bm25_idf, bm25_okapi, bm25_plus_one,
+            bm25_shelves, postings_lookup_shelves, bm25_query_blocks, bm25_pruned, dense_pivots, vectors_saved,
             bm25_param_sweep, tfidf_cosine, tfidf_loglog, dense_topk, vector_normalize, query_tf,
             hybrid_serial, hybrid_serial_rescored, hybrid_parallel_rrf, hybrid_parallel_linear,
             model_router, router_mixed_requests, router_deep_requests, search_datasets, search_pipeline, fusion_rrf, fusion_linear, run_max_normalize, run_ranked, runs_merged,

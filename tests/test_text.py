@@ -1,12 +1,20 @@
+import os
+import random
+import sys
+
 import pytest
 from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from termlight.functions import text as T
-from termlight.functions.porter import porter_stem
+from termlight.functions.porter import IRREGULAR, STEP_2, STEP_3, STEP_4, stem_word
 from termlight.operators.analyze import analyze, plain_tokens
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from plain_porter import porter_stem as plain_stem  # noqa: E402
+
 
 def normalized(spark, texts):
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
@@ -56,8 +64,25 @@ def test_punctuation_tokens(spark):
     assert rows.select(T.remove_punctuation_tokens(F.col("t"))).first()[0] == ["a", "a-b"]
 
 
-def test_porter_goldens():
-    assert [porter_stem(w) for w in ("running", "leaves", "falling")] == ["run", "leav", "fall"]
+def stems(spark, words):
+    table = spark.createDataFrame([(w,) for w in words], "word string")
+    return [r[0] for r in table.select(stem_word(F.col("word"))).collect()]
+
+
+def test_stems_word_by_word(spark):
+    """The expression against the rules in plain Python: real endings, runs of y and every table entry."""
+    r = random.Random(1)
+    starts = ["", "a", "cr", "rel", "oper", "vall", "yy", "syzyg", "bey", "controll", "hop", "fil", "x", "agre", "ou"]
+    ends = [*(e for t in (STEP_2, STEP_3) for pair in t for e in pair), *STEP_4, *IRREGULAR, "ies", "ied", "eed", "ed", "ing", "sses", "y", "e", "ll"]
+    words = [s + e + f for s in starts for e in ends for f in ("", "s", "ed", "ly")]
+    words += ["".join(r.choice("aeiouybcdlstz") for _ in range(r.randint(0, 12))) for _ in range(4000)]
+    words += ["Ünïcödeing", "x1ing", "a\nbing", "y" * 41 + "ing", "A" * 3000 + "ational"]
+    assert stems(spark, words) == [plain_stem(w) for w in words]
+    assert stems(spark, [None, ""]) == [None, ""]
+
+
+def test_porter_goldens(spark):
+    assert stems(spark, ["running", "leaves", "falling"]) == ["run", "leav", "fall"]
     pairs = {
         "caresses": "caress", "ponies": "poni", "ties": "tie", "cats": "cat", "feed": "feed",
         "agreed": "agre", "plastered": "plaster", "motoring": "motor", "sing": "sing",
@@ -67,7 +92,7 @@ def test_porter_goldens():
         "triplicate": "triplic", "hopeful": "hope", "goodness": "good", "revival": "reviv",
         "adjustment": "adjust", "adoption": "adopt", "probate": "probat", "controll": "control",
     }
-    assert {w: porter_stem(w) for w in pairs} == pairs
+    assert dict(zip(pairs, stems(spark, pairs), strict=True)) == pairs
 
 
 def test_stem_and_lemma_modes(spark):
