@@ -31,6 +31,46 @@ def word_groups(words: Column, n: int) -> Column:
     )
 
 
+def phrase_levels(gazetteer: DataFrame, max_words: int) -> list[DataFrame]:
+    """The beginnings of all phrases, by their number of words: ``prefix``, the ``label`` of the phrase
+    that ends there, if one does, and whether a phrase goes ``on``. Of several labels the smallest counts.
+    """
+    parts = F.split("phrase", " ")
+    phrases = gazetteer.select("label", parts.alias("parts"), F.size(parts).alias("words"))
+    phrases = phrases.where(F.col("words") <= max_words)
+    levels = []
+    for n in range(1, max_words + 1):
+        begun = phrases.where(F.col("words") >= n)
+        prefix = F.array_join(F.slice("parts", 1, n), " ").alias("prefix")
+        own, on = F.when(F.col("words") == n, F.col("label")), F.col("words") > n
+        levels.append(begun.groupBy(prefix).agg(F.min(own).alias("label"), F.max(on).alias("on")))
+    return levels
+
+
+def phrase_matches(docs: DataFrame, gazetteer: DataFrame, max_words: int, key: str) -> DataFrame:
+    """``key, pos, n, entity, label`` for every phrase at every place, found word by word.
+
+    A phrase of n words is put together only where its first n - 1 words begin one in the gazetteer,
+    so nearly all places end with a look at one word.
+    """
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    places = docs.select(key, words.alias("words")).select(key, "words", F.posexplode("words").alias("pos", "word"))
+    near = F.slice("words", F.col("pos") + 1, F.lit(max_words)).alias("near")
+    found = places.select(key, "pos", near, F.lower("word").alias("prefix"))
+    ends = []
+    for n, level in enumerate(phrase_levels(gazetteer, max_words), 1):
+        if n > 1:
+            longer = F.lower(F.array_join(F.slice("near", 1, n), " "))
+            found = found.withColumn("prefix", F.when(F.col("on") & (F.size("near") >= n), longer)).drop("on")
+        level = level.withColumnRenamed("label", f"label_{n}")
+        found = lookup_join(found, level, ["prefix"], "inner" if n == 1 else "left")
+        entity = F.array_join(F.slice("near", 1, n), " ").alias("entity")
+        match = F.struct(F.lit(n).alias("n"), entity, F.col(f"label_{n}").alias("label"))
+        ends.append(F.when(F.col(f"label_{n}").isNotNull(), match))
+    matches = F.filter(F.array(*ends), lambda m: m.isNotNull())
+    return found.select(key, "pos", F.explode(matches).alias("m")).select(key, "pos", "m.*")
+
+
 def entities(
     docs: DataFrame, gazetteer: DataFrame, max_words: int, key: str = "doc_id"
 ) -> DataFrame:
@@ -40,13 +80,7 @@ def entities(
     from the left, the longest phrase at a position wins and the next one starts after it. Only
     matches are shuffled, and only matches that touch each other are resolved together.
     """
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    phrases = docs.select(key, words.alias("words")).select(
-        key,
-        F.explode(F.concat(*[word_groups(F.col("words"), n) for n in range(1, max_words + 1)])).alias("g"),
-    )
-    phrases = phrases.select(key, "g.*").withColumn("phrase", F.lower("entity"))
-    found = lookup_join(phrases, gazetteer.select("phrase", "label"), ["phrase"])
+    found = phrase_matches(docs, gazetteer, max_words, key)
     found = found.withColumn("end", F.col("pos") + F.col("n"))
     # An island is a run of matches that overlap; a match beyond all earlier ends opens a new one.
     order = Window.partitionBy(key).orderBy("pos", F.desc("n"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termlight.functions import text as T
 from termlight.operators.analyze import analyze
-from termlight.operators.index import SearchIndex, with_dataset
+from termlight.operators.index import SearchIndex, save_buckets, with_dataset
 from termlight.operators.joins import (
     MAX_BROADCAST_BYTES,
     MAX_BROADCAST_ROWS,
@@ -16,7 +18,7 @@ from termlight.operators.joins import (
     wanted_rows,
 )
 from termlight.operators.lexical import B, K1, bm25
-from termlight.session import cut_lineage
+from termlight.session import cut_lineage, new_folder
 
 MAX_SYNONYMS = 2
 SUGGESTIONS = 5
@@ -32,7 +34,8 @@ SPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
 def _deletions(words: DataFrame, column: str, distance: int) -> DataFrame:
-    """Every string left of a word's first letters after up to ``distance`` deletions, as ``key``.
+    """Every string left of a word's first letters after up to ``distance`` deletions, as ``key``, with
+    the least number of ``deletions`` that leave it.
 
     Two words within 1 or 2 edits of each other (a swap of neighbours counts as one) turn into the
     same string by as many deletions in each. The beginning of that string comes from the first
@@ -46,17 +49,19 @@ def _deletions(words: DataFrame, column: str, distance: int) -> DataFrame:
     def cut(i: Column) -> Column:
         return F.concat(F.substring(start, F.lit(1), i - 1), F.substring(start, i + 1, size))
 
-    keys = [F.array(start), F.transform(places, cut)]
+    keys = [F.array(start), F.array_distinct(F.transform(places, cut))]
     if distance == 2:
-        keys.append(F.flatten(F.transform(places, lambda i: F.transform(
+        keys.append(F.array_distinct(F.flatten(F.transform(places, lambda i: F.transform(
             F.filter(places, lambda j: j > i),
             lambda j: F.concat(
                 F.substring(start, F.lit(1), i - 1),
                 F.substring(start, i + 1, j - i - 1),
                 F.substring(start, j + 1, size),
             ),
-        ))))
-    return words.withColumn("key", F.explode(F.array_distinct(F.concat(*keys))))
+        )))))
+    # Strings after one and after two deletions differ in length, so no key comes twice.
+    entries = [F.transform(k, lambda x, n=n: F.struct(x.alias("key"), F.lit(n).alias("deletions"))) for n, k in enumerate(keys)]
+    return words.withColumn("k", F.explode(F.concat(*entries))).select(*words.columns, "k.*")
 
 
 def _swaps(word: Column) -> Column:
@@ -86,12 +91,28 @@ def _edits(word: Column, other: Column) -> Column:
     return F.when(one, 1).when(two, 2)
 
 
-def _candidates(
-    unknown: DataFrame, dictionary: DataFrame, distance: int, few: bool
-) -> DataFrame:
+@dataclass(frozen=True)
+class Speller:
+    """A dictionary ``terms(term, cf)`` with the ``keys(term, cf, key, deletions)`` by which it is searched."""
+
+    terms: DataFrame
+    keys: DataFrame
+
+
+def build_speller(dictionary: DataFrame, buckets: int | None = None) -> Speller:
+    """Write the keys of a dictionary once, for all later corrections."""
+    spark = dictionary.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = new_folder(spark, "speller")
+    terms = save_buckets(dictionary.select("term", "cf"), path, "terms", buckets, "term", ["term"])
+    keys = save_buckets(_deletions(terms, "term", 2), path, "keys", buckets, "key", ["deletions", "key"])
+    return Speller(terms, keys)
+
+
+def _candidates(unknown: DataFrame, speller: Speller, distance: int, few: bool) -> DataFrame:
     """``word, term, cf, edits`` for every pair within ``distance`` edits."""
-    left = _deletions(unknown.select("word"), "word", distance)
-    right = _deletions(dictionary.select("term", "cf"), "term", distance)
+    left = _deletions(unknown.select("word"), "word", distance).select("word", "key")
+    right = speller.keys.where(F.col("deletions") <= distance).select("term", "cf", "key")
     pairs = right.join(F.broadcast(left), "key") if few else lookup_join(left, right, ["key"])
     gap = F.abs(F.char_length("word") - F.char_length("term"))
     # A swap is two plain edits, so the plain distance bounds the other cheaply.
@@ -101,20 +122,18 @@ def _candidates(
     return pairs.withColumn("edits", edits).where(F.col("edits") <= distance)
 
 
-def corrections(words: DataFrame, dictionary: DataFrame) -> DataFrame:
+def corrections(words: DataFrame, dictionary: DataFrame | Speller) -> DataFrame:
     """``word, correction`` for the words that the dictionary lacks and can correct.
 
-    ``dictionary(term, cf)``. One edit beats two; then the more frequent term wins, then the
-    smaller. The wider neighbourhood is built only for words that have nothing at one edit.
-    Numbers and single punctuation marks are never corrected.
+    ``dictionary(term, cf)`` is made a speller here, unless it is one. One edit beats two; then the
+    more frequent term wins, then the smaller. The wider neighbourhood is searched only for words
+    that have nothing at one edit. Numbers and single punctuation marks are never corrected.
     """
-    # Each dictionary word gives many keys, so even a small dictionary is worth all tasks.
-    tasks = int(dictionary.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dictionary = dictionary.repartition(tasks, "term")
+    speller = dictionary if isinstance(dictionary, Speller) else build_speller(dictionary)
     checked = words.select("word").distinct().where(
         ~F.col("word").rlike(NUMBER) & ~F.col("word").rlike(r"^\p{Punct}$")
     )
-    known = dictionary.select(F.col("term").alias("word"))
+    known = speller.terms.select(F.col("term").alias("word"))
     if fits_broadcast(checked):
         present = known.join(F.broadcast(checked), "word").distinct()
     else:
@@ -125,14 +144,14 @@ def corrections(words: DataFrame, dictionary: DataFrame) -> DataFrame:
     few = fits_broadcast(
         unknown, MAX_BROADCAST_ROWS // MAX_KEYS, MAX_BROADCAST_BYTES // MAX_KEYS
     )
-    close = cut_lineage(_candidates(unknown, dictionary, 1, few), "one-edit")
+    close = cut_lineage(_candidates(unknown, speller, 1, few), "one-edit")
     rest = unknown.join(close.select("word").distinct(), "word", "left_anti")
-    found = close.unionByName(_candidates(rest, dictionary, 2, few))
+    found = close.unionByName(_candidates(rest, speller, 2, few))
     best = F.min_by("term", F.struct("edits", (-F.col("cf")).alias("less"), "term"))
     return cut_lineage(found.groupBy("word").agg(best.alias("correction")), "corrections")
 
 
-def correct_spelling(queries: DataFrame, dictionary: DataFrame, key: str = "query_id") -> DataFrame:
+def correct_spelling(queries: DataFrame, dictionary: DataFrame | Speller, key: str = "query_id") -> DataFrame:
     """Add ``corrected``: the white-space separated words, each corrected where possible."""
     words = queries.select(
         key, F.posexplode_outer(F.filter(F.split("text", SPACE), lambda w: w != "")).alias("pos", "raw")
@@ -309,7 +328,7 @@ def refine(
     queries: DataFrame,
     index: SearchIndex,
     documents: DataFrame,
-    dictionary: DataFrame,
+    dictionary: DataFrame | Speller,
     synonyms: DataFrame,
     history: DataFrame | None = None,
     mode: str = "default",

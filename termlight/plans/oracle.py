@@ -456,12 +456,12 @@ def oracle_sql() -> dict[str, str]:
             INDEX,
         ),
         "tfidf_weights": _sql(
-            """SELECT doc_id, term, round(tf * w / norm, 6) AS weight
+            """SELECT doc_id, term, round(tf * w / norm * 1000000)::BIGINT AS weight
             FROM posts JOIN widf USING (term) JOIN norms USING (doc_id)""",
             INDEX,
             TFIDF,
         ),
-        "bm25_idf": _sql("SELECT term, round(idf, 6) AS idf FROM idf", INDEX),
+        "bm25_idf": _sql("SELECT term, round(idf * 1000000)::BIGINT AS idf FROM idf", INDEX),
         # retrieval
         **{
             name: _sql(_plain("bm25", lexical), BASE, okapi_run("bm25", 10))

@@ -29,6 +29,7 @@ LIST = ["query_id", "doc_id", "score", "rank"]
 KEYS = ["query_id"]
 
 _indexes: dict[tuple[str, ...], index.SearchIndex] = {}
+_spellers: dict[tuple[str, ...], refine.Speller] = {}
 
 
 TABLES = {
@@ -365,14 +366,16 @@ def doc_length_lookup(spark, folder):
 
 
 def tfidf_weights(spark, folder):
+    """Weights in millionths: whole numbers compare exactly, however many there are."""
     weights = index.tfidf_weights(session_index(spark, folder))
-    return weights.select("doc_id", "term", F.round("weight", 6).alias("weight"))
+    return weights.select("doc_id", "term", F.round(F.col("weight") * 1_000_000).cast("long").alias("weight"))
 
 
 def bm25_idf(spark, folder):
+    """In millionths, as the weights."""
     built = session_index(spark, folder)
     weighed = index.weigh_vocabulary(built.vocab, built.stats, index.okapi_idf())
-    return weighed.select("term", F.round("idf", 6).alias("idf"))
+    return weighed.select("term", F.round(F.col("idf") * 1_000_000).cast("long").alias("idf"))
 
 
 # --- retrieval -------------------------------------------------------------------------------
@@ -608,8 +611,16 @@ def spelling_dictionary(spark, folder) -> DataFrame:
     return docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("cf"))
 
 
+def session_speller(spark, folder) -> refine.Speller:
+    """The dictionary of the folder's documents with its keys, built once per session as the index is."""
+    key = (spark.sparkContext.applicationId, "speller", *sorted(documents(spark, folder).inputFiles()))
+    if key not in _spellers:
+        _spellers[key] = refine.build_speller(spelling_dictionary(spark, folder))
+    return _spellers[key]
+
+
 def spell_correct(spark, folder):
-    dictionary = cut_lineage(spelling_dictionary(spark, folder), "dictionary")
+    dictionary = session_speller(spark, folder)
     return refine.correct_spelling(queries_table(spark, folder), dictionary).select(
         "query_id", "corrected"
     )
@@ -654,7 +665,7 @@ def query_suggest(spark, folder):
 
 
 def query_refine(spark, folder):
-    dictionary = cut_lineage(spelling_dictionary(spark, folder), "dictionary")
+    dictionary = session_speller(spark, folder)
     asked = queries_table(spark, folder).withColumns(
         {"use_synonyms": F.lit(True), "use_prf": F.lit(True)}
     )
@@ -676,7 +687,7 @@ def search_pipeline(spark, folder):
         "model": F.when(number % 3 == 1, "tfidf").otherwise("bm25"),
         "top_k": F.when(number % 2 == 0, 5).otherwise(10),
     })
-    dictionary = cut_lineage(spelling_dictionary(spark, folder), "dictionary")
+    dictionary = session_speller(spark, folder)
     found = search.answer(corpus(spark, folder), asked, dictionary, thesaurus(spark, folder))
     rows = found.withColumn("r", F.explode_outer("results"))
     return rows.select("query_id", "query", "corrected_query", "expanded_query", "model_used", "r.*", "total_results")

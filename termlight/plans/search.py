@@ -15,8 +15,9 @@ from termlight.operators.index import SearchIndex, with_dataset
 from termlight.operators.joins import wanted_rows
 from termlight.operators.lexical import B, K1, bm25, tfidf
 from termlight.operators.ranking import merge_runs
-from termlight.operators.refine import refine
+from termlight.operators.refine import Speller, refine
 from termlight.session import cut_lineage
+from termlight.sources.collections import document_lookup
 
 MODELS = ["tfidf", "bm25", "embedding", "hybrid_serial", "hybrid_parallel"]
 FIRST_STAGE = 100
@@ -177,8 +178,9 @@ def route(corpus: Corpus, requests: DataFrame) -> DataFrame:
     ``requests(query_id, tokens, model[, top_k, k1, b, fusion_method, first_stage, rescore,
     embedding])``; missing and null values mean 10, ``K1``, ``B``, ``rrf``, ``FIRST_STAGE`` and true.
     ``first_stage``, at least ``top_k``, and ``rescore`` are those of ``hybrid_serial``. An unknown
-    model or method fails the job. Each base run is computed once, at the greatest depth that its
-    requests need, and cut for each request before fusing.
+    model or method fails the job. Requests are classed by the depth they need (to 100, 1000, and so
+    on), so that a deep one does not make the others deep; each base run is computed once a class that
+    needs it, at the class's greatest depth, and cut for each request before fusing.
     """
     defaults = {"top_k": 10, "k1": K1, "b": B, "fusion_method": "rrf", "first_stage": FIRST_STAGE, "rescore": True}
     requests = _defaults(requests, defaults)
@@ -192,24 +194,30 @@ def route(corpus: Corpus, requests: DataFrame) -> DataFrame:
     requests = requests.withColumn("fusion_method", one_of("fusion_method", ["rrf", "linear"]))
     requests = cut_lineage(requests, "requests")
     limits = requests.select("query_id", F.col("model").alias("asked"), "top_k", "fusion_method", "first_stage", "rescore")
-    most = [F.max("top_k").alias("k"), F.max("first_stage").alias("stage"), F.collect_set("rescore").alias("rescore")]
-    asked = {r.model: r for r in requests.groupBy("model").agg(*most).collect()}
-    deepest = {model: r.k for model, r in asked.items()}
-    serial = asked["hybrid_serial"].rescore if "hybrid_serial" in asked else []
-    needs = {"hybrid_serial": lambda k: asked["hybrid_serial"].stage, "hybrid_parallel": lambda k: 2 * k}
-    bases = {}
+    need = F.when(F.col("model") == "hybrid_serial", F.col("first_stage")).when(
+        F.col("model") == "hybrid_parallel", 2 * F.col("top_k")
+    ).otherwise(F.col("top_k"))
+    depth_class = F.greatest(F.length((need - 1).cast("string")), F.lit(2)).alias("depth_class")
+    most = [F.max("top_k").alias("k"), F.max(need).alias("depth"), F.collect_set("rescore").alias("rescore")]
+    asked = requests.groupBy("model", depth_class).agg(*most).collect()
+    deepest: dict[str, int] = {}
+    for r in asked:
+        deepest[r.model] = max(r.k, deepest.get(r.model, 0))
+    serial = sorted({x for r in asked if r.model == "hybrid_serial" for x in r.rescore})
+    bases: dict[str, DataFrame] = {}
     for base, readers in READERS.items():
         if base == "embedding" and False not in serial:
             readers = [m for m in readers if m != "hybrid_serial"]
-        depths = [needs.get(m, lambda k: k)(deepest[m]) for m in readers if m in deepest]
-        if depths:
-            mine = requests.where(F.col("model").isin(readers))
+        for number in sorted({r.depth_class for r in asked if r.model in readers}):
+            depth = max(r.depth for r in asked if r.model in readers and r.depth_class == number)
+            mine = requests.where(F.col("model").isin(readers) & (depth_class == number))
             if base == "embedding":  # rescoring reads the vectors of the candidates instead
                 mine = mine.where((F.col("model") != "hybrid_serial") | ~F.col("rescore"))
             mine = mine.drop("model")
             find = dense_run if base == "embedding" else lexical_run
             options = {} if base == "embedding" else {"model": base}
-            bases[base] = find(corpus, mine, max(depths), **options)
+            run = find(corpus, mine, depth, **options)
+            bases[base] = bases[base].unionByName(run) if base in bases else run
     if not bases:
         return limits.where("false").select(
             "query_id", F.col("asked").alias("model"), *[F.lit(None).cast("double").alias(c) for c in ("doc_id", "score", "rank")]
@@ -250,7 +258,7 @@ def _assemble(corpus: Corpus, requests: DataFrame, found: DataFrame, deepest: di
 
 
 def answer(
-    corpus: Corpus, requests: DataFrame, dictionary: DataFrame, synonyms: DataFrame, history: DataFrame | None = None
+    corpus: Corpus, requests: DataFrame, dictionary: DataFrame | Speller, synonyms: DataFrame, history: DataFrame | None = None
 ) -> DataFrame:
     """The whole search: refine each request by its flags, route it, and attach the results."""
     refined = refine(requests, corpus.index, corpus.documents, dictionary, synonyms, history)
@@ -259,21 +267,27 @@ def answer(
     return responses(refined, route(corpus, asked), corpus.documents)
 
 
-def with_text(run: DataFrame, documents: DataFrame) -> DataFrame:
+def with_text(run: DataFrame, documents: DataFrame, ordinal: str | None = None) -> DataFrame:
     """Add the document text as ``snippet``, null where there is none or it is empty.
 
-    Only ids travel until the lists are cut; the text joins last.
+    Of equal ids the last text by ``ordinal`` that is not blank is attached, the greatest text if
+    there is no order, so that a result is never multiplied. Only ids travel until the lists are cut;
+    the text joins last.
     """
     keys = ["dataset", "doc_id"] if "dataset" in run.columns else ["doc_id"]
     documents = with_dataset(documents) if "dataset" in keys else documents
-    texts = documents.select(*keys, F.when(F.col("text") != "", F.col("text")).alias("snippet"))
+    order = [ordinal] if ordinal else []
     run = cut_lineage(run, "results")
-    texts = wanted_rows(texts, run.select(keys).distinct(), keys)
-    # Of equal ids one text is attached, so that a result is never multiplied.
-    return run.join(texts.groupBy(keys).agg(F.max("snippet").alias("snippet")), keys, "left")
+    texts = wanted_rows(documents.select(*keys, "text", *order), run.select(keys).distinct(), keys)
+    if ordinal:
+        texts = document_lookup(texts, ordinal, keys).select(*keys, F.col("text").alias("snippet"))
+    else:
+        filled = F.when(F.col("text") != "", F.col("text"))
+        texts = texts.groupBy(keys).agg(F.max(filled).alias("snippet"))
+    return run.join(texts, keys, "left")
 
 
-def responses(requests: DataFrame, run: DataFrame, documents: DataFrame) -> DataFrame:
+def responses(requests: DataFrame, run: DataFrame, documents: DataFrame, ordinal: str | None = None) -> DataFrame:
     """One row per request: the query, its corrected and expanded form, and the results.
 
     ``results`` is an array in rank order; a request without results has an empty one.
@@ -284,7 +298,7 @@ def responses(requests: DataFrame, run: DataFrame, documents: DataFrame) -> Data
     run = run.select(COLUMNS)
     if "dataset" in requests.columns and "dataset" in documents.columns:
         run = run.join(requests.select("query_id", "dataset"), "query_id")
-    found = with_text(run, documents).groupBy("query_id").agg(
+    found = with_text(run, documents, ordinal).groupBy("query_id").agg(
         F.array_sort(F.collect_list(entry)).alias("results"), F.count("*").alias("total_results")
     )
     optional = {"corrected": "corrected_query", "prf_query": "expanded_query", "model": "model_used"}

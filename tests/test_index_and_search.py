@@ -321,6 +321,33 @@ def test_skip_list_of_one_collection(spark):
     assert rows(index.skip_counts(tokens, listed), "reason", "docs") == [("kept", 1), ("listed_empty", 1)]
 
 
+def test_the_last_text_of_an_id_is_attached(spark):
+    docs = spark.createDataFrame(
+        [(1, "z first", 0), (1, "a last", 2), (1, "m", 1), (2, "kept", 0), (2, " ", 1), (3, "", 0)], "doc_id long, text string, at int"
+    )
+    run = spark.createDataFrame([("q", d, 1.0, d) for d in (1, 2, 3, 4)], "query_id string, doc_id long, score double, rank long")
+    found = rows(search.with_text(run, docs, "at").fillna("-"), "doc_id", "snippet")
+    assert found == [(1, "a last"), (2, "kept"), (3, "-"), (4, "-")]
+    assert dict(rows(search.with_text(run, docs).fillna("-"), "doc_id", "snippet"))[1] == "z first"
+
+
+def test_a_deep_request_leaves_the_others_shallow(monkeypatch, spark, built, docs):
+    """Base runs are made by depth class; every request still gets its own depth."""
+    depths, run = [], search.lexical_run
+
+    def watched(corpus, requests, k, **options):
+        depths.append((requests.count(), k))
+        return run(corpus, requests, k, **options)
+
+    monkeypatch.setattr(search, "lexical_run", watched)
+    asked = queries(spark, *["alpha delta epsilon"] * 4).withColumn("model", F.lit("bm25"))
+    asked = asked.withColumn("top_k", F.element_at(F.array(F.lit(1), F.lit(2), F.lit(5000), F.lit(150)), F.col("query_id") + 1))
+    corpus = search.Corpus(built, None, docs)
+    found = search.route(corpus, asked).groupBy("query_id").count()
+    assert sorted(depths) == [(1, 150), (1, 5000), (2, 2)]
+    assert rows(found, "query_id", "count") == [(0, 1), (1, 2), (2, 3), (3, 3)]
+
+
 def test_results_are_not_multiplied(spark):
     run = run_table(spark, [("a", 2)])
     twice = spark.createDataFrame([("a", "one"), ("a", "two")], "doc_id string, text string")
