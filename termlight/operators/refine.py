@@ -60,7 +60,10 @@ def _deletions(words: DataFrame, column: str, distance: int) -> DataFrame:
             ),
         )))))
     # Strings after one and after two deletions differ in length, so no key comes twice.
-    entries = [F.transform(k, lambda x, n=n: F.struct(x.alias("key"), F.lit(n).alias("deletions"))) for n, k in enumerate(keys)]
+    def numbered(n: int) -> Column:
+        return F.transform(keys[n], lambda x: F.struct(x.alias("key"), F.lit(n).alias("deletions")))
+
+    entries = [numbered(n) for n in range(len(keys))]
     return words.withColumn("k", F.explode(F.concat(*entries))).select(*words.columns, "k.*")
 
 

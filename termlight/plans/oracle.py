@@ -158,12 +158,23 @@ def serial(name: str, k: int = 10) -> str:
     )
 
 
+def rescored(name: str, k: int = 10, depth: int = 100) -> str:
+    """The lexical candidates of ``bm25`` by their vectors."""
+    return ranked(
+        name,
+        f"""SELECT query_id, doc_id, {_dot('qv.embedding', 'e.embedding')} AS score
+        FROM (SELECT query_id, doc_id FROM bm25 WHERE rank <= {depth}) JOIN qv USING (query_id)
+        JOIN embeddings e ON vec_id = doc_id""",
+        k,
+    )
+
+
 RUNS = [okapi_run("bm25", 100), TFIDF, tfidf_run("tfidf", 20), QVECTORS, dense_run("dense", 100)]
 ALL_RUNS = ",\n".join(
     [
         BASE,
         *RUNS,
-        serial("hs"),
+        rescored("hs"),
         rrf("hp", ["bm25", "tfidf", "dense"]),
         """runs AS (
   SELECT 'bm25' AS model, * FROM bm25 WHERE rank <= 10
@@ -525,12 +536,7 @@ def oracle_sql() -> dict[str, str]:
             BASE,
             okapi_run("bm25", 100),
             QVECTORS,
-            ranked(
-                "hs",
-                f"""SELECT query_id, doc_id, {_dot('qv.embedding', 'e.embedding')} AS score
-                FROM bm25 JOIN qv USING (query_id) JOIN embeddings e ON vec_id = doc_id""",
-                10,
-            ),
+            rescored("hs"),
         ),
         "hybrid_parallel_rrf": _sql(
             _plain("hp", lexical), BASE, *RUNS, rrf("hp", ["bm25", "tfidf", "dense"])
@@ -550,16 +556,7 @@ def oracle_sql() -> dict[str, str]:
                 for k in (10, 150, 250)
             ),
             BASE, okapi_run("bm25", 300), QVECTORS,
-            *[
-                ranked(
-                    f"hs{k}",
-                    f"""SELECT query_id, doc_id, {_dot('qv.embedding', 'e.embedding')} AS score
-                    FROM (SELECT query_id, doc_id FROM bm25 WHERE rank <= {depth}) JOIN qv USING (query_id)
-                    JOIN embeddings e ON vec_id = doc_id""",
-                    k,
-                )
-                for k, depth in ((10, 100), (150, 150), (250, 300))
-            ],
+            *[rescored(f"hs{k}", k, depth) for k, depth in ((10, 100), (150, 150), (250, 300))],
         ),
         "router_mixed_requests": _sql(
             " UNION ALL ".join(
@@ -573,7 +570,7 @@ def oracle_sql() -> dict[str, str]:
                 ]
             ),
             BASE, okapi_run("bm25", 100), TFIDF, tfidf_run("tfidf", 50), QVECTORS, dense_run("dense", 100),
-            serial("hs", 25),
+            rescored("hs", 25),
             *[rrf(f"hp{k}", ["bm25", "tfidf", "dense"], k, 2 * k) for k in (3, 10, 25)],
             *[linear(f"hl{k}", ["bm25", "tfidf", "dense"], k, 2 * k) for k in (3, 10, 25)],
         ),
@@ -749,14 +746,6 @@ def oracle_sql() -> dict[str, str]:
             "SELECT doc_id, array_to_string(tokens, ' ') AS tokens FROM d", DOCS
         ),
         "stream_index": _sql("SELECT doc_id, term, tf FROM posts", INDEX),
-        "stream_index_datasets": _sql(
-            """SELECT dataset, doc_id, term, count(*) AS tf FROM (SELECT dataset, doc_id, unnest(tokens) AS term
-            FROM (SELECT dataset, doc_id, arg_max(tokens, place) AS tokens FROM e WHERE len(tokens) > 0
-              GROUP BY dataset, doc_id)) GROUP BY ALL""",
-            tokens("e", "(SELECT source AS dataset, doc_id % 100 AS doc_id, documents.doc_id AS place,"
-                        " CASE WHEN documents.doc_id % 7 = 0 THEN '' ELSE text END AS text FROM documents)",
-                   "dataset, doc_id, place", "text"),
-        ),
         "stream_index_every_id": _sql(
             """SELECT dataset, doc_id, term, count(*) AS tf FROM (SELECT dataset, doc_id, unnest(tokens) AS term
             FROM (SELECT dataset, doc_id, arg_max(tokens, place) AS tokens FROM e WHERE len(tokens) > 0

@@ -509,7 +509,6 @@ def model_router(spark, folder):
     )
     requests = asked.withColumn("wish", F.explode(options)).select("*", "wish.*").drop("wish")
     requests = requests.withColumn("query_id", F.concat_ws("/", "query_id", "name")).drop("name")
-    requests = requests.withColumn("rescore", F.lit(False))
     return search.route(corpus(spark, folder), requests).select(
         "query_id", "model", "doc_id", "score", "rank"
     )
@@ -527,7 +526,6 @@ def router_mixed_requests(spark, folder):
     ])
     requests = hybrid_queries(spark, folder).withColumn("wish", F.explode(options)).select("*", "wish.*").drop("wish")
     requests = requests.withColumn("query_id", F.concat_ws("/", "query_id", "model", "name")).drop("name")
-    requests = requests.withColumn("rescore", F.lit(False))
     return search.route(corpus(spark, folder), requests).select("query_id", "model", "doc_id", "score", "rank")
 
 
@@ -731,7 +729,7 @@ def _rounded(metrics: DataFrame, name: str) -> DataFrame:
 
 def eval_models(spark, folder):
     asked = hybrid_queries(spark, folder)
-    runs = cut_lineage(search.all_runs(corpus(spark, folder), asked, rescore=False), "all-runs")
+    runs = cut_lineage(search.all_runs(corpus(spark, folder), asked), "all-runs")
     qrels = pooled_judgments(spark, folder, runs)
     return _rounded(evaluate.evaluate_models(runs, asked, qrels, search.MODELS), "Model")
 
@@ -787,20 +785,6 @@ def stream_index(spark, folder):
     return ingest.streamed_postings(spark, out).select("doc_id", "term", "tf")
 
 
-def stream_index_datasets(spark, folder):
-    """Several files in one batch, with equal ids in several collections, copies and empty copies."""
-    source = new_folder(spark, "in")
-    docs = table(spark, folder, "documents").select(
-        F.col("source").alias("dataset"), (F.col("doc_id") % 100).alias("doc_id"), F.col("doc_id").alias("at"),
-        F.when(F.col("doc_id") % 7 == 0, F.lit("")).otherwise(F.col("text")).alias("text"),
-    )
-    docs.repartition(4, "at").write.parquet(source)
-    out = new_folder(spark, "stream")
-    stream = ingest.read_documents(spark, source, docs.schema)
-    ingest.stream_postings(stream, out, new_folder(spark, "offsets"), "at").awaitTermination()
-    return ingest.streamed_postings(spark, out).select("dataset", "doc_id", "term", "tf")
-
-
 def stream_index_every_id(spark, folder):
     """Every document under its own id in two collections, with an earlier copy and a later empty one.
 
@@ -851,7 +835,7 @@ QUERIES: dict[str, Query] = {
             results_with_text, search_response, query_analyze, spell_correct, synonym_expand,
             prf_expand, query_suggest, query_refine, history_append, eval_models,
             eval_single_list, stream_preprocess, stream_resume, stream_index,
-            stream_index_datasets, stream_index_every_id, stream_search,
+            stream_index_every_id, stream_search,
         )
     },
     "embedding_stats": lambda spark, folder: dense.vector_stats(table(spark, folder, "embeddings")),
