@@ -6,10 +6,12 @@ language is several centroids, found by clustering the vectors of its labelled t
 The prediction is the language of the centroid with the largest cosine; a text farther from every
 centroid than its language allows is rejected as ``und``.
 
-``fit`` reads a bounded sample of labelled rows, ``SAMPLE`` in all, of at most ``MAX_LANGUAGES``
-labels, chosen by a hash of the id. N-grams are hashed to ``SIZE`` places, so a sampled text is at
-most that many counts on the driver, and a model is at most ``MAX_LANGUAGES * CLUSTERS`` centroids.
-``predict`` is a scan without a shuffle. Rows with null text, null label or no letter are not
+``fit`` reads a bounded sample of labelled rows, ``SAMPLE`` in all and an equal share of each label,
+chosen by a hash of the id; a label needs one row to be learned. N-grams are hashed to ``SIZE``
+places, so a sampled text is at most that many counts on the driver, and a model has no more
+centroids than the sample has rows. Centroids of very few of a language's texts are dropped, since
+these are noise under its label, and the bound of the rejection is a share of a low quantile of the
+cosines of the language's sample, which does not fall as the sample grows. ``predict`` is a scan without a shuffle. Rows with null text, null label or no letter are not
 learned from; null, empty and letterless texts are ``und`` with score 0. Repeated rows are judged
 alike. From an empty sample every text is ``und``; an empty table gives no rows.
 """
@@ -31,11 +33,12 @@ from termlight.llm.tables import plain, text_batches
 
 SIZE = 8192
 SAMPLE = 3000
-MAX_LANGUAGES = 100
 CLUSTERS = 4
 ROUNDS = 12
-#: A text is rejected when its cosine is below this share of the smallest of its language's sample.
-SLACK = 0.25
+#: A centroid with a smaller share of its language's sample is dropped, unless all have one.
+FEW = 0.02
+#: A text is rejected when its cosine is below this share of that quantile of its language's sample.
+QUANTILE, SLACK = 0.02, 0.4
 UNKNOWN = "und"
 
 _LETTER = regex.compile(r"\p{L}")
@@ -71,7 +74,10 @@ def _unit(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 def _clusters(vectors: np.ndarray) -> np.ndarray:
-    """Centroids on the sphere; the first is the mean, each further one starts at the farthest text."""
+    """Centroids on the sphere; the first is the mean, each further one starts at the farthest text.
+
+    Those that stand for few texts go, and their texts with them.
+    """
     def scaled(v: np.ndarray) -> np.ndarray:
         return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
 
@@ -85,7 +91,9 @@ def _clusters(vectors: np.ndarray) -> np.ndarray:
         np.add.at(sums, own, vectors)
         filled = np.bincount(own, minlength=len(centers)) > 0
         centers = scaled(np.where(filled[:, None], sums, centers))
-    return centers
+    own = np.bincount((vectors @ centers.T).argmax(axis=1), minlength=len(centers))
+    usual = own >= FEW * len(vectors)
+    return centers[usual] if usual.any() else centers
 
 
 def fit(
@@ -94,25 +102,23 @@ def fit(
 ) -> Model:
     """Learn from a sample of the labelled rows: the smallest by a hash, as many for each label.
 
-    Only labels and hashes are ranked; the texts are then picked in the scan by the largest hash
-    that each label needs.
+    The numbers of rows give a bound of the hash below which a label very likely has its share, about
+    twice as many; only rows below it are ranked, however frequent a label is.
     """
     text_batches(labelled)
     rows = labelled.select(
         F.col(f"`{lang_column}`").alias("lang"), F.col(f"`{text_column}`").alias("text"),
         F.xxhash64(F.col(f"`{id_column}`").cast("string"), F.col(f"`{text_column}`")).alias("order"),
     ).where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    languages = sorted(r.lang for r in counts.collect())
-    each = max(1, sample // max(1, len(languages)))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
-    ranked = rows.where(F.col("lang").isin(languages)).select("lang", "order").withColumn("place", place)
-    last = ranked.where(F.col("place") <= each).groupBy("lang").agg(F.max("order").alias("last")).collect()
-    wanted = F.lit(False)
-    for r in last:
-        wanted = wanted | ((F.col("lang") == r.lang) & (F.col("order") <= r.last))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(sample).collect()
+    each = max(1, sample // max(1, len(counts)))
+    shares = [(r.lang, min(1.0, (2.0 * each + 20) / r.n)) for r in counts]
+    bounds = labelled.sparkSession.createDataFrame(shares, "lang string, share double")
+    near = rows.join(F.broadcast(bounds), "lang").where(F.col("order") / 2.0**64 + 0.5 <= F.col("share"))
     # Rows that agree in id and text are one.
-    few = rows.where(wanted).groupBy("lang", "order").agg(F.first("text").alias("text"))
+    near = near.groupBy("lang", "order").agg(F.first("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    few = near.withColumn("place", place).where(F.col("place") <= each)
     schema = "lang string, order long, at array<int>, n array<int>"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +150,7 @@ def _fit(rows: list[dict]) -> Model:
         centers = _clusters(own)
         centroids.append(centers)
         of += [i] * len(centers)
-        least.append(SLACK * float((own @ centers.T).max(axis=1).min()))
+        least.append(SLACK * float(np.quantile((own @ centers.T).max(axis=1), QUANTILE)))
     matrix = np.vstack(centroids).astype(np.float32) if centroids else np.zeros((0, SIZE), np.float32)
     return Model(languages, weights, matrix, np.array(of, int), np.array(least))
 
