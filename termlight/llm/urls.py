@@ -7,8 +7,10 @@ each host from counts of path shapes (paths with digit runs masked), level by le
 - a segment with many children of few pages each is variable: its children become one wildcard;
 - of the others, statistically similar branches are merged: children with the same share, to a
   quarter, of pages that end there, go on to a number, a numbered file or a word, and the same
-  smoothed share of blocked labels;
-- deeper segments than ``DEPTH`` become one wildcard for the rest.
+  smoothed share of blocked labels.
+
+A shape that is alone at its branch keeps the rest of its path; the levels go on as deep as several
+shapes share a branch.
 
 A template is rejected if its smoothed purity, the share of blocked among its labelled pages drawn
 towards ``PRIOR`` by ``WEIGHT`` pages, reaches ``REJECT``.
@@ -23,6 +25,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import string
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +33,6 @@ from pyspark.sql import functions as F
 from termlight.llm.tables import sized_join
 from termlight.session import cut_lineage
 
-DEPTH = 4
 #: A segment is variable with more children than this, of fewer pages each than that in the mean.
 CHILDREN, PAGES = 16, 4
 PRIOR, WEIGHT, REJECT = 0.25, 4.0, 0.8
@@ -101,11 +103,22 @@ def templates(pages: DataFrame) -> DataFrame:
     blocked = F.sum(F.when(F.col("label") == "block", F.lit(1)).otherwise(F.lit(0)))
     shapes = pages.groupBy("host", "shape").agg(F.count("*").alias("n"), blocked.alias("blocked"), F.count("label").alias("labelled"))
     parts = F.split(F.regexp_replace("shape", "^/", ""), "/")
-    shapes = shapes.withColumns({"segments": parts, "template": F.lit("")})
-    for depth in range(DEPTH):
-        shapes = cut_lineage(_level(shapes, depth), "templates")
-    rest = F.when(F.size("segments") > DEPTH, F.lit("/**")).otherwise(F.lit(""))
-    shapes = shapes.withColumn("template", F.concat("template", rest))
+    shapes = cut_lineage(shapes.withColumns({"segments": parts, "template": F.lit("")}), "shapes")
+    found, depth = [], 0
+    while True:
+        longer = F.size("segments") > depth
+        found.append(shapes.where(~longer))
+        going = shapes.where(longer)
+        shared = going.groupBy("host", "template").agg(F.count("*").alias("here"))
+        going = going.join(shared, ["host", "template"])
+        # A shape without others at its branch has nothing to be merged with further down.
+        alone = F.concat_ws("/", "template", F.array_join(F.slice("segments", F.lit(depth + 1), F.size("segments")), "/"))
+        found.append(going.where("here = 1").withColumn("template", alone).drop("here"))
+        shapes = cut_lineage(_level(going.where("here > 1").drop("here"), depth), "templates")
+        depth += 1
+        if shapes.isEmpty():
+            break
+    shapes = cut_lineage(reduce(DataFrame.unionByName, found), "templates")
     totals = shapes.groupBy("host", "template").agg(F.sum("blocked").alias("all_blocked"), F.sum("labelled").alias("all_labelled"))
     purity = _smoothed("all_blocked", "all_labelled").alias("purity")
     return shapes.join(totals, ["host", "template"]).select("host", "shape", "template", purity)
