@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -32,7 +33,7 @@ from termlight.llm.tables import plain, text_batches
 
 CAPACITY = 1024
 OPEN_WINDOWS = 16
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 #: The white space after which a cut before a space could change the ids.
 _UNEVEN = regex.compile(r"\s\s|^\s|\s$|<\|endoftext\|>")
 
@@ -54,7 +55,7 @@ def encoder(ranks: str) -> Callable[[str], bytes]:
     coder = _tiktoken(ranks)
 
     def whole(text: str) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in coder.encode(text, allowed_special="all"))
+        return array("I", coder.encode(text, allowed_special="all")).tobytes()
 
     known: dict[str, bytes] = {}
 
