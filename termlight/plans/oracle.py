@@ -312,6 +312,27 @@ def oracle_sql() -> dict[str, str]:
         METRICS,
     )
     lexical = "query_id, doc_id, score, rank"
+    refined = [
+        INDEX,
+        SPELLING,
+        """flags AS (SELECT item_id AS query_id, text, item_id % 4 <> 3 AS sp, item_id % 2 = 0 AS sy,
+          item_id % 3 = 0 AS pf FROM benchmark)""",
+        tokens("c", "(SELECT query_id, f.text AS text, sy, pf, CASE WHEN sp THEN x.corrected ELSE f.text END"
+                    " AS corrected FROM flags f JOIN corrected x USING (query_id))",
+               "query_id, text, corrected, sy, pf", "corrected"),
+        """cterms AS (SELECT query_id, term, count(*) AS qtf
+          FROM (SELECT query_id, unnest(tokens) AS term FROM c) GROUP BY ALL)""",
+        okapi_run("fed", 5, "cterms"),
+        FEEDBACK,
+        prf("fed", "(SELECT * FROM c WHERE pf)", "corrected"),
+        tokens("p", "prf", "query_id", "prf_query"),
+        """q AS (SELECT query_id, sy, coalesce(p.tokens, c.tokens) AS tokens FROM c LEFT JOIN p USING (query_id))""",
+        synonyms(),
+        TOKS,
+        """fterms AS (SELECT query_id, term, count(*) AS qtf FROM (SELECT query_id, term FROM toks
+          UNION ALL SELECT query_id, synonym FROM toks JOIN syns USING (term) JOIN q USING (query_id)
+          WHERE ord <= 2 AND sy) GROUP BY ALL)""",
+    ]
     return {
         # sources
         "scan_resolve_ids": """SELECT doc_id AS ordinal, CASE WHEN doc_id % 5 < 4
@@ -594,6 +615,31 @@ def oracle_sql() -> dict[str, str]:
                 10,
             ),
         ),
+        "search_every_model": _sql(
+            """SELECT c.query_id AS query_id, c.corrected AS corrected_query,
+              CASE WHEN pf THEN coalesce(prf_query, c.corrected) END AS expanded_query,
+              coalesce(offers, '') AS suggestions, name AS model_used,
+              r.rank, r.doc_id, round(r.score, 4) AS score, documents.text AS snippet
+            FROM c JOIN wish USING (query_id) LEFT JOIN prf USING (query_id) LEFT JOIN sug USING (query_id)
+            LEFT JOIN chosen r ON r.query_id = c.query_id LEFT JOIN documents ON documents.doc_id = r.doc_id""",
+            *refined,
+            HISTORY,
+            r"""sug AS (SELECT query_id, string_agg(suggestion, '|' ORDER BY place) AS offers FROM (
+              SELECT f.query_id, b.query AS suggestion, row_number() OVER (PARTITION BY f.query_id ORDER BY b.pos DESC) AS place
+              FROM flags f JOIN history b ON b.user_id = f.query_id AND b.query <> f.text AND list_has_any(
+                regexp_split_to_array(lower(f.text), '\s+'), regexp_split_to_array(lower(b.query), '\s+'))) WHERE place <= 5 GROUP BY 1)""",
+            """wish AS (SELECT item_id AS query_id, CASE WHEN item_id % 2 = 0 THEN 5 ELSE 10 END AS k,
+              ['bm25', 'tfidf', 'embedding', 'hybrid_serial', 'hybrid_parallel'][item_id % 5 + 1] AS name FROM benchmark)""",
+            okapi_run("bm25", 100, "fterms"), TFIDF, tfidf_run("tfidf", 20, "fterms"), QVECTORS, dense_run("dense", 20),
+            rescored("hs"), rrf("hp", ["bm25", "tfidf", "dense"], 5, 10), linear("hl", ["bm25", "tfidf", "dense"], 10, 20),
+            "chosen AS (" + " UNION ALL ".join(
+                f"SELECT run.* FROM (SELECT query_id, doc_id, score, rank FROM {run}) run JOIN wish USING (query_id) WHERE name = '{name}' AND rank <= k AND {when}"
+                for name, run, when in [
+                    ("bm25", "bm25", "true"), ("tfidf", "tfidf", "true"), ("embedding", "dense", "true"), ("hybrid_serial", "hs", "true"),
+                    ("hybrid_parallel", "hp", "k = 5"), ("hybrid_parallel", "hl", "k = 10"),
+                ]
+            ) + ")",
+        ),
         "search_pipeline": _sql(
             """SELECT c.query_id AS query_id, c.text AS query, c.corrected AS corrected_query,
               CASE WHEN pf THEN coalesce(prf_query, c.corrected) END AS expanded_query,
@@ -602,25 +648,7 @@ def oracle_sql() -> dict[str, str]:
               count(r.doc_id) OVER (PARTITION BY c.query_id) AS total_results
             FROM c LEFT JOIN prf USING (query_id) LEFT JOIN chosen r ON r.query_id = c.query_id
             LEFT JOIN documents ON documents.doc_id = r.doc_id""",
-            INDEX,
-            SPELLING,
-            """flags AS (SELECT item_id AS query_id, text, item_id % 4 <> 3 AS sp, item_id % 2 = 0 AS sy,
-              item_id % 3 = 0 AS pf FROM benchmark)""",
-            tokens("c", "(SELECT query_id, f.text AS text, sy, pf, CASE WHEN sp THEN x.corrected ELSE f.text END"
-                        " AS corrected FROM flags f JOIN corrected x USING (query_id))",
-                   "query_id, text, corrected, sy, pf", "corrected"),
-            """cterms AS (SELECT query_id, term, count(*) AS qtf
-              FROM (SELECT query_id, unnest(tokens) AS term FROM c) GROUP BY ALL)""",
-            okapi_run("fed", 5, "cterms"),
-            FEEDBACK,
-            prf("fed", "(SELECT * FROM c WHERE pf)", "corrected"),
-            tokens("p", "prf", "query_id", "prf_query"),
-            """q AS (SELECT query_id, sy, coalesce(p.tokens, c.tokens) AS tokens FROM c LEFT JOIN p USING (query_id))""",
-            synonyms(),
-            TOKS,
-            """fterms AS (SELECT query_id, term, count(*) AS qtf FROM (SELECT query_id, term FROM toks
-              UNION ALL SELECT query_id, synonym FROM toks JOIN syns USING (term) JOIN q USING (query_id)
-              WHERE ord <= 2 AND sy) GROUP BY ALL)""",
+            *refined,
             okapi_run("bm25", 10, "fterms"),
             TFIDF,
             tfidf_run("tfidf", 10, "fterms"),

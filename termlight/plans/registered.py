@@ -691,6 +691,26 @@ def search_pipeline(spark, folder):
     return rows.select("query_id", "query", "corrected_query", "expanded_query", "model_used", "r.*", "total_results")
 
 
+def search_every_model(spark, folder):
+    """The whole search through every model and both fusions, with vectors and each user's history."""
+    number = F.col("query_id")
+    models = ["bm25", "tfidf", "embedding", "hybrid_serial", "hybrid_parallel"]
+    own = vectors(spark, folder).withColumnRenamed("doc_id", "query_id")
+    asked = queries_table(spark, folder).join(own, "query_id", "left").withColumns({
+        "use_spell_correction": number % 4 != 3, "use_synonyms": number % 2 == 0, "use_prf": number % 3 == 0,
+        "model": F.element_at(F.array(*[F.lit(m) for m in models]), (number % 5 + 1).cast("int")),
+        "top_k": F.when(number % 2 == 0, 5).otherwise(10), "user_id": number,
+        "fusion_method": F.when(number % 2 == 0, "rrf").otherwise("linear"),
+    })
+    found = search.answer(
+        corpus(spark, folder), asked, session_speller(spark, folder), thesaurus(spark, folder), user_history(spark, folder)
+    )
+    rows = found.withColumn("r", F.explode_outer("results"))
+    return rows.select(
+        "query_id", "corrected_query", "expanded_query", F.array_join("suggestions", "|").alias("suggestions"), "model_used", "r.*"
+    )
+
+
 def history_append(spark, folder):
     new = table(spark, folder, "conversations").select(
         F.col("conv_id").alias("user_id"), F.col("turn").alias("pos"), F.col("text").alias("query")
@@ -831,7 +851,7 @@ QUERIES: dict[str, Query] = {
             bm25_shelves, postings_lookup_shelves, bm25_query_blocks, bm25_pruned, dense_pivots, vectors_saved,
             bm25_param_sweep, tfidf_cosine, tfidf_loglog, dense_topk, vector_normalize, query_tf,
             hybrid_serial, hybrid_serial_rescored, hybrid_parallel_rrf, hybrid_parallel_linear,
-            model_router, router_mixed_requests, router_deep_requests, search_datasets, search_pipeline, fusion_rrf, fusion_linear, run_max_normalize, run_ranked, runs_merged,
+            model_router, router_mixed_requests, router_deep_requests, search_datasets, search_pipeline, search_every_model, fusion_rrf, fusion_linear, run_max_normalize, run_ranked, runs_merged,
             results_with_text, search_response, query_analyze, spell_correct, synonym_expand,
             prf_expand, query_suggest, query_refine, history_append, eval_models,
             eval_single_list, stream_preprocess, stream_resume, stream_index,

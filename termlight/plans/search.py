@@ -301,7 +301,9 @@ def responses(requests: DataFrame, run: DataFrame, documents: DataFrame, ordinal
     found = with_text(run, documents, ordinal).groupBy("query_id").agg(
         F.array_sort(F.collect_list(entry)).alias("results"), F.count("*").alias("total_results")
     )
-    optional = {"corrected": "corrected_query", "prf_query": "expanded_query", "model": "model_used"}
+    optional = {
+        "corrected": "corrected_query", "prf_query": "expanded_query", "suggestions": "suggestions", "model": "model_used",
+    }
     shown = [F.col(c).alias(name) for c, name in optional.items() if c in requests.columns]
     rows = requests.select("query_id", F.col("text").alias("query"), *shown)
     return rows.join(found, "query_id", "left").withColumn(
