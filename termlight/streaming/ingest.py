@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from termlight.operators.index import (
     vocabulary,
     with_dataset,
 )
+from termlight.operators.joins import fits_broadcast
 from termlight.session import cut_lineage
 from termlight.sources.collections import append_new, document_keys, not_yet_done, read_if_stored
 
@@ -62,14 +64,24 @@ def _each_batch(stream: DataFrame, work: Callable, checkpoint: str) -> Streaming
 def last_copies(batch: DataFrame, ordinal: str | None = None) -> DataFrame:
     """The document's key and ``tokens``, once per document of a batch.
 
-    Of several copies the last one that has tokens counts, by ``ordinal`` or by arrival. Copies are
-    combined before the shuffle.
+    Of several copies the last one that has tokens counts, by ``ordinal`` or by arrival. Ids are
+    counted first, on narrow rows; only the tokens of ids that come more than once are compared, and
+    all other documents are analysed where they are read.
     """
     keys = document_keys(batch)
+    several = batch.groupBy(keys).agg(F.count("*").alias("__copies")).where("__copies > 1")
+    several = cut_lineage(several.select(*[F.col(k).alias(f"__{k}") for k in keys]), "several")
+    if several.isEmpty():
+        return plain_tokens(batch).select(*keys, "tokens")
+    if fits_broadcast(several):
+        several = F.broadcast(several)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
     order = F.col(ordinal) if ordinal else F.monotonically_increasing_id()
-    tokens = plain_tokens(batch.withColumn("__order", order)).select(*keys, "tokens", "__order")
+    copies = batch.withColumn("__order", order).join(several, same, "left_semi")
+    tokens = plain_tokens(copies).select(*keys, "tokens", "__order")
     last = F.max_by("tokens", F.struct(F.size("tokens") > 0, "__order")).alias("tokens")
-    return tokens.groupBy(keys).agg(last)
+    single = plain_tokens(batch.join(several, same, "left_anti")).select(*keys, "tokens")
+    return single.unionByName(tokens.groupBy(keys).agg(last))
 
 
 def stream_once_per_document(
@@ -99,7 +111,8 @@ def stream_postings(
 
     def work(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        docs = last_copies(with_dataset(batch), ordinal)
+        # Raw text moves once, by document; counting its terms then needs no further exchange.
+        docs = last_copies(with_dataset(batch).repartition("doc_id"), ordinal)
         fields = [StructField("dataset", StringType()), batch.schema["doc_id"]]
         ids = StructType([*fields, StructField("batch", LongType())])
         held = read_if_stored(spark, f"{out}/lengths", ids)
