@@ -774,6 +774,11 @@ def oracle_sql() -> dict[str, str]:
             "SELECT doc_id, array_to_string(tokens, ' ') AS tokens FROM d", DOCS
         ),
         "stream_index": _sql("SELECT doc_id, term, tf FROM posts", INDEX),
+        "stream_vocab_size": _sql(
+            """SELECT source AS dataset, count(DISTINCT term) AS terms, true AS near
+            FROM posts JOIN documents USING (doc_id) GROUP BY 1""",
+            INDEX,
+        ),
         "stream_index_every_id": _sql(
             """SELECT dataset, doc_id, term, count(*) AS tf FROM (SELECT dataset, doc_id, unnest(tokens) AS term
             FROM (SELECT dataset, doc_id, arg_max(tokens, place) AS tokens FROM e WHERE len(tokens) > 0

@@ -805,6 +805,20 @@ def stream_index(spark, folder):
     return ingest.streamed_postings(spark, out).select("doc_id", "term", "tf")
 
 
+def stream_vocab_size(spark, folder):
+    """Distinct terms of each collection after several batches, and whether the merged sketches say
+    nearly the same (five standard errors)."""
+    source = new_folder(spark, "in")
+    docs = table(spark, folder, "documents").select(F.col("source").alias("dataset"), "doc_id", "text")
+    docs.repartition(4, "doc_id").write.parquet(source)
+    out = new_folder(spark, "stream")
+    stream = ingest.read_documents(spark, source, docs.schema, files_per_batch=1)
+    ingest.stream_postings(stream, out, new_folder(spark, "offsets")).awaitTermination()
+    exact = index.vocabulary(ingest.streamed_postings(spark, out)).groupBy("dataset").agg(F.count("*").alias("terms"))
+    near = F.abs(F.col("vocab_size") - F.col("terms")) <= 0.04 * F.col("terms") + 1
+    return exact.join(ingest.streamed_vocab_size(spark, out), "dataset").select("dataset", "terms", near.alias("near"))
+
+
 def stream_index_every_id(spark, folder):
     """Every document under its own id in two collections, with an earlier copy and a later empty one.
 
@@ -855,7 +869,7 @@ QUERIES: dict[str, Query] = {
             results_with_text, search_response, query_analyze, spell_correct, synonym_expand,
             prf_expand, query_suggest, query_refine, history_append, eval_models,
             eval_single_list, stream_preprocess, stream_resume, stream_index,
-            stream_index_every_id, stream_search,
+            stream_index_every_id, stream_vocab_size, stream_search,
         )
     },
     "embedding_stats": lambda spark, folder: dense.vector_stats(table(spark, folder, "embeddings")),

@@ -15,9 +15,11 @@ from termlight.operators.index import (
     SearchIndex,
     corpus_stats,
     doc_lengths,
+    merged_vocab_size,
     postings_from_tokens,
     tfidf_norms,
     vocabulary,
+    vocabulary_sketch,
     with_dataset,
 )
 from termlight.operators.joins import fits_broadcast
@@ -102,7 +104,7 @@ def stream_once_per_document(
 def stream_postings(
     stream: DataFrame, out: str, checkpoint: str, ordinal: str | None = None
 ) -> StreamingQuery:
-    """Add the postings and lengths of new documents, one folder per batch.
+    """Add the postings, lengths and vocabulary sketches of new documents, one folder per batch.
 
     Postings are additive per document; a replayed batch overwrites its own folders. Document
     frequencies and weights are derived at reading (``read_streamed_index``). The short table of
@@ -122,6 +124,8 @@ def stream_postings(
         postings_from_tokens(docs).write.mode("overwrite").parquet(path)
         lengths = doc_lengths(spark.read.parquet(path))
         lengths.write.mode("overwrite").parquet(f"{out}/lengths/batch={number}")
+        sketch = vocabulary_sketch(spark.read.parquet(path))
+        sketch.write.mode("overwrite").parquet(f"{out}/sketches/batch={number}")
 
     return _each_batch(stream, work, checkpoint)
 
@@ -131,6 +135,11 @@ def streamed_postings(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(f"{out}/postings").drop("batch")
 
 
+def streamed_vocab_size(spark: SparkSession, out: str) -> DataFrame:
+    """``dataset, vocab_size`` of every batch so far, within a few percent, from the batches' sketches."""
+    return merged_vocab_size(spark.read.parquet(f"{out}/sketches"))
+
+
 def read_streamed_index(spark: SparkSession, out: str) -> SearchIndex:
     """The index over every batch so far; statistics are aggregated anew, once per call."""
     postings = streamed_postings(spark, out)
@@ -149,4 +158,5 @@ __all__ = [
     "stream_postings",
     "stream_processed",
     "streamed_postings",
+    "streamed_vocab_size",
 ]
