@@ -132,21 +132,28 @@ def fit(
             yield pa.RecordBatch.from_pylist(out, pa.schema([
                 ("lang", pa.string()), ("order", pa.int64()), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))]))
 
-    learned = few.select("lang", "order", "text").mapInArrow(count, schema).toArrow()
-    rows_ = sorted(learned.to_pylist(), key=lambda r: (r["lang"], r["order"]))
-    return _fit(rows_)
-
-
-def _fit(rows: list[dict]) -> Model:
-    counts = np.zeros((len(rows), SIZE), np.float32)
-    for i, row in enumerate(rows):
-        counts[i, row["at"]] = row["n"]
-    weights = (np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-    vectors = np.array([_unit(c, weights) for c in counts], np.float32).reshape(len(rows), SIZE)
-    names = np.array([r["lang"] for r in rows])
-    languages, centroids, of, least = sorted(set(names.tolist())), [], [], []
+    return _fit(few.select("lang", "order", "text").mapInArrow(count, schema).toArrow())
+
+
+def _fit(learned: pa.Table) -> Model:
+    """One matrix of the sample, scaled in place; a language is a range of its rows."""
+    learned = learned.sort_by([("lang", "ascending"), ("order", "ascending")])
+    at, n = (learned.column(c).combine_chunks() for c in ("at", "n"))
+    ends = np.cumsum(at.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+    vectors = np.zeros((learned.num_rows, SIZE), np.float32)
+    place, number = at.flatten().to_numpy(), n.flatten().to_numpy()
+    for i, (a, b) in enumerate(zip(np.concatenate([[0], ends[:-1]]), ends, strict=True) if learned.num_rows else ()):
+        vectors[i, place[a:b]] = number[a:b]
+    weights = (np.log((1 + len(vectors)) / (1 + (vectors > 0).sum(axis=0))) + 1).astype(np.float32)
+    np.log1p(vectors, out=vectors)
+    vectors *= weights
+    for row in vectors:
+        row /= max(float(np.sqrt(row @ row)), 1e-12)
+    names = learned.column("lang").to_pylist()
+    languages, centroids, of, least = sorted(set(names)), [], [], []
     for i, lang in enumerate(languages):
-        own = vectors[names == lang]
+        first = names.index(lang)
+        own = vectors[first : first + names.count(lang)]
         centers = _clusters(own)
         centroids.append(centers)
         of += [i] * len(centers)
