@@ -22,6 +22,7 @@ HEADLINE = [
     "hybrid_parallel_linear", "search_response", "prf_expand", "spell_correct", "synonym_expand",
     "query_suggest", "entity_gazetteer", "sentiment_lexicon", "lemma_postings", "eval_models",
     "stream_index", "model_router", "query_refine", "search_pipeline", "tfidf_weights", "bm25_idf",
+    "bm25_shelves", "bm25_pruned", "dense_pivots", "stem_vocabulary",
 ]
 WARM_UP = ["processed_docs", "hybrid_parallel_rrf", "search_response", "sentiment_lexicon"]
 
