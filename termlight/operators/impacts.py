@@ -26,7 +26,17 @@ from termlight.operators.joins import (
     fits_broadcast,
     lookup_join,
 )
-from termlight.operators.lexical import B, K1, bm25_idf, bm25_part, bm25_terms, run_in_blocks, weigh_queries
+from termlight.operators.lexical import (
+    B,
+    K1,
+    Search,
+    bm25_idf,
+    bm25_part,
+    bm25_search,
+    bm25_terms,
+    run_in_blocks,
+    weigh_queries,
+)
 from termlight.operators.ranking import SCORE_DIGITS, top_k
 from termlight.session import cut_lineage, new_folder
 
@@ -125,16 +135,21 @@ def _surviving(bounds: DataFrame, found: DataFrame, keys: list[str], k: int) ->
 
 def _pruned(
     blocks: BlockIndex, queries: DataFrame, k: int, k1: float, b: float, variant: str, keys: list[str],
-    max_rows: int, use: Callable[[BlockIndex, DataFrame, DataFrame, DataFrame], DataFrame],
+    max_rows: int, use: Callable[[BlockIndex, DataFrame, DataFrame, DataFrame], DataFrame], wide: Search | None = None,
 ) -> DataFrame:
-    """Find the surviving blocks of all queries, in blocks of queries, and ``use`` them."""
+    """Find the surviving blocks of all queries, in blocks of queries, and ``use`` them.
+
+    A query whose own terms are more than may be broadcast goes the ``wide`` way, which prunes nothing.
+    """
     idf = bm25_idf(variant)
     terms = bm25_terms(queries, keys, k1, b)
     columns = dict.fromkeys([*keys, *TERM, "qtf", "idf", "avg_dl", "k1", "b"])
 
     def search(index: SearchIndex, terms: DataFrame, few: bool) -> DataFrame:
+        if not few and wide is None:
+            raise ValueError("a query has more terms than may be broadcast, so that nothing is pruned")
         if not few:
-            raise ValueError("a query has more terms than may be broadcast; use lexical.bm25")
+            return wide(index, terms, few)
         weighted = cut_lineage(weigh_queries(terms, index, idf, True).select(*columns), "weighted")
         bounds = _bounds(blocks, weighted, keys, variant)
         ordered = bounds.withColumnsRenamed({"bound": "score", "block": "doc_id"})
@@ -157,14 +172,15 @@ def bm25_pruned(
     keys: list[str] | None = None,
     max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """The run of ``lexical.bm25``, by scoring only blocks that can reach it."""
+    """The run of ``lexical.bm25``, by scoring only blocks that can reach it. Keys are not null."""
     keys = keys or ["query_id"]
 
     def score(blocks: BlockIndex, weighted: DataFrame, bounds: DataFrame, reached: DataFrame) -> DataFrame:
         scores = _score(blocks, weighted, reached, keys, variant, False)
         return top_k(scores, keys, k).select(*keys, "dataset", "doc_id", "score", "rank")
 
-    return _pruned(blocks, queries, k, k1, b, variant, keys, max_rows, score)
+    wide = bm25_search(variant, keys, k, bm25_idf(variant))
+    return _pruned(blocks, queries, k, k1, b, variant, keys, max_rows, score, wide)
 
 
 def pruning_report(

@@ -167,6 +167,21 @@ def bm25_idf(variant: str) -> Column:
     return okapi_idf() if variant == "okapi" else positive_idf()
 
 
+def bm25_search(variant: str, keys: list[str], k: int, idf: Column) -> Search:
+    """Score every candidate of the query terms and keep the best."""
+    part = bm25_part(variant, F.col("tf"), F.col("dl"))
+    columns = dict.fromkeys([*keys, *TERM, "qtf", "idf", "avg_dl", "k1", "b"])
+
+    def search(index: SearchIndex, terms: DataFrame, few: bool) -> DataFrame:
+        weighted = weigh_queries(terms, index, idf, few)
+        scores = score(index, weighted.select(*columns), part, keys, few)
+        if variant == "okapi":
+            scores = scores.where(F.col("score") > 0)
+        return _ranked(scores, keys, k)
+
+    return search
+
+
 def bm25(
     index: SearchIndex,
     queries: DataFrame,
@@ -186,17 +201,7 @@ def bm25(
     idf = bm25_idf(variant)
     keys = keys or ["query_id"]
     terms = bm25_terms(queries, keys, k1, b)
-    part = bm25_part(variant, F.col("tf"), F.col("dl"))
-    columns = dict.fromkeys([*keys, *TERM, "qtf", "idf", "avg_dl", "k1", "b"])
-
-    def search(index: SearchIndex, terms: DataFrame, few: bool) -> DataFrame:
-        weighted = weigh_queries(terms, index, idf, few)
-        scores = score(index, weighted.select(*columns), part, keys, few)
-        if variant == "okapi":
-            scores = scores.where(F.col("score") > 0)
-        return _ranked(scores, keys, k)
-
-    return run_in_blocks(index, terms, keys, max_rows, search)
+    return run_in_blocks(index, terms, keys, max_rows, bm25_search(variant, keys, k, idf))
 
 
 def tfidf_query(
