@@ -136,3 +136,13 @@ def test_streamed_datasets_keep_every_document(spark, tiny):
     want = docs.select(F.col("source").alias("dataset"), "doc_id").union(worded.select(F.lit("second"), "doc_id"))
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
     assert found.count() > 100
+
+
+@pytest.mark.parametrize("name", ["stream_preprocess", "stream_index"])
+def test_streams_read_a_table_of_one_file_or_of_many(spark, tiny, name):
+    """The documents as one file, and as a folder of three, give the same rows."""
+    folder = new_folder(spark, "tables")
+    spark.read.parquet(f"{tiny}/documents.parquet").repartition(3, "doc_id").write.parquet(f"{folder}/documents.parquet")
+    one, many = (contract.queries()[name](spark, where) for where in (tiny, folder))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+    assert many.count() >= 200
