@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from termlight.functions import text as T
 from termlight.functions.porter import IRREGULAR, STEP_2, STEP_3, STEP_4, stem_word
-from termlight.operators.analyze import analyze, plain_tokens
+from termlight.operators.analyze import analyze, plain_tokens, stem_table
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -112,3 +112,21 @@ def test_sentiment_label(spark):
     rows = spark.createDataFrame([(0.05,), (0.049,), (-0.05,)], "c double")
     found = [r[0] for r in rows.select(T.sentiment_label(F.col("c"))).collect()]
     assert found == ["POSITIVE", "NEUTRAL", "NEGATIVE"]
+
+
+def test_stems_analyse_every_text_once_and_every_word_once(spark):
+    """However often a word comes and however many parts the join has."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text
+
+    rows = spark.createDataFrame([(i, "running dogs barked at running cats") for i in range(40)], "doc_id int, text string")
+    out = analyze(rows.repartition(2).select("doc_id", counted("text").alias("text")), ["doc_id"], mode="stem")
+    found = out.collect()
+    assert {tuple(r.tokens) for r in found} == {("run", "dog", "bark", "run", "cat")} and len(found) == 40
+    assert seen.value == 40
+    words = stem_table(rows.select(F.explode(F.split("text", " ")).alias("term")))
+    assert words.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
