@@ -17,6 +17,7 @@ from termlight.operators.index import (
     doc_lengths,
     merged_vocab_size,
     postings_from_tokens,
+    text_partitions,
     tfidf_norms,
     vocabulary,
     vocabulary_sketch,
@@ -114,7 +115,7 @@ def stream_postings(
     def work(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         # Raw text moves once, by document; counting its terms then needs no further exchange.
-        docs = last_copies(with_dataset(batch).repartition("doc_id"), ordinal)
+        docs = last_copies(with_dataset(batch).repartition(text_partitions(batch), "doc_id"), ordinal)
         fields = [StructField("dataset", StringType()), batch.schema["doc_id"]]
         ids = StructType([*fields, StructField("batch", LongType())])
         held = read_if_stored(spark, f"{out}/lengths", ids)

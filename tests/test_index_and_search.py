@@ -359,3 +359,16 @@ def test_plain_projections_do_not_shuffle(spark, tiny):
 
     for name in ("processed_docs", "text_normalize", "text_tokens", "text_stopwords", "text_fallback", "empty_docs", "feedback_words"):
         assert "Exchange" not in plan_of(registered.QUERIES[name](spark, tiny)), name
+
+
+def test_parts_follow_the_size_of_the_text(spark, monkeypatch):
+    """A task or bucket holds a bounded amount of text, also beyond the session's number of partitions."""
+    monkeypatch.setattr(index, "TEXT_BYTES", 200)
+    docs = spark.createDataFrame([(i, "alpha beta gamma delta") for i in range(300)], "doc_id int, text string")
+    assert index.text_partitions(docs) == 33 and index.text_partitions(docs, 40) == 40
+    assert index.text_partitions(docs.where("doc_id < 0"), 4) == 4
+    dealt = index.build_postings(docs)
+    assert dealt.rdd.getNumPartitions() == 33
+    built = index.build_index(docs)
+    assert spark.read.parquet(f"{built.path}/layout").first().buckets == 33
+    assert rows(built.postings, "doc_id", "term", "tf") == rows(dealt, "doc_id", "term", "tf")
