@@ -348,6 +348,30 @@ def test_a_deep_request_leaves_the_others_shallow(monkeypatch, spark, built, doc
     assert rows(found, "query_id", "count") == [(0, 1), (1, 2), (2, 3), (3, 3)]
 
 
+def test_equal_requests_are_searched_once(monkeypatch, spark, built, docs):
+    """Each base model meets a text, its parameters and a vector once; every request gets its list, cut to its depth."""
+    met = {}
+    for name in ("bm25", "tfidf", "nearest"):
+        def watched(where, asked, *rest, name=name, run=getattr(search, name), **options):
+            met[name] = met.get(name, 0) + asked.count()
+            return run(where, asked, *rest, **options)
+
+        monkeypatch.setattr(search, name, watched)
+    vectors = spark.createDataFrame([(i, [1.0, i / 10.0]) for i in range(1, 5)], "doc_id long, embedding array<double>")
+    where = search.Corpus(built, vectors, docs)
+    asked = queries(spark, *["alpha delta epsilon"] * 6, "alpha beta").withColumn("embedding", F.array(F.lit(1.0), F.lit(0.5)))
+    model = F.when(F.col("query_id") == 0, "bm25").when(F.col("query_id") == 1, "hybrid_serial").otherwise("hybrid_parallel")
+    asked = asked.withColumns({"model": model, "top_k": F.when(F.col("query_id") == 3, 1).otherwise(10),
+                               "k1": F.when(F.col("query_id") == 4, 0.5)})
+    run = search.route(where, asked)
+    assert met == {"bm25": 3, "tfidf": 2, "nearest": 1}
+    plain = asked.drop("model", "top_k", "k1")
+    assert run_of(run, 0) == run_of(search.run_model(where, plain, "bm25"), 0)
+    assert run_of(run, 1) == run_of(search.run_model(where, plain, "hybrid_serial"), 1)
+    for q, depth in ((2, 10), (3, 1), (5, 10), (6, 10)):
+        assert run_of(run, q) == run_of(search.hybrid_parallel(where, plain, depth), q)
+
+
 def test_results_are_not_multiplied(spark):
     run = run_table(spark, [("a", 2)])
     twice = spark.createDataFrame([("a", "one"), ("a", "two")], "doc_id string, text string")
