@@ -26,8 +26,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the first document of each group linked by 5-word similarity of 0.8 or more (1)."""
-    found = similar.near_copies(docs)
+    """Keep the first document of each group linked by SimHash, or by 5-word similarity of 0.8 or more (1)."""
+    found = similar.near_copies(docs, fingerprints=True)
     return drop_documents(docs, found.where(~F.col("stays")).select("doc_id", "version").distinct())
 
 

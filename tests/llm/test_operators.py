@@ -122,6 +122,32 @@ def test_pipeline_drops_similar_copies(spark):
     assert {r.doc_id for r in kept.collect()} == {d for d, root in brute.similar(rows).items() if d == root}
 
 
+def test_pipeline_drops_simhash_copies(spark):
+    """Also where 5-word similarity says less: a line many times over, with another end in each text."""
+    line = " ".join(f"l{i}" for i in range(8))
+    rows = [(i, " ".join([line] * 60 + [f"end{i}x{j}" for j in range(9)])) for i in range(12)]
+    rows += [(20 + i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(3)]
+    want = {d: root for d, (_, root) in brute.near(rows).items()}
+    assert len(set(want.values())) < 8 and len(set(brute.similar(rows).values())) == len(rows)
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    kept = stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {r.doc_id for r in kept.collect()} == set(want.values())
+
+
+def test_a_common_passage_makes_no_pairs(spark):
+    """Texts of one passage and an eighth of their own are not similar: no pair of them is made by their places."""
+    passage = [f"p{i}" for i in range(100)]
+    rows = [(i, " ".join([*passage, *[f"own{i}x{j}" for j in range(15)]])) for i in range(80)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    levels = spark.sparkContext.broadcast(similar._levels(table, 5))
+    keys = table.select("doc_id", similar._sketch(5, 0.8, levels)("text").alias("s")).select(
+        F.col("s.set").alias("set"), F.col("s.n").alias("n"), F.posexplode("s.prefix").alias("at", "h"))
+    assert keys.groupBy("h").count().where("count = 80").count() > 0
+    pairs = similar._candidates(keys, keys, F.col("set_a") < F.col("set_b"), 0.8)
+    assert pairs.count() == 0
+    assert similar.near_copies(table).where("stays").count() == len(rows)
+
+
 @pytest.mark.parametrize("shard", [3000, 2])
 def test_repeated_bytes(spark, docs, shard):
     """Also with every anchor split over shards."""
