@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from termlight.llm.tables import plain
+from termlight.llm.tables import plain, text_batches
 
 DROPOUT = 0.1
 #: Segmentations of a word under a seed; None: as many as it has occurrences.
@@ -340,6 +340,7 @@ def encode(
     id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
     """``doc_id``, ``text`` and ``ids``, the pieces of the text under this seed."""
+    text_batches(docs)
     table = plain(docs, id_column, text_column)
     schema = StructType([*table.schema.fields, StructField("ids", ArrayType(IntegerType()))])
 

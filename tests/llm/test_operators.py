@@ -114,6 +114,17 @@ def test_similar_groups(spark, monkeypatch, bucket, frequent):
     assert sum(d != root for d, root in want.items()) > sum(d != root for d, root in four_bits.items())
 
 
+def test_merge_dropout_bounds_its_batches(spark):
+    """Rows alone are no bound: a batch of long texts would be of any size."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.unset(name)
+    merge_dropout.encode(spark.createDataFrame([(1, "some words")], "doc_id long, text string"), PIECES)
+    assert spark.conf.get(name, None) == "1m"
+    if before is not None:
+        spark.conf.set(name, before)
+
+
 def test_pipeline_drops_similar_copies(spark):
     """The stage keeps one document of each group at 5-word similarity 0.8, also beyond four bits."""
     rows = near_corpus()
