@@ -38,15 +38,18 @@ DROPOUT = 0.1
 #: Segmentations of a word under a seed; None: as many as it has occurrences.
 VARIANTS = None
 #: Characters of text split into words at a time, words remembered by a task, and the longest that
-#: are segmented together.
+#: are segmented together, so many at a time.
 AT_ONCE = 1_000_000
 REMEMBERED = 400_000
 TOGETHER = 48
+RUN = 20_000
 SPACE = "▁"
 #: Stands for a literal SPACE: a lone surrogate, which no text can hold.
 _LITERAL = "\ud800"
 #: Symbols of characters without a piece start here.
 _OUTSIDE = 1 << 20
+#: Orders of merges with their place in the last six bits stay below this.
+_NONE = (1 << 31) - 1
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _FULL = (1 << 64) - 1
 _START, _MIDDLE, _END = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
@@ -66,12 +69,6 @@ def _skips_each(keys: np.ndarray, first: np.ndarray, middle: np.ndarray, end: np
     return (x ^ (x >> np.uint64(29))) * np.uint64(_START) < np.uint64(below)
 
 
-def _skips_all(keys: np.ndarray, starts: np.ndarray, below: int) -> np.ndarray:
-    """The same for all neighbours; ``starts`` has the places of the symbols and of the end."""
-    first, middle, end = (starts[:, i : starts.shape[1] - 2 + i] for i in range(3))
-    return _skips_each(keys[:, None], first, middle, end, below)
-
-
 class Vocabulary:
     """Pieces of a SentencePiece BPE model, and the merges that make them."""
 
@@ -102,17 +99,21 @@ class Vocabulary:
                     made[left << 22 | right] = (-held.get_score(i), i)
         self.made = made
         keys = np.array(sorted(made), np.int64)
-        self._ranks = np.array([made[k][0] for k in keys.tolist()])
-        self._made = np.array([made[k][1] for k in keys.tolist()], np.int64)
-        self._keys = [np.full(1 << 21, -1, np.int64) for _ in range(3)]
-        self._at = [np.zeros(1 << 21, np.int32) for _ in range(3)]
+        self._merged = keys
+        self._order = np.unique(np.array([made[k][0] for k in keys.tolist()]), return_inverse=True)[1].astype(np.int32)
+        self._made = np.array([made[k][1] for k in keys.tolist()], np.int32)
+        self._at = [np.full(1 << 21, -1, np.int32) for _ in range(3)]
         left = np.arange(len(keys))
         for level in range(3):
             slots = self._slot(keys[left], level)
-            self._keys[level][slots], self._at[level][slots] = keys[left], left
-            left = left[self._keys[level][slots] != keys[left]]
-        if len(left):
+            self._at[level][slots] = left
+            left = left[self._at[level][slots] != left]
+        if len(left) or len(keys) >> 24:
             raise ValueError("merges do not fit the table")
+        self._symbols = _OUTSIDE + np.arange(0x110000, dtype=np.int32)
+        for piece, i in pieces.items():
+            if len(piece) == 1:
+                self._symbols[ord(piece)] = i
 
     def _known(self, part: str) -> int | None:
         return self.pieces.get(part, self.symbol(part) if len(part) == 1 else None)
@@ -126,11 +127,15 @@ class Vocabulary:
         return (keys.astype(np.uint64) * factor >> np.uint64(43)).astype(np.int64)
 
     def merges(self, keys: np.ndarray) -> np.ndarray:
-        """The number of each pair's merge, or -1."""
-        found = np.full(keys.shape, -1, np.int64)
+        """The number of each pair's merge, or -1. A pair is at a later level only where another has its slot."""
+        found = np.full(len(keys), -1, np.int32)
+        left = np.arange(len(keys))
         for level in range(3):
-            slots = self._slot(keys, level)
-            found = np.where(self._keys[level][slots] == keys, self._at[level][slots], found)
+            at = self._at[level][self._slot(keys[left], level)]
+            left, at = left[at >= 0], at[at >= 0]
+            here = self._merged[at] == keys[left]
+            found[left[here]] = at[here]
+            left = left[~here]
         return found
 
     def ids(self, symbols: list[int]) -> bytes:
@@ -173,47 +178,83 @@ class Vocabulary:
                 push(before[i])
         return [s for s in symbols if s >= 0]
 
+    def _ranked(self, left: np.ndarray, right: np.ndarray, keys: np.ndarray, places: tuple, below: int) -> tuple:
+        """Order and place of each candidate in one number, ``_NONE`` where there is none, and its merge."""
+        number = self.merges(left.astype(np.int64) << 22 | right)
+        held = np.flatnonzero(number >= 0)
+        if below:
+            skipped = _skips_each(keys[held], *[p[held].astype(np.uint64) for p in places], below)
+            held = held[~skipped]
+        rank = np.full(len(number), _NONE, np.int32)
+        rank[held] = self._order[number[held]] << 6 | places[0][held]
+        return rank, number
+
     def together(self, words: list[str], keys: np.ndarray, below: int, path: list | None = None) -> list[bytes]:
-        """Merge words of one length range, one merge of each a round; ``path`` gets the rows and places of the merges."""
-        lengths = np.array([len(w) for w in words])
+        """Merge words of one length range, one merge of each a round; ``path`` gets the rows and places of the merges.
+
+        Symbols lie at the place of their first character, a row of the matrices for each place. A merge
+        changes two candidates, which alone are looked up again.
+        """
+        n, lengths = len(words), np.array([len(w) for w in words])
         wide = int(lengths.max())
-        codes = np.frombuffer("".join(w.ljust(wide, "\0") for w in words).encode("utf-32-le", "surrogatepass"), "<u4")
-        kinds, at = np.unique(codes, return_inverse=True)
-        symbols = np.array([self.symbol(chr(k)) for k in kinds.tolist()], np.int64)[at].reshape(len(words), wide)
-        places = np.arange(wide + 1)
-        symbols = np.where(places[:wide] < lengths[:, None], symbols, -1)
-        starts = np.broadcast_to(places.astype(np.uint64), (len(words), wide + 1))
-        out, rows = [b""] * len(words), np.arange(len(words))
-        while len(rows):
-            left, right = symbols[:, :-1], symbols[:, 1:]
-            number = np.where(right >= 0, self.merges(left << 22 | np.maximum(right, 0)), -1)
-            rank = np.where((number >= 0) & ~_skips_all(keys, starts, below), self._ranks[number], np.inf)
-            best = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(rows), int)
-            going = np.isfinite(rank[np.arange(len(rows)), best]) if rank.shape[1] else np.zeros(len(rows), bool)
-            for row, found in zip(rows[~going].tolist(), symbols[~going].tolist(), strict=True):
-                out[row] = self.ids([s for s in found if s >= 0])
-            rows, symbols, starts, keys, best = rows[going], symbols[going], starts[going], keys[going], best[going]
-            if not len(rows):
+        codes = np.frombuffer("".join([w.ljust(wide, "\0") for w in words]).encode("utf-32-le", "surrogatepass"), "<u4")
+        place = np.repeat(np.arange(wide, dtype=np.int32), n)
+        row = np.tile(np.arange(n), wide)
+        inside = place < lengths[row]
+        symbols = np.where(inside, self._symbols[codes.reshape(n, wide).T.ravel()], -1)
+        after, before = place + np.int32(1), place - np.int32(1)
+        rank, number = np.full(wide * n, _NONE, np.int32), np.zeros(wide * n, np.int32)
+        at = np.flatnonzero(inside[n:])
+        first = place[at]
+        rank[at], number[at] = self._ranked(symbols[at], symbols[at + n], keys[row[at]], (first, first + 1, first + 2), below)
+        while True:
+            best = rank.reshape(wide, n).min(axis=0)
+            own = np.flatnonzero(best != _NONE)
+            if not len(own):
                 break
+            first = best[own] & 63
+            at = first * n + own
+            middle = after[at]
+            gone = middle * n + own
+            end = after[gone]
             if path is not None:
-                path.append(np.stack([rows, *[starts[np.arange(len(rows)), best + i].astype(np.int64) for i in range(3)]]))
-            made = self._made[number[going, best]]
-            columns = np.arange(symbols.shape[1] - 1)
-            symbols[np.arange(len(rows)), best] = made
-            symbols = np.take_along_axis(symbols, columns + (columns > best[:, None]), axis=1)
-            columns = np.arange(starts.shape[1] - 1)
-            starts = np.take_along_axis(starts, columns + (columns > best[:, None]), axis=1)
+                path.append(np.stack([own, first, middle, end]))
+            made = self._made[number[at]]
+            symbols[at], symbols[gone], after[at] = made, -1, end
+            rank[at] = rank[gone] = _NONE
+            here = np.flatnonzero(end < lengths[own])
+            follows = end[here] * n + own[here]
+            before[follows] = first[here]
+            there = np.flatnonzero(before[at] >= 0)
+            previous = before[at[there]]
+            ahead = previous * n + own[there]
+            changed = np.concatenate([at[here], ahead])
+            places = (
+                np.concatenate([first[here], previous]), np.concatenate([end[here], first[there]]),
+                np.concatenate([after[follows], end[there]]),
+            )
+            rank[changed], number[changed] = self._ranked(
+                np.concatenate([made[here], symbols[ahead]]), np.concatenate([symbols[follows], made[there]]),
+                np.concatenate([keys[own[here]], keys[own[there]]]), places, below)
+        kept = symbols.reshape(wide, n).T
+        counts = (kept >= 0).sum(axis=1)
+        whole = kept[kept >= 0].astype("<u4")
+        ends = np.cumsum(counts)
+        outside = set(np.searchsorted(ends, np.flatnonzero(whole >= _OUTSIDE), "right").tolist())
+        held, ends = whole.tobytes(), [0, *(4 * ends).tolist()]
+        out = [held[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        for i in outside:
+            out[i] = self.ids(np.frombuffer(out[i], "<u4").tolist())
         return out
 
 
-def _ranges(items: list, length: Callable) -> Iterator[list]:
-    """Runs of items, given by length, that are near in length."""
+def _ranges(lengths: np.ndarray) -> Iterator[slice]:
+    """Runs of ascending lengths that are near each other."""
     at = 0
-    while at < len(items):
-        size, end = length(items[at]), at
-        while end < len(items) and length(items[end]) <= min(size + size // 8, TOGETHER) and end - at < 50_000:
-            end += 1
-        yield items[at:end]
+    while at < len(lengths):
+        size = int(lengths[at])
+        end = min(int(np.searchsorted(lengths, max(size, min(size + size // 8, TOGETHER)), "right")), at + RUN)
+        yield slice(at, end)
         at = end
 
 
@@ -286,10 +327,13 @@ class Encoder:
         at = np.repeat(np.arange(len(words)), count)
         merge = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)
         skipped = _skips_each(keys[at], *[m[merge].astype(np.uint64) for m in self.merges], self.below)
-        again = np.unique(at[skipped]).tolist()
+        again = np.unique(at[skipped])
         found = [self.plain[i] for i in number.tolist()]
-        again.sort(key=lambda i: len(words[i]))
-        for some in _ranges(again, lambda i: len(words[i])):
+        lengths = np.array([len(words[i]) for i in again.tolist()], np.int64)
+        order = np.argsort(lengths, kind="stable")
+        again, lengths = again[order], lengths[order]
+        for run in _ranges(lengths):
+            some = again[run].tolist()
             for i, ids in zip(some, self.vocabulary.together([words[i] for i in some], keys[some], self.below), strict=True):
                 found[i] = ids
         for i in np.flatnonzero(number == 0).tolist():
@@ -304,7 +348,8 @@ class Encoder:
         short = [w for w in words if len(w) <= TOGETHER]
         self.number.update((w, 0) for w in words[len(short) :])
         sizes, merges = [], [self.merges]
-        for some in _ranges(short, len):
+        for run in _ranges(np.array([len(w) for w in short], np.int64)):
+            some = short[run]
             path: list[np.ndarray] = []
             ids = self.vocabulary.together(some, np.zeros(len(some), np.uint64), 0, path)
             self.number.update(zip(some, range(len(self.plain), len(self.plain) + len(some)), strict=True))
@@ -318,21 +363,13 @@ class Encoder:
 
     def _learn(self, words: list[str], variant: int) -> None:
         known, vocabulary = self.known[variant], self.vocabulary
-        at = 0
-        while at < len(words):
-            size = len(words[at])
-            if size > TOGETHER:
-                word = words[at]
-                known[word] = vocabulary.ids(vocabulary.agenda(word, self.key(word, variant), self.below))
-                at += 1
-                continue
-            end = at
-            while end < len(words) and len(words[end]) <= min(size + size // 8, TOGETHER) and end - at < 50_000:
-                end += 1
-            some = words[at:end]
+        short = [w for w in words if len(w) <= TOGETHER]
+        for word in words[len(short) :]:
+            known[word] = vocabulary.ids(vocabulary.agenda(word, self.key(word, variant), self.below))
+        for run in _ranges(np.array([len(w) for w in short], np.int64)):
+            some = short[run]
             keys = np.array([self.key(w, variant) for w in some], np.uint64)
             known.update(zip(some, vocabulary.together(some, keys, self.below), strict=True))
-            at = end
 
 
 def encode(

@@ -284,6 +284,17 @@ def test_merge_dropout_of_every_occurrence(spark):
     assert b"".join(vocabulary.bytes_of[i] for i in odd).decode()[1:] == "international \ufdd0 \u2581"
 
 
+def test_merge_dropout_looks_up_what_a_merge_changes(monkeypatch):
+    """A merge changes two candidates; the others of its word are not looked up again."""
+    vocabulary, asked = merge_dropout.Vocabulary(PIECES), []
+    merges = merge_dropout.Vocabulary.merges
+    monkeypatch.setattr(merge_dropout.Vocabulary, "merges", lambda self, keys: asked.append(keys.size) or merges(self, keys))
+    words, path = [merge_dropout.SPACE + w for w in ("internationalisation", "misunderstanding", "a", "of")], []
+    found = vocabulary.together(words, np.zeros(4, np.uint64), 0, path)
+    assert found == [vocabulary.ids(vocabulary.agenda(w, 0, 0)) for w in words]
+    assert sum(asked) <= sum(len(w) - 1 for w in words) + 2 * sum(p.shape[1] for p in path)
+
+
 def test_licenses(spark):
     text = "Some words here.\nLicensed under the Apache License, Version 2.0.\n\nreleased  under the MIT license\n"
     rows = [(1, text), (2, "licensed under a licence that nobody has seen"), (3, None), (4, "License"), (5, "This work is licensed\nunder the GNU General\nPublic License, version 3.")]
