@@ -207,14 +207,14 @@ def _simhash_links(rows: DataFrame, max_bucket: int) -> DataFrame:
     return cut_lineage(linked, "simhash-links")
 
 
-def links(
+def linked(
     sketches: DataFrame, texts: Texts, shingle: int, similarity: float, max_bucket: int, known: DataFrame | None = None
 ) -> DataFrame:
-    """``a, b``: similar pairs of the distinct sets in ``sketches(set, n, prefix)``, enough to connect all,
-    and the links ``known`` already.
+    """``node, root``: the groups of the distinct sets in ``sketches(set, n, prefix)`` by similar pairs, as many as
+    connect all, and by the links ``known`` already.
 
     Keys of up to ``max_bucket`` sets, and then the larger ones, are searched for pairs of sets that
-    the smallest sets of their keys have not brought together.
+    the smallest sets of their keys have not brought together. New pairs are added to the groups found before.
     """
     keys = sketches.select("set", "n", F.posexplode("prefix").alias("at", "h"))
     here = Window.partitionBy("h")
@@ -224,19 +224,19 @@ def links(
     heads = sized.where("set = least").select(columns)
     starred = _candidates(heads, sized.where("set <> least").select(columns), F.lit(True), similarity)
     found = _verified(starred, texts, shingle, similarity)
-    found = found if known is None else found.unionByName(known)
+    roots = components(found if known is None else found.unionByName(known))
     apart = (F.col("set_a") < F.col("set_b")) & (F.col("root_a") != F.col("root_b"))
     for crowded in (F.col("size") <= max_bucket, F.col("size") > max_bucket):
         own = sized.where(crowded).select(columns)
-        if own.isEmpty():
-            continue
-        roots = components(found).withColumnRenamed("node", "set")
-        own = own.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+        own = own.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
         groups = own.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h")
         mixed = cut_lineage(own.join(groups, "h").select(*columns, "root"), "mixed")
+        if mixed.isEmpty():
+            continue
         more = _verified(_candidates(mixed, mixed, apart, similarity), texts, shingle, similarity)
-        found = cut_lineage(found.unionByName(more), "links")
-    return found
+        if not more.isEmpty():
+            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    return roots
 
 
 def near_copies(
@@ -258,7 +258,7 @@ def near_copies(
     firsts = classes.select("set", F.col("least.doc_id").alias("doc_id"), F.col("least.version").alias("version"), "bins")
     texts = Texts(table.withColumn("version", text_version()), firsts)
     known = _simhash_links(rows.select("set", "fp"), simhash.MAX_BUCKET) if fingerprints else None
-    roots = components(links(classes.select("set", "n", "prefix"), texts, shingle, similarity, max_bucket, known))
+    roots = linked(classes.select("set", "n", "prefix"), texts, shingle, similarity, max_bucket, known)
     rooted = classes.select("set", "least").join(roots.withColumnRenamed("node", "set"), "set", "left")
     rooted = rooted.select("set", "least", F.coalesce("root", "set").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("first"))

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from termlight.llm import (
-    doubling, exact_stream, language, licenses, merge_dropout, packing, quality, simhash, similar, suffix_dedup, urls,
+    components, doubling, exact_stream, language, licenses, merge_dropout, packing, quality, simhash, similar, suffix_dedup, urls,
 )
 from termlight.llm.suffixes import Shard
 from termlight.session import cut_lineage
@@ -114,6 +114,18 @@ def test_similar_groups(spark, monkeypatch, bucket, frequent):
     assert sum(d != root for d, root in want.items()) > sum(d != root for d, root in four_bits.items())
 
 
+def test_stars_take_no_round(spark, monkeypatch):
+    """The driver runs no round over what is done: none for stars, and none to see that the last was enough."""
+    rounds, step = [], components._round
+    monkeypatch.setattr(components, "_round", lambda edges: rounds.append(1) or step(edges))
+    edges = lambda pairs: spark.createDataFrame(pairs, "a long, b long")
+    assert found(components.components(edges([(2, 1), (3, 1), (5, 4), (6, 6)])), "node", "root") == [(2, 1), (3, 1), (5, 4)]
+    assert components.components(edges([])).isEmpty() and not rounds
+    assert found(components.components(edges([(2, 1), (3, 2)])), "node", "root") == [(2, 1), (3, 1)] and len(rounds) == 1
+    line = [(i + 1, i) for i in range(1, 40)]
+    assert found(components.components(edges(line)), "node", "root") == sorted([(i, 1) for i in range(2, 41)], key=str)
+
+
 def test_merge_dropout_bounds_its_batches(spark):
     """Rows alone are no bound: a batch of long texts would be of any size."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
