@@ -396,3 +396,14 @@ def test_parts_follow_the_size_of_the_text(spark, monkeypatch):
     built = index.build_index(docs)
     assert spark.read.parquet(f"{built.path}/layout").first().buckets == 33
     assert rows(built.postings, "doc_id", "term", "tf") == rows(dealt, "doc_id", "term", "tf")
+
+
+def test_lookup_join_takes_known_counts(spark):
+    """Known counts are not counted again, and beyond the broadcast bound no row is sorted."""
+    left = spark.range(400).selectExpr("id", "IF(id < 200, 0, id) AS key")
+    right = spark.range(500).selectExpr("id AS key", "id * 2 AS v")
+    counts = spark.createDataFrame([(0, 200)], "key long, __n long")
+    found = joins.lookup_join(left, right, ["key"], max_rows=0, counts=counts)
+    assert rows(found, "id", "key", "v") == rows(left.join(right, "key"), "id", "key", "v")
+    plan = plan_of(found)
+    assert "ShuffledHashJoin" in plan and "HashAggregate" not in plan
