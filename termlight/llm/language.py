@@ -112,8 +112,12 @@ def fit(
     ).where("lang IS NOT NULL AND text IS NOT NULL")
     counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(sample).collect()
     each = max(1, sample // max(1, len(counts)))
-    shares = [(r.lang, min(1.0, (2.0 * each + 20) / r.n)) for r in counts]
-    bounds = labelled.sparkSession.createDataFrame(shares, "lang string, share double")
+    # As an Arrow table: rows given from Python would start workers of their own on the executors.
+    shares = pa.table({
+        "lang": pa.array([r.lang for r in counts], pa.string()),
+        "share": pa.array([min(1.0, (2.0 * each + 20) / r.n) for r in counts], pa.float64()),
+    })
+    bounds = labelled.sparkSession.createDataFrame(shares)
     near = rows.join(F.broadcast(bounds), "lang").where(F.col("order") / 2.0**64 + 0.5 <= F.col("share"))
     # Rows that agree in id and text are one.
     near = near.groupBy("lang", "order").agg(F.first("text").alias("text"))

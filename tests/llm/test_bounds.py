@@ -7,7 +7,8 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from termlight.llm import language, urls
+from termlight.llm import exact_stream, language, urls
+from termlight.llm.tables import plain
 
 
 def plain_templates(pages):
@@ -126,3 +127,20 @@ def test_every_label_is_learned(spark):
     assert judged.where("lang = lang_pred").count() >= 0.99 * len(rows)
     none = table.where("false")
     assert language.predict(none, language.fit(none)).count() == 0
+
+
+def test_few_python_workers(spark, monkeypatch):
+    """Exact deduplication runs no Python in tasks, and neither it nor the fit sends rows from Python to workers."""
+    rows = [(1, "a\u00a0b\t c\x0b\x0c\r\n", "x"), (2, "a\u00a0bc", "x"), (3, None, "y"), (4, " ", "y"), (5, "b ac", None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts = plain(table, "doc_id", "text")
+    for step in (exact_stream._arrivals(texts, 32), exact_stream._arrivals_with_bytes(texts, 8)):
+        assert "Python" not in step._jdf.queryExecution().executedPlan().toString()
+
+    def refuse(*_):
+        raise AssertionError("rows sent from Python")
+
+    monkeypatch.setattr(spark.sparkContext, "parallelize", refuse)
+    assert language.fit(table).languages == ["x"]
+    groups = exact_stream.dedup(table).select("doc_id", "keep_id", "group_size").collect()
+    assert sorted(tuple(r) for r in groups) == [(1, 1, 2), (2, 1, 2), (3, 4, 2), (4, 4, 2), (5, 5, 1)]
