@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,7 +65,9 @@ def _deletions(words: DataFrame, column: str, distance: int) -> DataFrame:
         return F.transform(keys[n], lambda x: F.struct(x.alias("key"), F.lit(n).alias("deletions")))
 
     entries = [numbered(n) for n in range(len(keys))]
-    return words.withColumn("k", F.explode(F.concat(*entries))).select(*words.columns, "k.*")
+    # An outer explode, as an inner one would also make all keys in a filter below it.
+    found = words.withColumn("k", F.explode_outer(F.concat(*entries))).where(F.col("k").isNotNull())
+    return found.select(*words.columns, "k.*")
 
 
 def _swaps(word: Column) -> Column:
@@ -96,27 +99,36 @@ def _edits(word: Column, other: Column) -> Column:
 
 @dataclass(frozen=True)
 class Speller:
-    """A dictionary ``terms(term, cf)`` with the ``keys(term, cf, key, deletions)`` by which it is searched."""
+    """A dictionary ``terms(term, cf)``. Few words meet its keys as its terms are read; for more words
+    the ``keys(term, cf, key, deletions)`` are written once, when they are first asked for."""
 
     terms: DataFrame
-    keys: DataFrame
+    path: str
+    buckets: int
+
+    @cached_property
+    def keys(self) -> DataFrame:
+        keys = _deletions(self.terms, "term", 2)
+        return save_buckets(keys, self.path, "keys", self.buckets, "key", ["deletions", "key"])
 
 
 def build_speller(dictionary: DataFrame, buckets: int | None = None) -> Speller:
-    """Write the keys of a dictionary once, for all later corrections."""
+    """Write a dictionary once, for all later corrections."""
     spark = dictionary.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = new_folder(spark, "speller")
     terms = save_buckets(dictionary.select("term", "cf"), path, "terms", buckets, "term", ["term"])
-    keys = save_buckets(_deletions(terms, "term", 2), path, "keys", buckets, "key", ["deletions", "key"])
-    return Speller(terms, keys)
+    return Speller(terms, path, buckets)
 
 
 def _candidates(unknown: DataFrame, speller: Speller, distance: int, few: bool) -> DataFrame:
     """``word, term, cf, edits`` for every pair within ``distance`` edits."""
     left = _deletions(unknown.select("word"), "word", distance).select("word", "key")
-    right = speller.keys.where(F.col("deletions") <= distance).select("term", "cf", "key")
-    pairs = right.join(F.broadcast(left), "key") if few else lookup_join(left, right, ["key"])
+    if few:
+        pairs = _deletions(speller.terms, "term", distance).join(F.broadcast(left), "key")
+    else:
+        right = speller.keys.where(F.col("deletions") <= distance).select("term", "cf", "key")
+        pairs = lookup_join(left, right, ["key"])
     gap = F.abs(F.char_length("word") - F.char_length("term"))
     # A swap is two plain edits, so the plain distance bounds the other cheaply.
     close = (gap <= distance) & (F.levenshtein("word", "term", 2 * distance) > 0)

@@ -60,6 +60,22 @@ def test_spelling_matches_enumeration(spark):
     assert refine.correct_spelling(queries, dictionary).first().corrected.split() == [expected(w) for w in asked]
 
 
+def test_few_words_need_no_written_keys(spark, monkeypatch):
+    """Few words are corrected without a table of the dictionary's keys, and as many words are with it."""
+    words = ["retrieval", "retriever", "ranking", "ranker", "query", "queries", "index", "é", "abcdefghij"]
+    dictionary = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "term string, cf long")
+    asked = spark.createDataFrame([(w,) for w in ["retreival", "rnaking", "quary", "qureies", "indxe", "abcdefghji", "zzzzzz"]], "word string")
+    saved, save = [], refine.save_buckets
+    monkeypatch.setattr(refine, "save_buckets", lambda df, path, name, *a: saved.append(name) or save(df, path, name, *a))
+    speller = refine.build_speller(dictionary)
+    few = sorted(tuple(r) for r in refine.corrections(asked, speller).collect())
+    assert saved == ["terms"] and len(few) == 6
+    monkeypatch.setattr(refine, "fits_broadcast", lambda *_: False)
+    for _ in range(2):
+        assert sorted(tuple(r) for r in refine.corrections(asked, speller).collect()) == few
+    assert saved == ["terms", "keys"]
+
+
 def test_synonyms(spark):
     table = spark.createDataFrame([("dog", 1, "dog"), ("dog", 2, "hot_dog"), ("dog", 3, "hound"), ("dog", 4, "cur"), ("cat", 1, "feline")], "term string, ord int, synonym string")
     asked = spark.createDataFrame([(1, ["cat", "dog", "cat"]), (2, ["bird"]), (3, [])], "query_id int, tokens array<string>")
